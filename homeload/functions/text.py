@@ -151,7 +151,7 @@ def context_block(context: Column) -> Column:
             F.lit("- "), F.initcap(F.translate(e["key"], "_", " ")), F.lit(": "), e["value"]
         ),
     )
-    return F.when(F.size(lines) > 0, F.array_join(lines, "\n")).otherwise("- No additional context")
+    return F.when(F.array_size(lines) > 0, F.array_join(lines, "\n")).otherwise("- No additional context")
 
 
 def has_criteria(criteria: Column) -> Column:

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from homeload.functions.arrays import HOURS, sum_by_hour, total
 from homeload.operators import nested
 
-HOURS = 24
 # Action words that put a member outside the home or asleep.
 OUTSIDE_ACTIONS = ("commut", "at-school", "at-work", "school", "shopping", "outside", "working-at-office")
 
@@ -18,37 +18,62 @@ def is_outside(action: Column) -> Column:
     return F.rlike(F.lower(action), F.lit("|".join(OUTSIDE_ACTIONS)))
 
 
-def hourly_sum(rows: Column, value: str = "kwh") -> Column:
-    """24 sums over an array of ``(hour, value)`` entries, inside the row."""
+def hourly_total(streams: Column, field: str, amount) -> Column:
+    """24 sums of ``amount(entry field)`` over an array of activity arrays, inside the row.
+
+    Streams that list the hours 0..23 in order, as a valid document does, add
+    up position by position. Any other shape is summed by the hours it states.
+    """
+    day = F.sequence(F.lit(0), F.lit(HOURS - 1))
+    in_order = F.forall(streams, lambda s: F.coalesce(s["hour"] == day, F.lit(False)))
+    by_position = F.aggregate(
+        streams, F.array_repeat(F.lit(0.0), HOURS),
+        lambda done, s: F.zip_with(done, s[field], lambda a, b: a + amount(b)),
+    )
+    entries = F.flatten(
+        F.transform(
+            F.filter(streams, lambda s: s.isNotNull()),
+            lambda s: F.transform(
+                s, lambda e: F.struct(e["hour"].alias("hour"), amount(e[field]).alias("v"))
+            ),
+        )
+    )
+    return F.when(in_order, by_position).otherwise(sum_by_hour(entries))
 
-    def at(hour: Column) -> Column:
-        mine = F.filter(rows, lambda r: r["hour"] == hour)
-        return F.aggregate(mine, F.lit(0.0), lambda s, r: s + F.coalesce(r[value], F.lit(0.0)))
 
-    return F.transform(F.sequence(F.lit(0), F.lit(HOURS - 1)), at)
+def _kwh(value: Column) -> Column:
+    return F.coalesce(value, F.lit(0.0))
 
 
-def hourly_count(rows: Column, keep) -> Column:
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(HOURS - 1)),
-        lambda h: F.size(F.filter(rows, lambda r: (r["hour"] == h) & keep(r))),
+def household_kwh() -> Column:
+    """Hourly kWh of all members and both HVAC streams of a document."""
+    machines = F.array(F.col("hvac.heating"), F.col("hvac.cooling"))
+    return hourly_total(
+        F.filter(F.concat(nested.member_streams(), machines), lambda s: s.isNotNull()), "consumption_kwh", _kwh
     )
 
 
+def hvac_kwh(stream: str) -> Column:
+    one = F.filter(F.array(F.col(f"hvac.{stream}")), lambda s: s.isNotNull())
+    return hourly_total(one, "consumption_kwh", _kwh)
+
+
 def members_home() -> Column:
     """Members at home per hour of a document, from their actions."""
-    return hourly_count(nested.activity_rows(hvac=False), lambda r: ~is_outside(r["action"]))
+    home = hourly_total(
+        nested.member_streams(), "action", lambda a: F.when(is_outside(a), 0.0).otherwise(F.lit(1.0))
+    )
+    return F.transform(home, lambda n: n.cast("int"))
 
 
 def document_loads(docs: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Load curve, daily total, peak hour and occupancy per document, without a shuffle."""
     curve = docs.select(
-        *keys, hourly_sum(nested.activity_rows()).alias("hourly_kwh"), members_home().alias("members_home")
+        *keys, household_kwh().alias("hourly_kwh"), members_home().alias("members_home")
     )
-    total = F.aggregate("hourly_kwh", F.lit(0.0), lambda s, v: s + v)
     peak = F.array_max("hourly_kwh")
     return curve.select(
-        *keys, "hourly_kwh", total.alias("daily_kwh"), peak.alias("peak_kwh"),
+        *keys, "hourly_kwh", total(F.col("hourly_kwh")).alias("daily_kwh"), peak.alias("peak_kwh"),
         (F.array_position("hourly_kwh", peak) - 1).cast("int").alias("peak_hour"), "members_home",
     )
 

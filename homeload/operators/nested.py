@@ -17,6 +17,13 @@ def consumption_long(docs: DataFrame, keys: Sequence[str]) -> DataFrame:
     return docs.select(*keys, F.explode(activity_rows()).alias("r")).select(*keys, "r.*")
 
 
+def member_streams() -> Column:
+    """Activity arrays of the members of a consumption document."""
+    streams = F.transform("members", lambda m: m["hourly_activities"])
+    some = F.filter(streams, lambda s: s.isNotNull())
+    return F.coalesce(some, F.array().cast(f"array<array<{schemas.ACTIVITY.lower()}>>"))
+
+
 def activity_rows(hvac: bool = True) -> Column:
     """All activity entries of a consumption document as one flat array."""
 
@@ -35,13 +42,12 @@ def activity_rows(hvac: bool = True) -> Column:
     if not hvac:
         return people
     nobody = F.lit(None).cast("string")
-    machines = [
-        F.coalesce(
-            F.transform(f"hvac.{s}", lambda a, s=s: entry(s, nobody, a)), F.array().cast("array<" + _ROW + ">")
-        )
-        for s in ("heating", "cooling")
-    ]
-    return F.concat(people, *machines)
+
+    def machine(stream: str) -> Column:
+        rows = F.transform(f"hvac.{stream}", lambda a: entry(stream, nobody, a))
+        return F.coalesce(rows, F.array().cast("array<" + _ROW + ">"))
+
+    return F.concat(people, machine("heating"), machine("cooling"))
 
 
 _MEMBER = f"struct<member_id: string, hourly_activities: array<{schemas.ACTIVITY.lower()}>>"

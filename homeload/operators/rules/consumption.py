@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from homeload import schemas
+from homeload.functions.arrays import total
 from homeload.functions.calendar import SEASONS, WEEKDAY, WEEKEND
 from homeload.operators import loads, nested
 from homeload.operators.rules.core import HIGH, LOW, MEDIUM, PHYSICAL, Rule, listed, missing, outside, rule
@@ -59,20 +60,29 @@ def longest_runs(acts: Column) -> Column:
     return F.aggregate(ordered, start, step, lambda s: F.struct(s["other"].alias("other"), s["sleep"].alias("sleep")))
 
 
-def _members_where(test) -> Column:
-    hit = F.transform("members", lambda m: F.when(test(m), F.coalesce(m["member_id"], F.lit("?"))))
-    return F.filter(hit, lambda m: m.isNotNull())
+def prepare(docs: DataFrame) -> DataFrame:
+    """Add what several rules share, so that it is worked out once per document."""
+    facts = F.transform(
+        "members",
+        lambda m: F.struct(
+            F.coalesce(m["member_id"], F.lit("?")).alias("member_id"),
+            covers_day(_acts(m["hourly_activities"])).alias("whole"),
+            longest_runs(_acts(m["hourly_activities"])).alias("runs"),
+        ),
+    )
+    return docs.select(
+        "*", nested.activity_rows(hvac=False).alias("_people"), nested.activity_rows().alias("_rows"), facts.alias("_facts")
+    )
 
 
 def rules(vocabulary: Sequence[str] | None = None) -> list[Rule]:
-    rows = nested.activity_rows()
-    people = nested.activity_rows(hvac=False)
-    bad_days = _members_where(lambda m: ~covers_day(_acts(m["hourly_activities"])))
-    long_repeat = _members_where(lambda m: longest_runs(_acts(m["hourly_activities"]))["other"] > MAX_REPEAT)
-    long_sleep = _members_where(lambda m: longest_runs(_acts(m["hourly_activities"]))["sleep"] > MAX_SLEEP)
+    """Rules over documents that went through ``prepare``."""
+
+    def members(test) -> Column:
+        return F.transform(F.filter("_facts", test), lambda m: m["member_id"])
 
     def actions(test) -> Column:
-        return F.array_sort(F.array_distinct(F.transform(F.filter(people, test), lambda r: r["action"])))
+        return F.array_sort(F.array_distinct(F.transform(F.filter("_people", test), lambda r: r["action"])))
 
     def untypical(r: Column) -> Column:
         bad = F.lit(False)
@@ -80,33 +90,32 @@ def rules(vocabulary: Sequence[str] | None = None) -> list[Rule]:
             bad = bad | (F.contains(F.lower(r["action"]), F.lit(word)) & ~r["kwh"].between(low, high))
         return bad
 
-    away_using = actions(lambda r: loads.is_outside(r["action"]) & (r["kwh"] > NEAR_ZERO_KWH))
-    odd_kwh = actions(untypical)
-    at_school = actions(lambda r: F.rlike(r["action"], F.lit(SCHOOL)))
-    misspelt = actions(lambda r: ~F.rlike(r["action"], F.lit(HYPHENATED)))
+    def some(rule_id: str, severity: str, names: Column) -> Rule:
+        return rule(rule_id, severity, F.array_size(names) > 0, listed(names))
+
     odd_hvac = F.exists(
-        rows, lambda r: (r["stream"] != "member") & (r["kwh"] > 0) & ~r["kwh"].between(*HVAC_KWH)
+        "_rows", lambda r: (r["stream"] != "member") & (r["kwh"] > 0) & ~r["kwh"].between(*HVAC_KWH)
     )
+    at_school = actions(lambda r: F.rlike(r["action"], F.lit(SCHOOL)))
     out = [
-        rule("VAL27", HIGH, F.size(missing(REQUIRED)) > 0, listed(missing(REQUIRED))),
+        some("VAL27", HIGH, missing(REQUIRED)),
         rule("VAL27.season", HIGH, outside(F.col("season"), SEASONS), F.col("season")),
         rule("VAL27.day_type", HIGH, outside(F.col("day_type"), (WEEKDAY, WEEKEND)), F.col("day_type")),
-        rule("VAL27.members", HIGH, F.size("members") == 0, "members is empty"),
-        rule("VAL28", HIGH, F.size(bad_days) > 0, listed(bad_days)),
+        rule("VAL27.members", HIGH, F.array_size("members") == 0, "members is empty"),
+        some("VAL28", HIGH, members(lambda m: ~m["whole"])),
         rule("VAL29.heating", HIGH, ~covers_day(_acts(F.col("hvac.heating"))), "heating does not cover the day"),
         rule("VAL29.cooling", HIGH, ~covers_day(_acts(F.col("hvac.cooling"))), "cooling does not cover the day"),
-        rule("VAL30", HIGH, F.exists(rows, lambda r: (r["kwh"] < 0) | r["kwh"].isNull()), "negative or absent kWh"),
-        rule("VAL31", LOW, F.size(away_using) > 0, listed(away_using)),
-        rule("VAL32", LOW, F.size(odd_kwh) > 0, listed(odd_kwh)),
+        rule("VAL30", HIGH, F.exists("_rows", lambda r: (r["kwh"] < 0) | r["kwh"].isNull()), "negative or absent kWh"),
+        some("VAL31", LOW, actions(lambda r: (r["kwh"] > NEAR_ZERO_KWH) & loads.is_outside(r["action"]))),
+        some("VAL32", LOW, actions(untypical)),
         rule("VAL32.hvac", LOW, odd_hvac, "HVAC outside its typical range"),
-        rule("VAL35.repeat", MEDIUM, F.size(long_repeat) > 0, listed(long_repeat)),
-        rule("VAL35.sleep", MEDIUM, F.size(long_sleep) > 0, listed(long_sleep)),
-        rule("VAL37", HIGH, (F.col("day_type") == WEEKEND) & (F.size(at_school) > 0), listed(at_school)),
-        rule("VAL38.hyphen", LOW, F.size(misspelt) > 0, listed(misspelt)),
+        some("VAL35.repeat", MEDIUM, members(lambda m: m["runs"]["other"] > MAX_REPEAT)),
+        some("VAL35.sleep", MEDIUM, members(lambda m: m["runs"]["sleep"] > MAX_SLEEP)),
+        rule("VAL37", HIGH, (F.col("day_type") == WEEKEND) & (F.array_size(at_school) > 0), listed(at_school)),
+        some("VAL38.hyphen", LOW, actions(lambda r: ~F.rlike(r["action"], F.lit(HYPHENATED)))),
     ]
     if vocabulary is not None:
-        unknown = actions(lambda r: ~r["action"].isin(*vocabulary))
-        out.append(rule("VAL38.vocabulary", LOW, F.size(unknown) > 0, listed(unknown)))
+        out.append(some("VAL38.vocabulary", LOW, actions(lambda r: ~r["action"].isin(*vocabulary))))
     return out
 
 
@@ -132,40 +141,43 @@ def unknown_members(
     )
 
 
+def prepare_hvac(docs: DataFrame) -> DataFrame:
+    """Add hourly ``(temperature, home, heating, cooling)`` of documents with a ``temperature`` array."""
+
+    hours = F.arrays_zip(
+        F.col("temperature").alias("t"), loads.members_home().alias("home"),
+        loads.hvac_kwh("heating").alias("heating"), loads.hvac_kwh("cooling").alias("cooling"),
+    )
+    return docs.select("*", hours.alias("_hours"))
+
+
 def hvac_rules(
     hot: float = HOT, cold: float = COLD, hours: int = SUSTAINED_HOURS, empty_share: float = EMPTY_SHARE
 ) -> list[Rule]:
-    """VAL33 and VAL34 over documents that carry a ``temperature`` array."""
-    people = nested.activity_rows(hvac=False)
-    home = loads.hourly_count(people, lambda r: ~loads.is_outside(r["action"]))
-    temp = F.col("temperature")
-
-    def stream(name: str) -> Column:
-        return loads.hourly_sum(_acts(F.col(f"hvac.{name}")), "consumption_kwh")
-
-    def unanswered(name: str, sustained) -> Column:
-        """An occupied hour ending a sustained stretch in which the machine stood still."""
-        spans = F.transform(
-            F.sequence(F.lit(hours - 1), F.lit(23)),
-            lambda h: sustained(F.slice(temp, h - hours + 2, F.lit(hours)))
-            & (F.get(home, h) > 0) & (F.get(stream(name), h) <= 0),
-        )
-        return F.exists(spans, lambda s: s)
+    """VAL33 and VAL34 over documents that went through ``prepare_hvac``."""
+
+    def unanswered(machine: str, extreme) -> Column:
+        """An occupied hour ending a sustained stretch in which the machine stood still.
+
+        One pass counts how long the extreme has lasted.
+        """
+        start = F.struct(F.lit(0).alias("lasted"), F.lit(False).alias("hit"))
+
+        def step(state: Column, h: Column) -> Column:
+            lasted = F.when(extreme(h["t"]), state["lasted"] + 1).otherwise(0)
+            hit = (lasted >= hours) & (h["home"] > 0) & (h[machine] <= 0)
+            return F.struct(lasted.alias("lasted"), (state["hit"] | F.coalesce(hit, F.lit(False))).alias("hit"))
 
-    both = F.zip_with(stream("heating"), stream("cooling"), lambda a, b: a + b)
-    paired = F.zip_with(both, home, lambda k, n: F.struct(k.alias("kwh"), n.alias("n")))
+        return F.aggregate("_hours", start, step, lambda s: s["hit"])
 
-    def mean_where(test) -> Column:
-        kept = F.filter(paired, test)
-        total = F.aggregate(kept, F.lit(0.0), lambda s, r: s + r["kwh"])
-        return F.when(F.size(kept) > 0, total / F.size(kept))
+    def mean_kwh(test) -> Column:
+        kept = F.transform(F.filter("_hours", test), lambda h: h["heating"] + h["cooling"])
+        return F.when(F.array_size(kept) > 0, total(kept) / F.array_size(kept))
 
-    empty, occupied = mean_where(lambda r: r["n"] == 0), mean_where(lambda r: r["n"] > 0)
+    empty, occupied = mean_kwh(lambda h: h["home"] == 0), mean_kwh(lambda h: h["home"] > 0)
     return [
-        rule("VAL33.cooling", HIGH, unanswered("cooling", lambda t: F.array_min(t) >= hot),
-             "no cooling in sustained heat"),
-        rule("VAL33.heating", HIGH, unanswered("heating", lambda t: F.array_max(t) <= cold),
-             "no heating in sustained cold"),
+        rule("VAL33.cooling", HIGH, unanswered("cooling", lambda t: t >= hot), "no cooling in sustained heat"),
+        rule("VAL33.heating", HIGH, unanswered("heating", lambda t: t <= cold), "no heating in sustained cold"),
         rule("VAL34", HIGH, (empty > 0) & (empty >= occupied * empty_share), "HVAC not lower when empty"),
     ]
 

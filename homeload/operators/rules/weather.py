@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from homeload import schemas
+from homeload.functions.arrays import correlation
 from homeload.functions.calendar import SEASONS
 from homeload.operators.rules.core import HIGH, LOW, MEDIUM, PHYSICAL, Rule, listed, missing, outside, rule
 
@@ -37,8 +38,8 @@ def high(signal: str) -> Column:
 def steps(array: Column) -> Column:
     """Absolute change from each hour to the next."""
     return F.zip_with(
-        F.slice(array, F.lit(1), F.greatest(F.size(array) - 1, F.lit(0))),
-        F.slice(array, F.lit(2), F.greatest(F.size(array) - 1, F.lit(0))),
+        F.slice(array, F.lit(1), F.greatest(F.array_size(array) - 1, F.lit(0))),
+        F.slice(array, F.lit(2), F.greatest(F.array_size(array) - 1, F.lit(0))),
         lambda a, b: F.abs(b - a),
     )
 
@@ -51,19 +52,8 @@ def hour_of_min(array: Column) -> Column:
     return F.array_position(array, F.array_min(array)) - 1
 
 
-def correlation(a: Column, b: Column) -> Column:
-    """Pearson correlation of two equal-length arrays, null when one is constant."""
-    n = F.size(a)
-
-    def mean(x: Column) -> Column:
-        return F.aggregate(x, F.lit(0.0), lambda s, v: s + v) / n
-
-    def spread(x: Column, y: Column) -> Column:
-        mx, my = mean(x), mean(y)
-        return F.aggregate(F.zip_with(x, y, lambda p, q: (p - mx) * (q - my)), F.lit(0.0), lambda s, v: s + v)
-
-    bottom = F.sqrt(spread(a, a) * spread(b, b))
-    return F.when(bottom > 0, spread(a, b) / bottom)
+def _beyond(signal: str):
+    return lambda x: (x < low(signal)) | (x > high(signal))
 
 
 def rules(jumps: dict[str, float] | None = None) -> list[Rule]:
@@ -81,16 +71,16 @@ def rules(jumps: dict[str, float] | None = None) -> list[Rule]:
         ),
     )
     out = [
-        rule("VAL12", HIGH, F.size(absent) > 0, listed(absent)),
+        rule("VAL12", HIGH, F.array_size(absent) > 0, listed(absent)),
         rule("VAL12.season", HIGH, outside(F.col("season"), SEASONS), F.col("season")),
     ]
     for s in signals:
         v = values(s)
         out += [
-            rule(f"VAL14.{s}", HIGH, (F.size(v) != 24) | F.exists(v, lambda x: x.isNull()),
-                 F.concat(F.size(v).cast("string"), F.lit(" values"))),
+            rule(f"VAL14.{s}", HIGH, (F.array_size(v) != 24) | F.exists(v, lambda x: x.isNull()),
+                 F.concat(F.array_size(v).cast("string"), F.lit(" values"))),
             rule(f"VAL15.{s}", HIGH, low(s) >= high(s), "min is not below max"),
-            rule(f"VAL21.{s}", MEDIUM, F.exists(v, lambda x, s=s: (x < low(s)) | (x > high(s))),
+            rule(f"VAL21.{s}", MEDIUM, F.exists(v, _beyond(s)),
                  "a value is outside min and max"),
         ]
     for s in SOLAR:
@@ -122,7 +112,7 @@ def rules(jumps: dict[str, float] | None = None) -> list[Rule]:
              F.concat(F.lit("temperature minimum at "), hour_of_min(temp).cast("string"))),
         rule("VAL23", HIGH, temp_peak < sun, "temperature peaks before the sun"),
         rule("VAL25", LOW, F.exists(clear, lambda x: x), "diffuse above direct in a clear hour"),
-        rule("VAL26", LOW, (F.size(temp) == 24) & (F.size(hum) == 24) & (correlation(*daytime) >= 0),
+        rule("VAL26", LOW, (F.array_size(temp) == 24) & (F.array_size(hum) == 24) & (correlation(*daytime) >= 0),
              "humidity does not fall as it warms"),
     ]
     out += [
@@ -137,7 +127,7 @@ def missing_seasons(profiles: DataFrame, scope: Sequence[str]) -> DataFrame:
     """VAL13: sets that lack one of the four seasons."""
     found = profiles.groupBy(*scope).agg(F.collect_set(F.when(F.col("season").isin(*SEASONS), F.col("season"))).alias("s"))
     lacking = F.array_except(F.array(*[F.lit(s) for s in SEASONS]), F.col("s"))
-    return found.where(F.size(lacking) > 0).select(
+    return found.where(F.array_size(lacking) > 0).select(
         *scope, F.lit(PHYSICAL).alias("auditor"), F.lit("VAL13").alias("rule_id"), F.lit(HIGH).alias("severity"),
         listed(lacking).alias("detail"),
     )

@@ -115,7 +115,7 @@ def filled(values: Column, carry: bool, digits: int = 2) -> Column:
         empty,
         lambda done, v: F.concat(
             done,
-            F.array(F.coalesce(rounded(v, digits), F.get(done, F.size(done) - 1), zero)),
+            F.array(F.coalesce(rounded(v, digits), F.get(done, F.array_size(done) - 1), zero)),
         ),
     )
 
@@ -148,7 +148,7 @@ def hashed_index(size: Column, *key: Column) -> Column:
 def pick_days(ranges: DataFrame, variants: int, exact: bool = True) -> DataFrame:
     """Add ``variant`` 1..n and the sampled ``day`` of each to the season rows."""
     grid = ranges.withColumn("variant", F.explode(F.sequence(F.lit(1), F.lit(variants))))
-    size = F.size("days")
+    size = F.array_size("days")
     index = (
         seeded_index(size, F.col("variant") * 42)
         if exact

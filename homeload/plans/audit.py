@@ -11,8 +11,14 @@ from homeload.operators import verdict
 from homeload.operators.rules import consumption, core, families, weather
 
 
+def document_family_findings(docs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Findings a family document shows on its own, so fit for one batch of a stream."""
+    return core.findings(families.prepare(docs), keys, families.rules())
+
+
 def family_findings(docs: DataFrame, keys: Sequence[str], scope: Sequence[str] = ("country",)) -> DataFrame:
-    own = core.findings(docs, keys, families.rules())
+    """All family findings, duplicates within ``scope`` included."""
+    own = document_family_findings(docs, keys)
     return own.unionByName(families.duplicate_types(docs, keys, scope))
 
 
@@ -29,13 +35,11 @@ def consumption_findings(
     vocabulary: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rules inside a document, plus those that need its family or its weather."""
-    rules = consumption.rules(vocabulary)
+    rules, prepared = consumption.rules(vocabulary), consumption.prepare(docs)
     if profiles is not None:
-        docs_in = consumption.with_temperature(docs, profiles, profile_on)
         rules = rules + consumption.hvac_rules()
-    else:
-        docs_in = docs
-    out = core.findings(docs_in, keys, rules)
+        prepared = consumption.prepare_hvac(consumption.with_temperature(prepared, profiles, profile_on))
+    out = core.findings(prepared, keys, rules)
     if family_docs is not None:
         out = out.unionByName(consumption.unknown_members(docs, family_docs, keys))
     return out

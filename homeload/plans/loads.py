@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from homeload.operators import loads, nested
+from homeload.operators import loads
 
 
 def load_curves(docs: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -18,6 +18,6 @@ def load_curves(docs: DataFrame, keys: Sequence[str]) -> DataFrame:
 def mean_curves(docs: DataFrame, by: Sequence[str]) -> DataFrame:
     """Mean kWh per hour over documents, e.g. by country, season and day type."""
     hours = docs.select(
-        *by, F.posexplode(loads.hourly_sum(nested.activity_rows())).alias("hour", "kwh")
+        *by, F.posexplode(loads.household_kwh()).alias("hour", "kwh")
     )
     return hours.groupBy(*by, "hour").agg(F.avg("kwh").alias("kwh"), F.count(F.lit(1)).alias("documents"))

@@ -62,7 +62,7 @@ def hourly_day(
         ranges = w.seasonal_range(seasonal, digits).select("country", "days")
         picks = ranges.select(
             "country",
-            F.element_at("days", w.seeded_index(F.size("days"), F.lit(seed)) + 1).alias("variable_date"),
+            F.element_at("days", w.seeded_index(F.array_size("days"), F.lit(seed)) + 1).alias("variable_date"),
         )
         rows = seasonal.withColumn("variable_date", cal.month_day_text(F.col("ts"))).join(
             picks, ["country", "variable_date"]

@@ -213,7 +213,7 @@ WITH f AS (
          CASE WHEN c_custkey % 10 = 0 THEN NULL WHEN c_custkey % 3 = 0 THEN lower(c_mktsegment)
               ELSE 'young ' || c_mktsegment || ' double income home' END AS family_type
   FROM customer JOIN nation ON c_nationkey = n_nationkey),
-w AS (SELECT *, list_aggregate(list_transform(string_split(coalesce(family_type, 'Unknown'), ' ')[1:3], x -> upper(x[1])), 'string_agg', '') AS abbr FROM f),
+w AS (SELECT *, list_aggregate(list_transform(string_split(coalesce(family_type, 'Unknown'), ' ')[1:3], lambda x: upper(x[1])), 'string_agg', '') AS abbr FROM f),
 n AS (SELECT *, row_number() OVER (PARTITION BY call, abbr ORDER BY c_custkey) AS n FROM w)
 SELECT c_custkey, 'UNI-' || abbr || '-' || CASE WHEN n < 1000 THEN lpad(CAST(n AS VARCHAR), 3, '0') ELSE CAST(n AS VARCHAR) END AS household_id
 FROM n""")

@@ -52,6 +52,20 @@ def rows_of(names, rows):
     return [names[i] for i in order], sorted(out, key=repr)
 
 
+KINDS = {
+    "int": ("TINYINT", "SMALLINT", "INTEGER", "BIGINT", "tinyint", "smallint", "int", "bigint"),
+    "float": ("DOUBLE", "FLOAT", "double", "float"),
+    "text": ("VARCHAR", "string"),
+    "bool": ("BOOLEAN", "boolean"),
+    "time": ("TIMESTAMP", "timestamp", "timestamp_ntz"),
+    "date": ("DATE", "date"),
+}
+
+
+def kind(type_name):
+    return next((k for k, names in KINDS.items() if type_name in names), type_name)
+
+
 def compare(spark_df, con, sql):
     """Message of the first difference, or ``None``; row count beside it."""
     got_names, got = rows_of(spark_df.columns, spark_df.collect())
@@ -59,6 +73,10 @@ def compare(spark_df, con, sql):
     want_names, want = rows_of([d[0] for d in res.description], res.fetchall())
     if got_names != want_names:
         return f"columns {got_names} != {want_names}", len(got)
+    kinds = {d[0]: kind(str(d[1])) for d in res.description}
+    odd = [(c, t, kinds[c]) for c, t in spark_df.dtypes if kind(t) != kinds[c]]
+    if odd:
+        return f"types {odd}", len(got)
     if len(got) != len(want):
         extra = sorted(set(map(repr, got)) - set(map(repr, want)))[:3]
         lack = sorted(set(map(repr, want)) - set(map(repr, got)))[:3]
