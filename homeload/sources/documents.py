@@ -32,8 +32,10 @@ def read_documents(
 ) -> DataFrame:
     """Documents of all files with an explicit schema; unreadable files give no rows.
 
-    An object counts as a list of one. ``pattern`` filters file names,
-    ``source_column`` adds the name of the file a row came from.
+    An object counts as a list of one. A field of the wrong type is null, so
+    the rules can report it; only text that is no JSON at all drops out.
+    ``pattern`` filters file names, ``source_column`` adds the name of the file
+    a row came from.
     """
     if not paths:
         return spark.createDataFrame([], schema)
@@ -44,7 +46,9 @@ def read_documents(
     df = reader.json(paths if isinstance(paths, str) else list(paths))
     if source_column:
         df = df.withColumn(source_column, keys.file_name(F.input_file_name()))
-    return df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    fields = [c for c in df.columns if c not in ("_corrupt_record", source_column)]
+    something = F.coalesce(*[F.when(F.col(c).isNotNull(), True) for c in fields], F.lit(False))
+    return df.where(F.col("_corrupt_record").isNull() | something).drop("_corrupt_record")
 
 
 def families(spark: SparkSession, paths: Paths, **kw) -> DataFrame:
