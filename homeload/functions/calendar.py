@@ -46,6 +46,11 @@ def month_day_text(when: Column) -> Column:
     return F.date_format(when, "MM-dd")
 
 
+def month_day_label(md: Column) -> Column:
+    """``MM-dd`` text of a month-day integer; grouping works on the integer."""
+    return F.concat(F.lpad((md / 100).cast("int").cast("string"), 2, "0"), F.lit("-"), F.lpad((md % 100).cast("string"), 2, "0"))
+
+
 def day_name(when: Column) -> Column:
     return F.date_format(when, "EEEE")
 

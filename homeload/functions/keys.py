@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from homeload.functions.arrays import let
+
 # File name formats, newest first.
 _STAMP = r"_\d{8}_\d{6}\.json$"
 FAMILY_NAME = r"^(.+?)_var(\d+)" + _STAMP
 WEATHER_NAME = r"^variation(\d+)_([^_]+)" + _STAMP
 CONSUMPTION_NAMES = (
-    # pattern, group numbers of (family, work, season, profile, day_type, variant)
-    (r"^(.+?)_work(\d+)_s3var(\d+)_([^_]+)_([^_]+)_var(\d+)" + _STAMP, (1, 2, 4, 3, 5, 6)),
-    (r"^(.+?)_work(\d+)_([^_]+)_([^_]+)_var(\d+)" + _STAMP, (1, 2, 3, None, 4, 5)),
-    (r"^(.+?)_([^_]+)_([^_]+)_var(\d+)" + _STAMP, (1, None, 2, None, 3, 4)),
+    # pattern, parts in the order family, work, season, profile, day type, variant; an absent part is 1
+    (r"^(.+?)_work(\d+)_s3var(\d+)_([^_]+)_([^_]+)_var(\d+)" + _STAMP, "$1/$2/$4/$3/$5/$6"),
+    (r"^(.+?)_work(\d+)_([^_]+)_([^_]+)_var(\d+)" + _STAMP, "$1/$2/$3/1/$4/$5"),
+    (r"^(.+?)_([^_]+)_([^_]+)_var(\d+)" + _STAMP, "$1/1/$2/1/$3/$4"),
 )
 COMBO_CODE = r"_(H\d+_P\d+_C\d+_E\d+)$"
 
@@ -22,15 +24,21 @@ def file_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
+def _parts(name: Column, pattern: str, layout: str) -> Column:
+    """Parts of a matching name as an array, null for any other; one replacement finds them all."""
+    hit = F.rlike(name, F.lit(pattern))
+    return F.when(hit, F.split(F.regexp_replace(name, pattern, layout), "/"))
+
+
 def family_key(name: Column) -> Column:
     """``struct(household_id, variant)`` or null."""
-    return F.when(
-        F.rlike(name, F.lit(FAMILY_NAME)),
-        F.struct(
-            F.regexp_extract(name, FAMILY_NAME, 1).alias("household_id"),
-            F.regexp_extract(name, FAMILY_NAME, 2).cast("int").alias("variant"),
-        ),
-    )
+
+    def key(p: Column) -> Column:
+        return F.when(
+            p.isNotNull(), F.struct(p[0].alias("household_id"), p[1].cast("int").alias("variant"))
+        )
+
+    return let(_parts(name, FAMILY_NAME, "$1/$2"), key)
 
 
 def combo_code(household_part: Column) -> Column:
@@ -40,37 +48,29 @@ def combo_code(household_part: Column) -> Column:
 
 def weather_key(name: Column) -> Column:
     """``struct(variant, season)`` or null."""
-    return F.when(
-        F.rlike(name, F.lit(WEATHER_NAME)),
-        F.struct(
-            F.regexp_extract(name, WEATHER_NAME, 1).cast("int").alias("variant"),
-            F.regexp_extract(name, WEATHER_NAME, 2).alias("season"),
-        ),
-    )
+
+    def key(p: Column) -> Column:
+        return F.when(p.isNotNull(), F.struct(p[0].cast("int").alias("variant"), p[1].alias("season")))
+
+    return let(_parts(name, WEATHER_NAME, "$1/$2"), key)
 
 
 def consumption_key(name: Column) -> Column:
     """``struct(family_id, work, season, profile, day_type, variant)`` or null.
 
-    Formats are tried newest first; a part the format lacks counts as 1.
+    Formats are tried newest first.
     """
-    key = None
-    for pattern, (family, work, season, profile, day_type, variant) in CONSUMPTION_NAMES:
 
-        def text(group, pattern=pattern) -> Column:
-            return F.regexp_extract(name, pattern, group)
-
-        def number(group, pattern=pattern) -> Column:
-            return F.lit(1) if group is None else text(group, pattern).cast("int")
-
-        hit = F.rlike(name, F.lit(pattern))
-        parsed = F.struct(
-            text(family).alias("family_id"), number(work).alias("work"),
-            text(season).alias("season"), number(profile).alias("profile"),
-            text(day_type).alias("day_type"), number(variant).alias("variant"),
+    def key(p: Column) -> Column:
+        return F.when(
+            p.isNotNull(),
+            F.struct(
+                p[0].alias("family_id"), p[1].cast("int").alias("work"), p[2].alias("season"),
+                p[3].cast("int").alias("profile"), p[4].alias("day_type"), p[5].cast("int").alias("variant"),
+            ),
         )
-        key = F.when(hit, parsed) if key is None else key.when(hit, parsed)
-    return key
+
+    return let(F.coalesce(*[_parts(name, *form) for form in CONSUMPTION_NAMES]), key)
 
 
 def consumption_file_name(

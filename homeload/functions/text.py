@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from homeload.functions.arrays import let
+
 
 def country_short_code(country: Column) -> Column:
     """First three letters without spaces, upper case: ``United States`` -> ``UNI``."""
@@ -86,25 +88,26 @@ def extract_json(answer: Column) -> Column:
     brace followed by a quote up to the next closing brace; else the stripped
     text.
     """
-    blank = r"^\s+|\s+$"
-    text = F.regexp_replace(answer, r"(?s)<think>.*?</think>", "")
+    return let(F.regexp_replace(answer, r"(?s)<think>.*?</think>", ""), _json_in)
+
+
+def _json_in(text: Column) -> Column:
     fenced = F.nullif(
         F.regexp_extract(text, r"(?s)```(?:json)?\s*(\{.*?\}|\[.*?\])\s*```", 1), F.lit("")
     )
     at_bracket, at_brace = F.locate("[", text), F.locate("{", text)
-    opener = F.when(
-        (at_bracket > 0) & ((at_brace == 0) | (at_bracket < at_brace)), at_bracket
-    ).otherwise(at_brace)
-    last = {c: F.length(text) + 1 - F.locate(c, F.reverse(text)) for c in "]}"}
-    closer = F.when(
-        F.substring(text, opener, F.lit(1)) == "[",
-        F.when(F.contains(text, F.lit("]")), last["]"]),
-    ).otherwise(F.when(F.contains(text, F.lit("}")), last["}"]))
-    spanned = F.when(
-        (opener > 0) & (closer > opener), F.substring(text, opener, closer - opener + 1)
-    )
+    bracket_first = (at_bracket > 0) & ((at_brace == 0) | (at_bracket < at_brace))
+    backwards = F.reverse(text)
+
+    def between(start: Column, closer: str) -> Column:
+        """From ``start`` to the last closer, null when that lies before it."""
+        from_end = F.locate(closer, backwards)
+        end = F.length(text) + 1 - from_end
+        return F.when((start > 0) & (from_end > 0) & (end > start), F.substring(text, start, end - start + 1))
+
+    spanned = F.when(bracket_first, between(at_bracket, "]")).otherwise(between(at_brace, "}"))
     loose = F.nullif(F.regexp_extract(text, r'(?s)(\{\s*".*?\})', 1), F.lit(""))
-    return F.coalesce(fenced, spanned, loose, F.regexp_replace(text, blank, ""))
+    return F.coalesce(fenced, spanned, loose, F.regexp_replace(text, r"^\s+|\s+$", ""))
 
 
 def render_template(template: Column, variables: Mapping[str, Column]) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from homeload import schemas
 from homeload.functions import text
+from homeload.functions.arrays import let
 
 
 def consumption_long(docs: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -163,10 +164,12 @@ UNREADABLE_DECISION = {
 
 def _object_or_null(answer: Column, schema: str) -> Column:
     """Struct parsed from an answer's JSON object, null when it is none."""
-    body = text.extract_json(answer)
-    parsed = F.from_json(body, schema)
-    readable = F.try_parse_json(body).isNotNull() & F.startswith(body, F.lit("{"))
-    return F.when(readable, parsed)
+
+    def parsed(body: Column) -> Column:
+        readable = F.startswith(body, F.lit("{")) & F.try_parse_json(body).isNotNull()
+        return F.when(readable, F.from_json(body, schema))
+
+    return let(text.extract_json(answer), parsed)
 
 
 def parse_audit(answer: Column, auditor: Column) -> Column:

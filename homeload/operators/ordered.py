@@ -12,6 +12,7 @@ plain window is used.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,21 +90,50 @@ def neighbour(
     return out.withColumn(name, F.coalesce(F.col(name), F.col("__carry"))).drop("__carry")
 
 
+def _islands(df: DataFrame, keys: Names, order: Names, value: str) -> DataFrame:
+    """Adjacent rows of equal ``value`` within ``keys`` joined into one, with ``__first`` and ``__last`` marks.
+
+    A row with ``__cut`` never joins the row before it. One shuffle on the keys
+    serves the windows and the aggregate.
+    """
+    w = Window.partitionBy(*keys).orderBy(*order)
+    before = F.lag(F.struct(value)).over(w)
+    fresh = F.col("__cut") | before.isNull() | ~before[value].eqNullSafe(F.col(value))
+    numbered = df.withColumn("__fresh", fresh.cast("int")).withColumn(
+        "__run", F.sum("__fresh").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    joined = numbered.groupBy(*keys, "__run").agg(
+        F.min_by(
+            F.struct(*[c for c in df.columns if c not in (*keys, "__n", "__cut")]), F.struct(*order)
+        ).alias("__row"),
+        F.sum("__n").alias("__n"),
+    )
+    last = F.max("__run").over(Window.partitionBy(*keys))
+    return joined.select(
+        *keys, "__row.*", "__n", (F.col("__run") == 1).alias("__first"), (F.col("__run") == last).alias("__last")
+    )
+
+
 def runs(df: DataFrame, group: Names, order: Names, value: str, levels: Names = ()) -> DataFrame:
     """Maximal stretches of equal ``value``: first row's order columns, value, length.
 
-    One row per run. ``order`` must be unique within a group.
+    One row per run. ``order`` must be unique within a group. A run inside a
+    chunk is final; only the first and last run of each chunk can go on in a
+    neighbour, so only those move up a level. A chunk's last run differs from
+    the run before it and stays cut off from what remains of its chunk.
     """
-    cols = list(dict.fromkeys([*group, *order, *levels, value]))
-    base = df.select(*cols)
-    numbered = running_number(base, group, order, "__n", levels)
-    marked = neighbour(numbered, group, order, [value], "__prev", levels)
-    starts = marked.where(F.col("__prev").isNull() | ~F.col("__prev")[value].eqNullSafe(F.col(value)))
-    ended = neighbour(starts, group, order, ["__n"], "__next", levels, following=True)
-    sizes = base.groupBy(*group).agg(F.count(F.lit(1)).alias("__size"))
-    out = _join_on(ended, sizes, group) if group else ended.crossJoin(sizes)
-    length = F.coalesce(F.col("__next")["__n"], F.col("__size") + 1) - F.col("__n")
-    return out.select(*group, *order, value, length.alias("run_length"))
+    now = df.select(
+        *dict.fromkeys([*group, *order, *levels, value]), F.lit(1).cast("bigint").alias("__n"), F.lit(False).alias("__cut")
+    )
+    parts = []
+    for depth in range(len(levels), -1, -1):
+        found = _islands(now, [*group, *levels[:depth]], order, value)
+        border = F.col("__first") | F.col("__last")
+        parts.append(found.where(~border) if depth else found)
+        cut = F.col("__last") & ~F.col("__first")
+        now = found.where(border).withColumn("__cut", cut).drop("__first", "__last")
+    out = [p.select(*group, *order, value, F.col("__n").alias("run_length")) for p in parts]
+    return reduce(DataFrame.unionByName, out)
 
 
 def latest(df: DataFrame, key: Names, order: Names) -> DataFrame:

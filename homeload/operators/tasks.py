@@ -71,6 +71,16 @@ def remaining(tasks: DataFrame, completed: DataFrame | None, keys: Sequence[str]
     return tasks.join(completed.select(*keys).distinct(), list(keys), "left_anti")
 
 
+def keyed(files: DataFrame, key_struct: Column, keep: Sequence[str] = ()) -> DataFrame:
+    """Fields of a parsed key as columns; files without a key drop out.
+
+    The key is unpacked by a generator, so it is parsed once per file: no
+    filter on a field can be moved in front of it.
+    """
+    found = F.filter(F.array(key_struct), lambda k: k.isNotNull())
+    return files.select(*keep, F.inline(found))
+
+
 def completed_variants(items: DataFrame, wanted: int, by: Sequence[str] = ("variant",)) -> DataFrame:
     """Variants that have at least ``wanted`` distinct households."""
     return (

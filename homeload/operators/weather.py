@@ -5,13 +5,12 @@ from __future__ import annotations
 import random
 from collections.abc import Iterable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from homeload import dims, schemas
 from homeload.functions import calendar as cal
+from homeload.functions.arrays import HOURS, let
 from homeload.functions.numbers import rounded
 
 # Hourly column, published column stem, profile signal.
@@ -25,7 +24,6 @@ COLUMNS = (
 PROFILE_COLUMNS = tuple((c, s) for c, _, s in COLUMNS if s)
 # Signals whose missing hours repeat the hour before; the others become 0.
 CARRIED = ("temperature", "humidity")
-HOURS = 24
 
 
 def with_season(
@@ -63,8 +61,8 @@ def seasonal_range(hourly: DataFrame, digits: int = 2) -> DataFrame:
             rounded(F.min(column), digits).alias(f"{signal}_min"),
             rounded(F.max(column), digits).alias(f"{signal}_max"),
         ]
-    days = F.array_sort(F.collect_set(cal.month_day_text(F.col("ts")))).alias("days")
-    return hourly.groupBy("country", "season").agg(*bounds, days)
+    days = F.transform(F.array_sort(F.collect_set(cal.month_day(F.col("ts")))), cal.month_day_label)
+    return hourly.groupBy("country", "season").agg(*bounds, days.alias("days"))
 
 
 def day_profiles(
@@ -82,27 +80,36 @@ def day_profiles(
         F.min_by(c, F.when(F.col(c).isNotNull(), F.col("ts"))).alias(c) for c, _ in PROFILE_COLUMNS
     ]
     hours = hourly.groupBy(
-        *keys, cal.month_day_text(F.col("ts")).alias("day"), F.hour("ts").alias("hour")
+        *keys, cal.month_day(F.col("ts")).alias("month_day"), F.hour("ts").alias("hour")
     ).agg(*first)
-    entry = F.struct("hour", *[F.col(c) for c, _ in PROFILE_COLUMNS])
-    days = hours.groupBy(*keys, "day").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-    return days.select(
+    values = F.struct(*[F.col(c) for c, _ in PROFILE_COLUMNS])
+    days = hours.groupBy(*keys, "month_day").agg(
+        F.array_sort(F.collect_list(F.struct("hour", values.alias("values")))).alias("entries")
+    )
+    if legacy:
+        slots = F.col("entries")
+    else:
+        by_hour = F.map_from_entries("entries")
+        slots = let(
+            by_hour,
+            lambda m: F.transform(
+                F.sequence(F.lit(0), F.lit(HOURS - 1)), lambda h: F.struct(F.element_at(m, h).alias("values"))
+            ),
+        )
+    placed = days.select(*keys, cal.month_day_label(F.col("month_day")).alias("day"), slots.alias("slots"))
+    return placed.select(
         *keys, "day",
-        *[
-            filled(_placed(F.col("entries"), c, legacy), s in CARRIED, digits).alias(s)
-            for c, s in PROFILE_COLUMNS
-        ],
+        *[filled(_values(c, legacy), s in CARRIED, digits).alias(s) for c, s in PROFILE_COLUMNS],
     )
 
 
-def _placed(entries: Column, column: str, legacy: bool) -> Column:
-    """24 nullable values from sorted hour entries."""
-    if legacy:
-        found = F.transform(F.filter(entries, lambda e: e[column].isNotNull()), lambda e: e[column])
-        blanks = F.array_repeat(F.lit(None).cast("double"), HOURS)
-        return F.slice(F.concat(found, blanks), 1, HOURS)
-    by_hour = F.map_from_entries(F.transform(entries, lambda e: F.struct(e["hour"], e[column])))
-    return F.transform(F.sequence(F.lit(0), F.lit(HOURS - 1)), lambda h: F.element_at(by_hour, h))
+def _values(column: str, legacy: bool) -> Column:
+    """24 nullable values of one signal from the hour slots, or packed to the front."""
+    found = F.col(f"slots.values.{column}")
+    if not legacy:
+        return found
+    blanks = F.array_repeat(F.lit(None).cast("double"), HOURS)
+    return F.slice(F.concat(F.filter(found, lambda v: v.isNotNull()), blanks), 1, HOURS)
 
 
 def filled(values: Column, carry: bool, digits: int = 2) -> Column:
@@ -131,14 +138,18 @@ def weather_struct(bounds: dict[str, tuple[Column, Column]] | None = None) -> Co
     return F.struct(*parts)
 
 
-@F.pandas_udf(T.IntegerType())
-def seeded_index(size: pd.Series, seed: pd.Series) -> pd.Series:
+MAX_DAYS = 366
+
+
+def seeded_index(size: Column, seed: int) -> Column:
     """0-based position a generator with this seed draws from ``size`` items.
 
-    Matches published samples exactly; it sees one row per country, season and
-    variant. ``hashed_index`` is the native choice where parity is not needed.
+    A list of days has at most 366 entries, so all draws of one seed fit in one
+    literal and are looked up by size. Matches published samples exactly;
+    ``hashed_index`` is the cheaper choice where parity is not needed.
     """
-    return pd.Series([random.Random(int(s)).choice(range(int(n))) for n, s in zip(size, seed)], dtype="int32")
+    draws = ",".join(str(random.Random(seed).choice(range(n))) for n in range(1, MAX_DAYS + 1))
+    return F.element_at(F.split(F.lit(draws), ",").cast("array<int>"), size)
 
 
 def hashed_index(size: Column, *key: Column) -> Column:
@@ -146,15 +157,22 @@ def hashed_index(size: Column, *key: Column) -> Column:
 
 
 def pick_days(ranges: DataFrame, variants: int, exact: bool = True) -> DataFrame:
-    """Add ``variant`` 1..n and the sampled ``day`` of each to the season rows."""
-    grid = ranges.withColumn("variant", F.explode(F.sequence(F.lit(1), F.lit(variants))))
+    """Add ``variant`` 1..n and the sampled ``day`` (also as ``month_day``) to the season rows."""
     size = F.array_size("days")
-    index = (
-        seeded_index(size, F.col("variant") * 42)
-        if exact
-        else hashed_index(size, F.col("country"), F.col("season"), F.col("variant"))
+
+    def index(variant: int) -> Column:
+        if exact:
+            return seeded_index(size, variant * 42)
+        return hashed_index(size, F.col("country"), F.col("season"), F.lit(variant))
+
+    picks = F.array(
+        *[
+            F.struct(F.lit(v).alias("variant"), F.element_at("days", index(v) + 1).alias("day"))
+            for v in range(1, variants + 1)
+        ]
     )
-    return grid.withColumn("day", F.element_at("days", index + 1)).drop("days")
+    picked = ranges.withColumn("pick", F.explode(picks)).select("*", "pick.*").drop("days", "pick")
+    return picked.withColumn("month_day", F.replace("day", F.lit("-"), F.lit("")).cast("int"))
 
 
 def profile_long(profiles: DataFrame, keys: Sequence[str]) -> DataFrame:

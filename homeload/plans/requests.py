@@ -57,10 +57,9 @@ def parse_answers(
     answers: DataFrame, column: str, schema: str, custom_parser: Callable[[Column], Column] | None = None
 ) -> DataFrame:
     """Add ``json`` and ``parsed``; ``parsed`` is null where the answer is no valid JSON."""
-    body = text.extract_json(F.col(column))
-    parse = custom_parser or (lambda c: F.from_json(c, schema))
-    readable = F.try_parse_json(body).isNotNull()
-    return answers.withColumn("json", body).withColumn("parsed", F.when(readable, parse(body)))
+    body, parse = F.col("json"), custom_parser or (lambda c: F.from_json(c, schema))
+    extracted = answers.withColumn("json", text.extract_json(F.col(column)))
+    return extracted.withColumn("parsed", F.when(F.try_parse_json(body).isNotNull(), parse(body)))
 
 
 def audit_reports(answers: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -33,10 +33,10 @@ def sampled_profiles(
     """One sampled day per country, season and variant, with season-wide bounds."""
     seasonal = w.in_seasons(w.with_season(hourly, southern), seasons)
     picks = w.pick_days(w.seasonal_range(seasonal, digits), variants, exact)
-    wanted = picks.select("country", "season", "day").distinct()
-    on_day = seasonal.withColumn("day", cal.month_day_text(F.col("ts")))
+    wanted = picks.select("country", "season", "month_day").distinct()
+    on_day = seasonal.withColumn("month_day", cal.month_day(F.col("ts")))
     profiles = w.day_profiles(
-        on_day.join(wanted, ["country", "season", "day"], "left_semi").drop("day"),
+        on_day.join(wanted, ["country", "season", "month_day"], "left_semi").drop("month_day"),
         ["country", "season"], digits,
     )
     joined = picks.join(profiles, ["country", "season", "day"])
@@ -62,7 +62,7 @@ def hourly_day(
         ranges = w.seasonal_range(seasonal, digits).select("country", "days")
         picks = ranges.select(
             "country",
-            F.element_at("days", w.seeded_index(F.array_size("days"), F.lit(seed)) + 1).alias("variable_date"),
+            F.element_at("days", w.seeded_index(F.array_size("days"), seed) + 1).alias("variable_date"),
         )
         rows = seasonal.withColumn("variable_date", cal.month_day_text(F.col("ts"))).join(
             picks, ["country", "variable_date"]
@@ -102,8 +102,8 @@ def weather_sequence(
     northern seasons everywhere.
     """
     spark = hourly.sparkSession
-    wanted = sorted({d.strftime("%m-%d") for d in days.date_list(start, min(n_days, 366), year)})
-    on_days = hourly.where(cal.month_day_text(F.col("ts")).isin(*wanted))
+    wanted = sorted({d.month * 100 + d.day for d in days.date_list(start, min(n_days, 366), year)})
+    on_days = hourly.where(cal.month_day(F.col("ts")).isin(*wanted))
     profiles = w.day_profiles(on_days, ["country"], digits, legacy_hours)
     dated = profiles.join(days.date_frame(spark, start, n_days, year), "day")
     if codes is not None and periods is not None:
@@ -122,15 +122,15 @@ def weather_sequence(
 def missing_days(hourly: DataFrame, start: str, n_days: int, year: int) -> DataFrame:
     """``(country, date)`` pairs of a sequence that have no hourly data."""
     spark = hourly.sparkSession
-    have = hourly.select("country", cal.month_day_text(F.col("ts")).alias("day")).distinct()
+    have = hourly.select("country", cal.month_day(F.col("ts")).alias("month_day")).distinct()
     countries = have.select("country").distinct()
     first = days.date_list(start, 1, year)[0]
     wanted = countries.select(
         "country",
         F.explode(F.sequence(F.lit(first), F.date_add(F.lit(first), n_days - 1))).alias("date"),
     )
-    keyed = wanted.withColumn("day", cal.month_day_text(F.col("date")))
-    return keyed.join(have, ["country", "day"], "left_anti").select("country", "date")
+    keyed = wanted.withColumn("month_day", cal.month_day(F.col("date")))
+    return keyed.join(have, ["country", "month_day"], "left_anti").select("country", "date")
 
 
 def hour_calendar(

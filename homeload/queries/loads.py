@@ -131,7 +131,7 @@ WITH m AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_
                    - row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS g FROM events)
 SELECT user_id, min(event_id) AS event_id, event_type, count(*) AS run_length FROM m GROUP BY user_id, event_type, g""")
 def repeat_runs(spark, sf_dir):
-    out = ordered.runs(_by_user(spark, sf_dir), ["user_id"], ["ts", "event_id"], "event_type", ["day", "hour"])
+    out = ordered.runs(_by_user(spark, sf_dir), ["user_id"], ["ts", "event_id"], "event_type", ["day"])
     return out.select("user_id", "event_id", "event_type", "run_length")
 
 

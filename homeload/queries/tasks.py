@@ -174,12 +174,10 @@ done AS (SELECT DISTINCT run, k.family_file_id AS family_file_id, k.season AS se
 SELECT t.* FROM tasks t LEFT JOIN done d USING (run, family_file_id, season, profile, day_type, variant)
 WHERE d.run IS NULL""")
 def tasks_remaining(spark, sf_dir):
-    files = _order_file(spark, sf_dir).select(
-        (F.col("o_custkey") % 25).cast("int").alias("run"), key.consumption_key(F.col("file")).alias("k")
-    )
-    done = files.select(
-        "run", F.col("k.family_id").alias("family_file_id"), "k.season", F.col("k.profile").cast("bigint").alias("profile"),
-        "k.day_type", "k.variant",
+    files = _order_file(spark, sf_dir).withColumn("run", (F.col("o_custkey") % 25).cast("int"))
+    done = t.keyed(files, key.consumption_key(F.col("file")), ["run"]).select(
+        "run", F.col("family_id").alias("family_file_id"), "season", F.col("profile").cast("bigint").alias("profile"),
+        "day_type", "variant",
     )
     out = plan.consumption_tasks(_families(spark, sf_dir), _profiles(spark, sf_dir), ["run"], 1, completed=done)
     return out.drop("seed", "family_label")

@@ -22,6 +22,7 @@ def local_session(app: str = "homeload", cores: str = "8", **extra: str) -> Spar
     settings = SETTINGS | {
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "8g",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }

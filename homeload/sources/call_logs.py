@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from homeload import schemas
+from homeload.functions.arrays import let
 from homeload.operators import usage
 from homeload.sources.documents import existing
 
@@ -21,15 +22,18 @@ ENTRY_GAP = ",\n{"
 
 def repaired(content: Column) -> Column:
     """Close an array that was cut off between entries: drop one comma, add ``]``."""
-    body = F.regexp_replace(content, r"^\s+|\s+$", "")
-    open_ended = F.regexp_replace(body, ",$", "")
-    return F.when(F.endswith(body, F.lit("]")) | (body == ""), body).otherwise(F.concat(open_ended, F.lit("]")))
+
+    def close(body: Column) -> Column:
+        whole = F.endswith(body, F.lit("]")) | (body == "")
+        return F.when(whole, body).otherwise(F.concat(F.regexp_replace(body, ",$", ""), F.lit("]")))
+
+    return let(F.regexp_replace(content, r"^\s+|\s+$", ""), close)
 
 
 def parsed_calls(content: Column) -> Column:
     """Array of calls in one log text, null when it cannot be read even after repair."""
-    calls = F.from_json(repaired(content), schemas.array_of(schemas.API_CALL))
-    return F.when(F.try_parse_json(repaired(content)).isNotNull(), calls)
+    calls = schemas.array_of(schemas.API_CALL)
+    return let(repaired(content), lambda body: F.when(F.try_parse_json(body).isNotNull(), F.from_json(body, calls)))
 
 
 def read_call_logs(spark: SparkSession, paths: Paths, whole_limit: int = WHOLE_FILE_LIMIT) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from homeload import schemas
 from homeload.functions import keys
-from homeload.operators import nested
+from homeload.operators import nested, tasks
 
 Paths = str | Sequence[str]
 
@@ -90,4 +90,4 @@ _KEYS = {"family": keys.family_key, "weather": keys.weather_key, "consumption":
 def completed(spark: SparkSession, folder: str, kind: str) -> DataFrame:
     """Distinct keys of the valid finished files; kind is family, weather or consumption."""
     files = finished_files(spark, folder).where("valid")
-    return files.select(_KEYS[kind](F.col("file")).alias("k")).where(F.col("k").isNotNull()).select("k.*").distinct()
+    return tasks.keyed(files, _KEYS[kind](F.col("file"))).distinct()
