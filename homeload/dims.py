@@ -114,8 +114,8 @@ def _literal(value):
 
 
 def country_codes(spark: SparkSession, countries=COUNTRIES, aliases=ALIASES) -> DataFrame:
-    """``(country, code)`` for every full name and alias; an alias replaces an equal name."""
-    table = {name: code for code, name in countries}
+    """``(country, code)`` for every code, full name and alias; an alias replaces an equal name."""
+    table = {code: code for code, _ in countries} | {name: code for code, name in countries}
     table.update(aliases)
     return literal_frame(spark, sorted(table.items()), "country STRING, code STRING")
 

@@ -12,13 +12,9 @@ from homeload.functions import calendar as cal
 
 
 def with_country_code(df: DataFrame, codes: DataFrame, country: str = "country") -> DataFrame:
-    """Code of a country name or alias; a value that already is a code keeps itself."""
-    named = codes.select(F.col("country").alias("__name"), F.col("code").alias("__code"))
-    known = F.broadcast(codes.select(F.col("code").alias("__own")).distinct())
-    out = df.join(named, df[country] == F.col("__name"), "left").join(
-        known, df[country] == F.col("__own"), "left"
-    )
-    return out.withColumn("code", F.coalesce("__code", "__own")).drop("__name", "__code", "__own")
+    """Code of a country given by name, alias or code; null for any other."""
+    named = codes.select(F.col("country").alias("__name"), "code")
+    return df.join(named, df[country] == F.col("__name"), "left").drop("__name")
 
 
 def with_day_type(df: DataFrame, date: str, periods: DataFrame, code: str = "code") -> DataFrame:

@@ -24,30 +24,39 @@ def _direction(order: Names, descending: bool) -> list[Column]:
     return [F.col(c).desc() if descending else F.col(c).asc() for c in order]
 
 
-def _join_on(left: DataFrame, right: DataFrame, keys: Names) -> DataFrame:
-    """Left join on null-safe keys, dropping the right side's copies."""
-    renamed = right.select(*[F.col(k).alias(f"__{k}") if k in keys else F.col(k) for k in right.columns])
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(renamed[f"__{k}"])
-    return left.join(renamed, cond, "left").drop(*[f"__{k}" for k in keys])
+def _keyed(df: DataFrame, group: Names, levels: Names) -> DataFrame:
+    """Add ``__key``, the chunk a row belongs to.
+
+    One struct serves the window, the chunk aggregate and the join, so the rows
+    are shuffled once; a struct equals itself even where its fields are null.
+    """
+    return df.withColumn("__key", F.struct(*[F.col(c) for c in (*group, *levels)]))
+
+
+def _open_chunks(chunks: DataFrame, group: Names, levels: Names) -> DataFrame:
+    """The columns a chunk key is made of, beside the key itself."""
+    return chunks.select("*", *[F.col("__key")[c].alias(c) for c in (*group, *levels)])
 
 
 def running_total(
     df: DataFrame, group: Names, order: Names, value: Column, name: str, levels: Names = ()
 ) -> DataFrame:
     """Inclusive running sum of ``value`` in ``order`` within ``group``."""
+    frame = (Window.unboundedPreceding, 0)
     if not levels:
-        w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(name, F.sum(value).over(w))
-    keys = [*group, *levels]
-    own = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    chunks = df.groupBy(*keys).agg(F.sum(value).alias("__chunk"))
-    chunks = running_total(chunks, group, [levels[-1]], F.col("__chunk"), "__upto", levels[:-1])
-    offsets = chunks.select(*keys, (F.col("__upto") - F.col("__chunk")).alias("__before"))
-    local = df.withColumn(name, F.sum(value).over(own))
-    out = _join_on(local, offsets, keys)
-    return out.withColumn(name, F.col(name) + F.col("__before")).drop("__before")
+        return df.withColumn(name, F.sum(value).over(Window.partitionBy(*group).orderBy(*order).rowsBetween(*frame)))
+    keyed = _keyed(df, group, levels)
+    local = keyed.withColumn(name, F.sum(value).over(Window.partitionBy("__key").orderBy(*order).rowsBetween(*frame)))
+    offsets = _offsets(keyed.groupBy("__key").agg(F.sum(value).alias("__chunk")), group, levels)
+    out = local.join(offsets, "__key", "left")
+    return out.withColumn(name, F.col(name) + F.col("__before")).drop("__before", "__key")
+
+
+def _offsets(chunks: DataFrame, group: Names, levels: Names) -> DataFrame:
+    """What all earlier chunks of the same group add up to."""
+    narrow = _open_chunks(chunks, group, levels).withColumnRenamed("__key", "__below")
+    upto = running_total(narrow, group, [levels[-1]], F.col("__chunk"), "__upto", levels[:-1])
+    return upto.select(F.col("__below").alias("__key"), (F.col("__upto") - F.col("__chunk")).alias("__before"))
 
 
 def running_number(df: DataFrame, group: Names, order: Names, name: str, levels: Names = ()) -> DataFrame:
@@ -55,13 +64,11 @@ def running_number(df: DataFrame, group: Names, order: Names, name: str, levels:
     if not levels:
         w = Window.partitionBy(*group).orderBy(*order)
         return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-    keys = [*group, *levels]
-    chunks = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__chunk"))
-    chunks = running_total(chunks, group, [levels[-1]], F.col("__chunk"), "__upto", levels[:-1])
-    offsets = chunks.select(*keys, (F.col("__upto") - F.col("__chunk")).alias("__before"))
-    local = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    out = _join_on(local, offsets, keys)
-    return out.withColumn(name, (F.col(name) + F.col("__before")).cast("bigint")).drop("__before")
+    keyed = _keyed(df, group, levels)
+    local = keyed.withColumn(name, F.row_number().over(Window.partitionBy("__key").orderBy(*order)))
+    offsets = _offsets(keyed.groupBy("__key").agg(F.count(F.lit(1)).alias("__chunk")), group, levels)
+    out = local.join(offsets, "__key", "left")
+    return out.withColumn(name, (F.col(name) + F.col("__before")).cast("bigint")).drop("__before", "__key")
 
 
 def neighbour(
@@ -78,16 +85,15 @@ def neighbour(
     if not levels:
         w = Window.partitionBy(*group).orderBy(*_direction(order, following))
         return df.withColumn(name, F.lag(packed).over(w))
-    keys = [*group, *levels]
-    own = Window.partitionBy(*keys).orderBy(*_direction(order, following))
+    keyed = _keyed(df, group, levels)
+    own = Window.partitionBy("__key").orderBy(*_direction(order, following))
     edge = F.min_by if following else F.max_by
-    chunks = df.groupBy(*keys).agg(edge(packed, F.struct(*[F.col(c) for c in order])).alias("__edge"))
-    beside = f"__beside_{levels[-1]}"
-    chunks = neighbour(chunks, group, [levels[-1]], ["__edge"], beside, levels[:-1], following)
-    carried = chunks.select(*keys, F.col(beside)["__edge"].alias("__carry"))
-    local = df.withColumn(name, F.lag(packed).over(own))
-    out = _join_on(local, carried, keys)
-    return out.withColumn(name, F.coalesce(F.col(name), F.col("__carry"))).drop("__carry")
+    chunks = keyed.groupBy("__key").agg(edge(packed, F.struct(*[F.col(c) for c in order])).alias("__edge"))
+    narrow = _open_chunks(chunks, group, levels).withColumnRenamed("__key", "__below")
+    beside = neighbour(narrow, group, [levels[-1]], ["__edge"], "__beside", levels[:-1], following)
+    carried = beside.select(F.col("__below").alias("__key"), F.col("__beside")["__edge"].alias("__carry"))
+    out = keyed.withColumn(name, F.lag(packed).over(own)).join(carried, "__key", "left")
+    return out.withColumn(name, F.coalesce(F.col(name), F.col("__carry"))).drop("__carry", "__key")
 
 
 def _islands(df: DataFrame, keys: Names, order: Names, value: str) -> DataFrame:

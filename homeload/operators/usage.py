@@ -28,7 +28,8 @@ def resolve_members(calls: DataFrame, members: Rows) -> DataFrame:
     """Attach ``member_role`` and ``member_model``; calls of no known member drop out.
 
     The role in the call wins in any word order; the exact model is the
-    fallback. The first listed member wins on both.
+    fallback. The first listed member wins on both. Calls of text logs have no
+    ``role`` column and are matched by model.
     """
     spark = calls.sparkSession
     by_role, by_model = {}, {}
@@ -38,12 +39,14 @@ def resolve_members(calls: DataFrame, members: Rows) -> DataFrame:
     schema = "STRING, {0}_role STRING, {0}_model STRING"
     roles = dims.literal_frame(spark, [(k, *v) for k, v in by_role.items()], "r_key " + schema.format("r"))
     models = dims.literal_frame(spark, [(k, *v) for k, v in by_model.items()], "m_key " + schema.format("m"))
-    joined = calls.join(roles, text.normalised_role(F.col("role")) == F.col("r_key"), "left").join(
-        models, F.col("model") == F.col("m_key"), "left"
-    )
+    joined = calls.join(models, F.col("model") == F.col("m_key"), "left")
+    sides = ["m"]
+    if "role" in calls.columns:
+        joined = joined.join(roles, text.normalised_role(F.col("role")) == F.col("r_key"), "left")
+        sides = ["r", "m"]
     return (
-        joined.withColumn("member_role", F.coalesce("r_role", "m_role"))
-        .withColumn("member_model", F.coalesce("r_model", "m_model"))
+        joined.withColumn("member_role", F.coalesce(*[f"{s}_role" for s in sides]))
+        .withColumn("member_model", F.coalesce(*[f"{s}_model" for s in sides]))
         .where(F.col("member_role").isNotNull())
         .drop("r_key", "r_role", "r_model", "m_key", "m_role", "m_model")
     )

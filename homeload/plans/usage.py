@@ -46,7 +46,7 @@ def text_log_report(
     members = u.member_rows(roles)
     done = u.pair_events(events, group, order, levels, [m for _, m in members])
     calls = done.select(
-        F.lit(None).cast("string").alias("role"), "model", F.col("seconds").alias("duration_seconds"),
+        "model", F.col("seconds").alias("duration_seconds"),
         F.col("chars").alias("response_chars"), F.lit(0).cast("bigint").alias("tokens_in"),
         F.lit(0).cast("bigint").alias("tokens_out"), F.lit(0.0).alias("cost_total"),
     )

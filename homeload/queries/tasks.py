@@ -24,8 +24,8 @@ def _values(rows, columns: str) -> str:
 
 _RUNS = "runs AS (SELECT DISTINCT c_nationkey, c_mktsegment FROM customer)"
 _COMBOS = (
-    "combos AS (SELECT DISTINCT p_size % 5 + 1 AS people_code, length(p_name) % 5 + 1 AS house_code, "
-    "CAST(p_partkey % 3 + 1 AS INTEGER) AS composition_code FROM part WHERE p_brand = 'Brand#7')"
+    "combos AS (SELECT p_size % 5 + 1 AS people_code, length(p_name) % 5 + 1 AS house_code, "
+    "CAST(p_partkey % 3 + 1 AS INTEGER) AS composition_code FROM part GROUP BY 1, 2, 3 HAVING avg(p_size) >= 26)"
 )
 _GRID = f"""grid AS (
   SELECT c_nationkey, c_mktsegment, h.id AS house_code, p.id AS people_code, c.id AS composition_code, v.variant,
@@ -44,10 +44,11 @@ def _runs(spark, sf_dir):
 
 
 def _combos(spark, sf_dir):
-    return table(spark, sf_dir, "part").where("p_brand = 'Brand#7'").select(
+    """Combinations whose parts are large on average, as the representative list."""
+    return table(spark, sf_dir, "part").groupBy(
         (F.col("p_size") % 5 + 1).alias("people_code"), (F.length("p_name") % 5 + 1).alias("house_code"),
         (F.col("p_partkey") % 3 + 1).cast("int").alias("composition_code"),
-    )
+    ).agg(F.avg("p_size").alias("size")).where("size >= 26")
 
 
 @query(f"WITH {_RUNS}, {_COMBOS}, {_GRID} SELECT * FROM grid")

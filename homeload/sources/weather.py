@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from homeload import schemas
 
 SIGNALS = ("temp_air", "relative_humidity", "ghi", "dni", "dhi", "wind_speed")
-STAMP = "yyyy-MM-dd HH:mm:ssXXX"
 
 
 def read_weather_cache(spark: SparkSession, folder: str) -> DataFrame:
@@ -27,11 +26,11 @@ def read_weather_cache(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def write_weather_table(hourly: DataFrame, path: str) -> None:
-    """Columnar copy for repeated use, pruned by country and year."""
-    from_path = hourly if "year" in hourly.columns else hourly.withColumn("year", F.year("ts"))
-    from_path.write.mode("overwrite").partitionBy("country", "year").parquet(path)
+def write_weather_table(hourly: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Copy for repeated use as Parquet or CSV, pruned by country and year when read."""
+    with_year = hourly if "year" in hourly.columns else hourly.withColumn("year", F.year("ts"))
+    with_year.write.mode("overwrite").partitionBy("country", "year").option("header", True).format(fmt).save(path)
 
 
-def read_weather_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(f"{schemas.TMY_HOURLY}, year INT").parquet(path)
+def read_weather_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    return spark.read.schema(f"{schemas.TMY_HOURLY}, year INT").option("header", True).format(fmt).load(path)

@@ -89,6 +89,9 @@ def test_weather_cache_and_table(spark, tmp_path, hourly):
     weather.write_weather_table(got, out)
     table = weather.read_weather_table(spark, out).where("country = 'Brazil' AND year = 2024")
     assert table.count() == 48
+    text = shared_folder(spark, "table-csv")
+    weather.write_weather_table(got, text, "csv")
+    assert weather.read_weather_table(spark, text, "csv").select(*hourly.columns).exceptAll(hourly).count() == 0
     scan = table._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in scan and "Brazil" in scan.split("PartitionFilters")[1].split("]")[0]
 
