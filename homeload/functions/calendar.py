@@ -87,3 +87,13 @@ def day_types_of_profile(
     chosen = F.coalesce(stated, from_name)
     fallback = F.array(*[F.lit(d) for d in (default or (WEEKDAY, WEEKEND))])
     return F.when(chosen.isNotNull(), F.array(chosen)).otherwise(fallback)
+
+
+def utc_instant(wall: Column) -> Column:
+    """Zone-free UTC wall time as an instant, whatever the session's zone; event time needs instants."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), wall).cast("timestamp")
+
+
+def utc_wall_time(instant: Column) -> Column:
+    """Inverse of ``utc_instant``."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from homeload.functions.calendar import utc_instant, utc_wall_time
 from homeload.plans import audit as plan
 from homeload.plans import weather as weather_plan
 from homeload.queries import usage as u
@@ -32,7 +33,7 @@ def _live_calls(df):
     """Call records of an event stream; each even event arrives twice and must count once."""
     k = F.get_json_object("props", "$.k").cast("bigint")
     once = df.select(
-        F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("ts"), u._mapped("event_type", u.ROLE_OF).alias("role"),
+        F.col("event_id").alias("id"), utc_instant(F.col("ts")).alias("ts"), u._mapped("event_type", u.ROLE_OF).alias("role"),
         u._mapped("event_type", u.MODEL_OF).alias("model"), choose(F.col("event_id"), u.PROVIDERS).alias("provider"),
         F.col("value").alias("duration_seconds"),
         F.when(F.col("event_id") % 11 != 0, F.col("event_id") % 5000 + 100).alias("tokens_in"), (k * 10).alias("tokens_out"),
@@ -46,7 +47,7 @@ def _run(spark, sf_dir, **kw):
     out, checkpoint = shared_folder(spark, "usage-windows"), shared_folder(spark, "usage-windows-state")
     live.run_available(stream, out, checkpoint)
     return spark.read.schema(stream.schema).parquet(out).select(
-        F.col("window_start").cast("timestamp_ntz").alias("window_start"), F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+        utc_wall_time(F.col("window_start")).alias("window_start"), utc_wall_time(F.col("window_end")).alias("window_end"),
         "role", "calls", "tokens_in", "tokens_out", F.round("total_time", 4).alias("total_time"), F.round("total_cost", 8).alias("total_cost"),
     )
 
