@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from homeload.llm import packing, token_files
+from homeload.llm import packing, simhash, token_files, warc
 from homeload.llm.registry import ORACLES, QUERIES, query
 from homeload.queries.tables import table
 from homeload.session import shared_folder
@@ -33,3 +33,28 @@ def packed(spark: SparkSession, docs: DataFrame) -> DataFrame:
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens, one row per piece."""
     return packed(spark, table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
+
+
+@query(
+    f"""
+    WITH p AS (
+      SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h,
+             max(page_id) OVER (PARTITION BY coalesce(html, '')) AS answer
+      FROM pages
+    )
+    SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {warc.base32_sql("h")} AS payload_digest,
+           CASE WHEN page_id = answer THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> answer THEN answer END AS refers_to
+    FROM p"""
+)
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records in Zstandard archives, read back and validated."""
+    back = warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
