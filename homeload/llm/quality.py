@@ -23,35 +23,38 @@ WORD = r"[^\x20\x09-\x0D]+"
 SAMPLE_ROWS, SAMPLE_SHARE = 500, 0.05
 
 
-def repeat_words(words: Column) -> Column:
-    """Words inside three-word windows found twice or more in the text, the first included.
+def _equal_neighbours(rows: Column) -> Column:
+    """Of a sorted array of ``struct<key, i>``: the rows whose key equals the one before or after."""
 
-    Windows are sorted with their places, so equal ones are neighbours; a hash
-    in front makes most comparisons cheap, the window itself keeps them exact.
-    """
+    def pick(s: Column) -> Column:
+        def same(i: Column, j: Column) -> Column:
+            return F.coalesce(F.get(s, i)["key"] == F.get(s, j)["key"], F.lit(False))
 
-    def window(i: Column) -> Column:
-        return F.concat_ws(" ", F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
+        return F.filter(s, lambda row, i: ((i > 0) & same(i, i - 1)) | same(i, i + 1))
 
-    def covered(windows: Column) -> Column:
-        placed = F.transform(windows, lambda w, i: F.struct(F.xxhash64(w).alias("h"), w.alias("w"), i.alias("i")))
+    return let(F.sort_array(rows), pick)
 
-        def repeated(s: Column) -> Column:
-            last = F.size(s) - 1
 
-            def same(i: Column, j: Column) -> Column:
-                return (F.get(s, i)["h"] == F.get(s, j)["h"]) & (F.get(s, i)["w"] == F.get(s, j)["w"])
+def repeat_words(words: Column) -> Column:
+    """Words inside three-word windows found twice or more in the text, the first included.
 
-            hits = F.filter(F.sequence(F.lit(0), last), lambda i: ((i > 0) & same(i, i - 1)) | ((i < last) & same(i, i + 1)))
-            return F.sort_array(F.transform(hits, lambda i: F.get(s, i)["i"]))
+    Hashes that are all distinct prove that no window repeats, which settles
+    most texts. Else windows are sorted with their places, so equal ones are
+    neighbours: by hash first, then those that met by their words.
+    """
 
+    def covered(hashes: Column) -> Column:
+        met = _equal_neighbours(F.transform(hashes, lambda h, i: F.struct(h.alias("key"), i.alias("i"))))
+        window = lambda m: F.struct(*[F.get(words, m["i"] + k).alias(f"w{k}") for k in range(3)])
+        hits = _equal_neighbours(F.transform(met, lambda m: F.struct(window(m).alias("key"), m["i"].alias("i"))))
         start = F.struct(F.lit(-3).alias("at"), F.lit(0).cast("long").alias("n"))
         add = lambda a, i: F.struct(i.alias("at"), (a["n"] + F.least(F.lit(3), i - a["at"])).alias("n"))
-        return F.aggregate(let(F.sort_array(placed), repeated), start, add, lambda a: a["n"])
+        return F.aggregate(F.sort_array(F.transform(hits, lambda m: m["i"])), start, add, lambda a: a["n"])
 
-    windows = F.transform(F.sequence(F.lit(0), F.size(words) - 3), window)
-    counted = let(windows, lambda w: F.when(F.size(F.array_distinct(w)) == F.size(w), F.lit(0).cast("long")).otherwise(covered(w)))
-    return F.when(F.size(words) < 3, F.lit(0).cast("long")).otherwise(counted)
+    none = F.lit(0).cast("long")
+    hashed = F.transform(F.sequence(F.lit(0), F.size(words) - 3), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(3)]))
+    counted = let(hashed, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), none).otherwise(covered(h)))
+    return F.when(F.size(words) < 3, none).otherwise(counted)
 
 
 def measures(docs: DataFrame) -> DataFrame:
@@ -79,15 +82,15 @@ def rules(q: Column, text: Column) -> dict[str, Column]:
     return {
         "symbols": 10 * q["n_symbols"] > q["n_words"],
         "shouting": 10 * F.regexp_count(text, F.lit("!")) > 3 * q["n_words"],
-        "repeated lines": 10 * q["n_dup_lines"] > 3 * (F.regexp_count(text, F.lit("\n")) + 1),
+        "repeated lines": (q["n_dup_lines"] > 3) & (10 * q["n_dup_lines"] > 3 * F.regexp_count(text, F.lit("\n"))),
         "word length": (q["word_chars"] < 2 * q["n_words"]) | (q["word_chars"] > 15 * q["n_words"]),
-        "few letters": 2 * F.regexp_count(text, F.lit(r"\p{L}")) < q["word_chars"],
+        "signs": 2 * F.regexp_count(text, F.lit(r"[!-@\[-`{-~]")) > q["word_chars"],
     }
 
 
 def cascade_order(docs: DataFrame, conditions: Mapping[str, Column], sample_rows: int = SAMPLE_ROWS, share: float = SAMPLE_SHARE) -> list[str]:
-    """Rule names by rejections per second, from at most ``sample_rows`` of ``docs``."""
-    sample = written(docs.sample(fraction=share, seed=7).limit(sample_rows), "quality-sample")
+    """Rule names by rejections per second, from at most ``sample_rows`` of ``docs``; only sampled texts are measured."""
+    sample = written(measures(docs.select("text").sample(fraction=share, seed=7).limit(sample_rows)), "quality-sample")
 
     def cost(condition: Column) -> tuple[float, int]:
         took, found = [], 0
@@ -114,6 +117,6 @@ def judge(docs: DataFrame) -> DataFrame:
     measured = measures(docs).withColumn("base_failed", base_failed(F.col("q")))
     text = F.coalesce("text", F.lit(""))
     conditions = rules(F.col("q"), text)
-    order = cascade_order(measured, conditions)
+    order = cascade_order(docs, conditions)
     cascade = reduce(lambda rest, name: F.when(conditions[name], False).otherwise(rest), reversed(order), F.lit(True))
     return measured.withColumn("kept", F.when(F.col("base_failed"), False).otherwise(cascade))

@@ -167,7 +167,7 @@ _QUALITY_SQL = f"""
              list_filter(lines, lambda s: regexp_matches(s, '{WORD_SQL}')) AS full_lines,
              coalesce(n_repeat_words, 0) AS n_repeat_words,
              length(text) - length(replace(text, '!', '')) AS bangs,
-             length(text) - length(regexp_replace(text, '\\p{{L}}', '', 'g')) AS letters
+             length(text) - length(regexp_replace(text, '[!-@\\[-`{{-~]', '', 'g')) AS signs
       FROM d LEFT JOIN n USING (k)
     ), f AS (
       SELECT *, CAST(len(full_lines) - len(list_distinct(full_lines)) AS BIGINT) AS n_dup_lines,
@@ -175,8 +175,8 @@ _QUALITY_SQL = f"""
       FROM q
     )
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-           NOT (base_failed OR 10 * n_symbols > n_words OR 10 * bangs > 3 * n_words OR 10 * n_dup_lines > 3 * len(lines)
-                OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 2 * letters < word_chars) AS kept
+           NOT (base_failed OR 10 * n_symbols > n_words OR 10 * bangs > 3 * n_words OR (n_dup_lines > 3 AND 10 * n_dup_lines > 3 * (len(lines) - 1))
+                OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 2 * signs > word_chars) AS kept
     FROM f"""
 
 
