@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homeload.llm import chat, packing, quality, simhash, token_files, url_filter, warc
+from homeload.llm import chat, decontaminate, packing, quality, simhash, token_files, url_filter, warc
 from homeload.llm.registry import ORACLES, QUERIES, query
 from homeload.queries.tables import table
 from homeload.session import shared_folder
@@ -185,3 +185,41 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every whole text."""
     judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", "q.*", "base_failed", "kept")
+
+
+BENCH_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_WORDS = f"regexp_extract_all({ASCII_LOWER.format("coalesce(text, '')")}, '{BENCH_WORD}')"
+
+_DECONTAMINATE_SQL = f"""
+    WITH d AS (
+      SELECT doc_id, row_number() OVER () AS k, {_WORDS} AS w FROM documents
+    ), b AS (
+      SELECT item_id, {_WORDS} AS w FROM benchmark
+    ), bw AS (
+      SELECT DISTINCT item_id, least(13, len(w)) AS size, array_to_string(w[i : i + least(13, len(w)) - 1], ' ') AS s
+      FROM b, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS r(i) WHERE len(w) > 0
+    ), dw AS (
+      SELECT k, i, size, array_to_string(w[i : i + size - 1], ' ') AS s
+      FROM d, (SELECT DISTINCT size FROM bw) z, unnest(range(1, len(w) - size + 2)) AS r(i)
+    ), m AS (
+      SELECT k, i, dw.size, item_id FROM dw JOIN bw ON dw.s = bw.s AND dw.size = bw.size
+    ), h AS (
+      SELECT k, count(DISTINCT i + j) AS n_hit FROM m, unnest(range(0, m.size)) AS o(j) GROUP BY k
+    ), t AS (
+      SELECT k, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items
+      FROM (SELECT DISTINCT k, item_id FROM m) GROUP BY k
+    )
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+           CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+           coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+    FROM d LEFT JOIN h USING (k) LEFT JOIN t USING (k)"""
+
+
+@query(_DECONTAMINATE_SQL)
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows found in every whole document."""
+    judged = decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return judged.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
