@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homeload.llm import chat, decontaminate, packing, quality, simhash, token_files, url_filter, warc
+from homeload.llm import chat, decontaminate, packing, quality, simhash, substrings, token_files, url_filter, warc
 from homeload.llm.registry import ORACLES, QUERIES, query
 from homeload.queries.tables import table
 from homeload.session import shared_folder
@@ -223,3 +223,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
     )
+
+
+@query()
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document less the passages that documents with smaller ids hold."""
+    kept = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("text", 256).alias("kept_sha256"), "text")
