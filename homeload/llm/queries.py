@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homeload.llm import chat, decontaminate, packing, quality, simhash, substrings, token_files, url_filter, warc
+from homeload.llm import chat, decontaminate, exact_substrings, packing, quality, simhash, substrings, token_files, url_filter, warc
 from homeload.llm.registry import ORACLES, QUERIES, query
 from homeload.queries.tables import table
 from homeload.session import shared_folder
@@ -230,3 +230,13 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document less the passages that documents with smaller ids hold."""
     kept = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("text", 256).alias("kept_sha256"), "text")
+
+
+@query()
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document less the bytes of 50-byte strings that documents with smaller ids hold."""
+    kept = exact_substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
