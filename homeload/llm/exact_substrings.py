@@ -32,7 +32,8 @@ from homeload.llm.shared_keys import (
 from homeload.llm.substrings import BASE, LETTER, SLICE, ids_of, mix, packed_rows, tells_of, texts_of
 
 LENGTH, ANCHOR = 50, 25
-LONGEST_RUN = 48  # so that a run's first and last suffix cover all its bytes
+LONGEST_RUN = 48  # so that a run's first and last suffix cover all its bytes, and its length fits six bits
+OPEN = 64  # beside a run's length: its suffixes decide
 
 
 def _power(n: int) -> np.uint64:
@@ -44,53 +45,80 @@ def _joined(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
     return a[: len(b)] * _power(size) + b
 
 
-def runs(texts: list[bytes]) -> dict[str, np.ndarray]:
-    """Runs of all texts in order: anchor and run fingerprints, first suffix (place in its text), number of suffixes, text."""
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+def _block_runs(texts: list[bytes], sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Anchors, first suffix (place in the joined block), number of suffixes, text, and run fingerprints of a block."""
     x = np.frombuffer(b"".join(texts), np.uint8)
-    empty = np.zeros(0, np.int64)
-    none = {"anchor": np.zeros(0, np.uint64), "run": np.zeros(0, np.uint64), "at": empty, "n": empty, "text": empty, "suffix": np.zeros(0, np.uint64), "from": empty}
-    if len(x) < LENGTH:
-        return none
+    n = len(x) - LENGTH + 1
     h = LETTER[x]
-    one, grown = h, {1: h}
+    grown = {1: h}
     for size in (1, 2, 4, 8):
         h = _joined(h[: len(h) - size], h[size:], size)
         grown[2 * size] = h
-    n = len(x)
-    h24 = _joined(grown[16][: n - 23], grown[8][16:], 8)
-    h25 = _joined(h24[: n - 24], one[24:], 1)
-    suffix = mix(_joined(h25[: n - 49], h25[25:], 25))
-    low = mix(h25)
+    h24 = _joined(grown[16][: n + 26], grown[8][16:], 8)
+    h25 = _joined(h24[: n + 25], grown[1][24:], 1)
+    low = (h25 ^ (h25 >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
     for step in (1, 2, 4, 8):
         low = np.minimum(low[:-step], low[step:])
     low = np.minimum(low[:-10], low[10:])  # least of the 26 anchors inside a suffix
     ends = np.cumsum(sizes)
-    text = np.repeat(np.arange(len(sizes)), sizes)
-    inside = text[: n - 49] == text[49:]
-    where = np.flatnonzero(inside)
-    if not len(where):
-        return none
-    anchor, text = low[where], text[where]
-    new = np.ones(len(where), bool)
-    new[1:] = (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])
-    begin = np.flatnonzero(new)
-    since = np.arange(len(where)) - begin[np.cumsum(new) - 1]
-    begin = np.flatnonzero(since % LONGEST_RUN == 0)
-    count = np.diff(np.append(begin, len(where)))
-    first, last = where[begin], where[begin + count - 1]
-    run = mix(suffix[first] * BASE + suffix[last] + count.astype(np.uint64))
-    return {
-        "anchor": anchor[begin], "run": run, "at": first - (ends - sizes)[text[begin]], "n": count, "text": text[begin],
-        "suffix": suffix, "from": first,
-    }
+    outside = np.zeros(len(x) + 1, np.int8)  # suffixes that would cross into the next text
+    outside[np.maximum(ends - LENGTH + 1, ends - sizes)] += 1
+    outside[ends] -= 1
+    outside = np.cumsum(outside[:n], dtype=np.int8) > 0
+    change = np.ones(n, bool)
+    np.not_equal(low[1:], low[:-1], out=change[1:])
+    change[1:] |= outside[1:] != outside[:-1]
+    change[np.minimum(ends[:-1][ends[:-1] < n], n - 1)] = True
+    begin = np.flatnonzero(change)
+    count = np.diff(np.append(begin, n))
+    inside = ~outside[begin]
+    begin, count = begin[inside], count[inside]
+    parts = -(-count // LONGEST_RUN)
+    step = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+    first = np.repeat(begin, parts) + step * LONGEST_RUN
+    count = np.minimum(np.repeat(count, parts) - step * LONGEST_RUN, LONGEST_RUN)
+    last = first + count - 1
+    twice = _power(25)
+    run = mix(mix(h25[first] * twice + h25[first + 25]) * BASE + mix(h25[last] * twice + h25[last + 25]) + count.astype(np.uint64))
+    text = np.searchsorted(ends, first, "right")
+    return low[first], first, count, text, run, h25
+
+
+BLOCK = 192 << 10  # arrays of a block stay in a core's cache
+
+
+def _blocks(texts: list[bytes]):
+    """Texts of fifty bytes or more in blocks: their numbers and sizes."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    long = np.flatnonzero(sizes >= LENGTH)
+    upto = np.cumsum(sizes[long])
+    cuts = np.searchsorted(upto, np.arange(0, int(upto[-1]) if len(upto) else 0, BLOCK), "right")
+    for part in np.split(long, np.unique(cuts)[1:] if len(cuts) else []):
+        if len(part):
+            yield part, sizes[part]
 
 
-def _all_suffixes(r: dict, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Fingerprint, place and text of every suffix of the chosen runs."""
-    n = r["n"][chosen]
-    step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    return r["suffix"][np.repeat(r["from"][chosen], n) + step], np.repeat(r["at"][chosen], n) + step, np.repeat(r["text"][chosen], n)
+def runs(texts: list[bytes], suffixes: bool = False) -> dict[str, np.ndarray]:
+    """Runs of all texts in order: anchor and run fingerprints, first suffix (place in its text), number of suffixes, text.
+
+    With ``suffixes`` also every suffix of every run: its fingerprint, place and run.
+    """
+    found: dict[str, list] = {k: [] for k in ("anchor", "run", "at", "n", "text", "key", "place", "of")}
+    before = 0
+    for part, sizes in _blocks(texts):
+        anchor, first, count, text, run, h25 = _block_runs([texts[i] for i in part], sizes)
+        at = first - (np.cumsum(sizes) - sizes)[text]
+        for k, v in (("anchor", anchor), ("run", run), ("at", at), ("n", count), ("text", part[text])):
+            found[k].append(v)
+        if suffixes:
+            step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+            place = np.repeat(first, count) + step
+            found["key"].append(mix(h25[place] * _power(25) + h25[place + 25]))
+            found["place"].append(np.repeat(at, count) + step)
+            found["of"].append(np.repeat(np.arange(len(count)) + before, count))
+        before += len(count)
+    kinds = {"anchor": np.uint64, "run": np.uint64, "key": np.uint64}
+    return {k: np.concatenate(v) if v else np.zeros(0, kinds.get(k, np.int64)) for k, v in found.items()}
 
 
 def settle_runs(keys: np.ndarray, runs_: np.ndarray, docs: np.ndarray) -> np.ndarray:
@@ -130,7 +158,7 @@ def shared_segments(docs: DataFrame, shards: int) -> DataFrame:
                 texts = texts_of(cut.column("text"))
                 r = runs(texts)
                 counts = np.bincount(r["text"], minlength=len(texts))
-                rows = list(pack_slice(ids_of(cut.column("doc_id")), tells_of(texts), r["anchor"], r["at"], counts, shards, False, True))
+                rows = list(pack_slice(ids_of(cut.column("doc_id")), tells_of(texts), r["anchor"], r["at"], counts, shards, False, r["n"].astype(np.uint8)))
                 if rows:
                     yield packed_rows(rows)
 
@@ -138,15 +166,11 @@ def shared_segments(docs: DataFrame, shards: int) -> DataFrame:
         for batch in batches:
             for cut in tokens.slices(batch, "text", SLICE):
                 texts = texts_of(cut.column("text"))
-                r = runs(texts)
-                bounds = np.searchsorted(r["text"], np.arange(len(texts) + 1))
                 rows = []
                 told, flags = cut.column("places").to_pylist(), cut.column("flags").to_pylist()
                 for i, (doc, tell) in enumerate(zip(cut.column("doc_id").to_pylist(), cut.column("tell").to_pylist())):
-                    own = slice(bounds[i], bounds[i + 1])
-                    hit = np.isin(r["at"][own], merged(told[i], flags[i])[0])
-                    if hit.any():
-                        rows.append((doc, tell, *_segments(texts[i], r["at"][own][hit], r["n"][own][hit])))
+                    at, n = merged(told[i], flags[i])
+                    rows.append((doc, tell, *_segments(texts[i], at, n.astype(np.int64))))
                 if rows:
                     kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.binary())]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["doc_id", "tell", "starts", "parts"])
@@ -191,9 +215,10 @@ def settled_runs(segments: DataFrame, shards: int) -> DataFrame:
         if table.column("shard")[0].as_py() < 0:
             docs, tells, places, _, marks = unpack(table, np.uint32)
             return answers(docs, tells, places, marks)
-        docs, tells, places, both, _ = unpack(table, np.dtype("V16"))
+        docs, tells, places, both, marks = unpack(table, np.dtype("V16"))
         pairs = both.view(np.uint64).reshape(-1, 2)
-        return answers(docs, tells, places, settle_runs(pairs[:, 0].copy(), pairs[:, 1].copy(), docs))
+        flags = settle_runs(pairs[:, 0].copy(), pairs[:, 1].copy(), docs)
+        return answers(docs, tells, places, np.where(flags == 0, 0, marks | np.where(flags == WINDOWS, OPEN, 0)).astype(np.uint8))
 
     return by_document(segments.mapInArrow(pack, PACKED).groupBy("shard").applyInArrow(settle, ANSWER))
 
@@ -201,7 +226,7 @@ def settled_runs(segments: DataFrame, shards: int) -> DataFrame:
 def _pack_runs(ids, tells, r, places, doc, counts, shards) -> list[tuple]:
     """Like ``pack_slice``: a run that a smaller document of the slice has goes at once; the rest travels with its anchor."""
     pair = mix(r["anchor"] * BASE + r["run"])
-    local = list(pack_slice(ids, tells, pair, places, counts, 1, True, False))
+    local = list(pack_slice(ids, tells, pair, places, counts, 1, True, r["n"].astype(np.uint8)))
     rows = [row for row in local if row[0] < 0]
     settled = np.zeros(len(pair), bool)
     order = np.lexsort((ids[doc], pair))
@@ -216,7 +241,7 @@ def _pack_runs(ids, tells, r, places, doc, counts, shards) -> list[tuple]:
         take = open_[shard == s]
         n = np.bincount(doc[take], minlength=len(ids))
         full = n > 0
-        cells = [ids[full], tells[full], n[full].astype(np.uint32), places[take].astype(np.uint32), both[take], np.zeros(len(take), np.uint8)]
+        cells = [ids[full], tells[full], n[full].astype(np.uint32), places[take].astype(np.uint32), both[take], r["n"][take].astype(np.uint8)]
         rows.append((int(s), *[c.tobytes() for c in cells]))
     return rows
 
@@ -228,20 +253,21 @@ def found_suffixes(segments: DataFrame, settled: DataFrame, shards: int) -> Data
         for batch in batches:
             for cut in _in_slices(batch):
                 ids, tells, parts, starts, owner = _parts(cut)
-                r = runs(parts)
+                r = runs(parts, suffixes=True)
                 places, doc = r["at"] + starts[r["text"]], owner[r["text"]]
                 told = [merged(p, f) for p, f in zip(cut.column("places").to_pylist(), cut.column("flags").to_pylist())]
                 bounds = np.searchsorted(doc, np.arange(len(ids) + 1))
                 chosen = np.zeros(len(places), bool)
                 for i, (at, flag) in enumerate(told):
-                    chosen[bounds[i] : bounds[i + 1]] = np.isin(places[bounds[i] : bounds[i + 1]], at[flag == WINDOWS])
-                keys, at, part = _all_suffixes(r, np.flatnonzero(chosen))
+                    chosen[bounds[i] : bounds[i + 1]] = np.isin(places[bounds[i] : bounds[i + 1]], at[flag & OPEN > 0])
+                take = chosen[r["of"]]
+                part = r["text"][r["of"][take]]
                 counts = np.bincount(owner[part], minlength=len(ids))
-                rows = list(pack_slice(ids, tells, keys, at + starts[part], counts, shards, True, False))
+                rows = list(pack_slice(ids, tells, r["key"][take], r["place"][take] + starts[part], counts, shards, True))
                 if rows:
                     yield packed_rows(rows)
 
-    wanted = settled.where(F.exists("flags", lambda f: F.instr(F.hex(f), f"{WINDOWS:02X}") > 0))
+    wanted = settled.where(F.exists("flags", lambda f: F.hex(f).rlike("^(..)*[4-7]")))
     joined = segments.join(wanted.toDF("__id", "__tell", "places", "flags"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("tell") == F.col("__tell")))
     packed = joined.select("doc_id", "tell", "starts", "parts", "places", "flags").mapInArrow(pack, PACKED)
     return by_document(exchange(packed, wide=True, larger=False))
@@ -276,8 +302,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     segments = shared_segments(rows, shards)
     settled = written(settled_runs(segments, max(1, shards // 2)), "settled-runs")
     suffixes = found_suffixes(segments, settled, shards)
-    gone = settled.where(F.exists("flags", lambda f: F.instr(F.hex(f), f"{SMALLER:02X}") > 0))
-    joined = attach(rows, gone.select("doc_id", "tell", F.col("places").alias("run_places"), F.col("flags").alias("run_flags")), ["doc_id", "tell"])
+    joined = attach(rows, settled.select("doc_id", "tell", F.col("places").alias("run_places"), F.col("flags").alias("run_flags")), ["doc_id", "tell"])
     joined = attach(joined, suffixes.select("doc_id", "tell", F.col("places").alias("suffixes"), F.col("flags").alias("suffix_flags")), ["doc_id", "tell"])
 
     def apply(batches):
@@ -287,17 +312,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             for cut in tokens.slices(batch, "text", SLICE):
                 texts = texts_of(cut.column("text"))
                 runs_told, suffixes_told = cut.column("run_places").to_pylist(), cut.column("suffixes").to_pylist()
-                marked = [i for i in range(len(texts)) if runs_told[i]]
-                r = runs([texts[i] for i in marked])
-                bounds = dict(zip(marked, zip(np.searchsorted(r["text"], np.arange(len(marked))), np.searchsorted(r["text"], np.arange(len(marked)), "right"))))
                 run_flags, rows_out = cut.column("run_flags").to_pylist(), []
                 for i, (doc, text) in enumerate(zip(cut.column("doc_id").to_pylist(), texts)):
-                    run_at = run_n = np.zeros(0, np.int64)
-                    if i in bounds:
-                        at, flag = merged(runs_told[i], run_flags[i])
-                        own = slice(*bounds[i])
-                        hit = np.isin(r["at"][own], at[flag == SMALLER])
-                        run_at, run_n = r["at"][own][hit], r["n"][own][hit]
+                    at, flag = merged(runs_told[i], run_flags[i])
+                    whole = flag & OPEN == 0
+                    run_at, run_n = at[whole], flag[whole].astype(np.int64)
                     suffix_at = _places(suffixes_told[i])
                     cuts = spans(run_at, run_n, suffix_at)
                     edges = [0, *(e for s in cuts for e in s), len(text)]

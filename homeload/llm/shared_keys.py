@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 SHARD_BYTES = 24 << 20
 BATCH = 1 << 17
 SMALLER, LARGER, WINDOWS = 1, 2, 3
+HELD = 128
 PACKED = "shard int, docs binary, tells binary, counts binary, places binary, keys binary, marks binary"
 ANSWER = "doc_id long, tell long, places binary, flags binary"
 NO_ID = np.iinfo(np.int64).min
@@ -100,8 +101,12 @@ def _rows_of(docs, tells, counts, places, keys, marks, shard):
     return (shard, *[c.tobytes() for c in cells])
 
 
-def pack_slice(ids: np.ndarray, tells: np.ndarray, keys, places, counts, shards: int, wide: bool, settle_larger: bool):
-    """Rows of ``PACKED`` of one slice: what it settles itself (shard below 0) and what it asks of each shard."""
+def pack_slice(ids: np.ndarray, tells: np.ndarray, keys, places, counts, shards: int, wide: bool, sizes: np.ndarray | None = None):
+    """Rows of ``PACKED`` of one slice: what it settles itself (shard below 0) and what it asks of each shard.
+
+    ``sizes`` (below 128) travel with the keys and come back as flags; keys that
+    larger documents of the slice hold are marked by the highest bit.
+    """
     bits = shards.bit_length() - 1
     doc = np.repeat(np.arange(len(ids)), counts)
     owner = ids[doc]
@@ -112,11 +117,11 @@ def pack_slice(ids: np.ndarray, tells: np.ndarray, keys, places, counts, shards:
     least = owner[order][first][group] if len(own) else owner
     settled, held = np.zeros(len(keys), bool), np.zeros(len(keys), np.uint8)
     settled[order] = owner[order] > least
-    if settle_larger and len(own):
-        held[order] = np.bincount(group, settled[order])[group] > 0
+    if sizes is not None and len(own):
+        held[order] = sizes[order] | (np.bincount(group, settled[order])[group] > 0) * np.uint8(HELD)
     if settled.any():
         n = np.bincount(doc[settled], minlength=len(ids))
-        flags = np.full(int(settled.sum()), SMALLER, np.uint8)
+        flags = np.full(int(settled.sum()), SMALLER, np.uint8) if sizes is None else sizes[settled]
         # any negative number: it only spreads these rows
         yield _rows_of(ids, tells, n, places[settled], np.zeros(0, np.uint32), flags, -1 - int(ids[0] % 1024) if ids[0] != NO_ID else -1)
     open_ = np.flatnonzero(~settled)
@@ -162,14 +167,17 @@ def answers(docs: np.ndarray, tells: np.ndarray, places: np.ndarray, flags: np.n
 
 
 def exchange(packed: DataFrame, wide: bool, larger: bool) -> DataFrame:
-    """Answer every entry of ``packed``; ``larger`` also tells of keys that only larger ids share."""
+    """Answer every entry of ``packed``; ``larger`` also tells of keys that only larger ids share, and sizes come back as flags."""
     key_type = np.uint64 if wide else np.uint32
 
     def settle(table: pa.Table) -> pa.Table:
         docs, tells, places, keys, marks = unpack(table, key_type)
         if table.column("shard")[0].as_py() < 0:
             return answers(docs, tells, places, marks)
-        flags = split_flags(keys, docs, marks) if larger else replay(keys, docs).astype(np.uint8)
+        if larger:
+            flags = np.where(split_flags(keys, docs, marks & HELD) > 0, marks & (HELD - 1), 0).astype(np.uint8)
+        else:
+            flags = replay(keys, docs).astype(np.uint8)
         return answers(docs, tells, places, flags)
 
     return packed.groupBy("shard").applyInArrow(settle, ANSWER)

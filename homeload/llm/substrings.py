@@ -117,7 +117,7 @@ def find_repeats(docs: DataFrame) -> DataFrame:
             for cut in tokens.slices(batch, "text", SLICE):
                 texts = texts_of(cut.column("text"))
                 digests, places, _, counts = chunks(texts)
-                rows = list(pack_slice(ids_of(cut.column("doc_id")), tells_of(texts), digests, places, counts, shards, True, False))
+                rows = list(pack_slice(ids_of(cut.column("doc_id")), tells_of(texts), digests, places, counts, shards, True))
                 if rows:
                     yield packed_rows(rows)
 
