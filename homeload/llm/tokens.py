@@ -21,8 +21,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct words and pieces a Python worker remembers before it starts over; they bound memory only.
-KNOWN_WORDS, KNOWN_PIECES = 400_000, 800_000
-SLICE_BYTES = 4 << 20
+KNOWN_WORDS, KNOWN_PIECES = 200_000, 400_000
+SLICE_BYTES = 2 << 20
 #: Fixed value: how the tokenizer file cuts lower-cased text, for the letters below.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+|\n"
 PLAIN = r"^[!-~À-ÖØ-öø-ÿ]*$"
