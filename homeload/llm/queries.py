@@ -8,13 +8,12 @@ from pyspark.sql import functions as F
 
 from homeload.llm import chat, decontaminate, exact_substrings, packing, quality, simhash, substrings, token_files, url_filter, warc
 from homeload.llm.registry import ORACLES, QUERIES, query
+from homeload.llm.stages import SEQUENCE, TOKENIZER
 from homeload.queries.tables import table
 from homeload.session import shared_folder
 
 __all__ = ["ORACLES", "QUERIES"]
 
-TOKENIZER = "word_bpe_49k.json"
-SEQUENCE = 2048
 
 
 @query()
@@ -25,15 +24,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(spark, folder)
 
 
-def packed(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    cut = packing.pieces(docs, public_tokenizers.path(TOKENIZER), end_id=0, size=SEQUENCE)
-    return packing.pack(cut, SEQUENCE)
-
-
 @query()
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens, one row per piece."""
-    return packed(spark, table(spark, sf_dir, "documents"))
+    cut = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), end_id=0, size=SEQUENCE)
+    return packing.pack(cut, SEQUENCE)
 
 
 @query()

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from homeload.llm.common import keyed_text, written
+from homeload.llm.common import keyed_text, text_key, written
 from homeload.llm.components import components
 
 SEED = 42
@@ -47,14 +47,18 @@ def fingerprint(text: bytes, words: int = WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp long`` (the 64 bits as a signed long) of every whole text; null and wordless texts get zero."""
+    """``doc_id, tell, fp long`` (the 64 bits as a signed long) of every whole text; null and wordless texts get zero.
+
+    ``tell`` is the text's key, which tells apart rows that share an id.
+    """
 
     def marked(batches):
         for b in batches:
             fps = np.array([fingerprint(t.as_buffer().to_pybytes()) for t in b.column("text")], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("tell"), pa.array(fps.view(np.int64))], ["doc_id", "tell", "fp"])
 
-    return keyed_text(docs, id_col, text_col).mapInArrow(marked, "doc_id long, fp long")
+    rows = keyed_text(docs, id_col, text_col).withColumn("tell", text_key())
+    return rows.mapInArrow(marked, "doc_id long, tell long, fp long")
 
 
 def _signed(value: int) -> int:
@@ -86,7 +90,7 @@ def links(fps: DataFrame, long_list: int = LONG_LIST) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, fp, component_id`` for every row of ``docs``.
+    """``doc_id, tell, fp, component_id`` for every row of ``docs``.
 
     ``component_id`` is the smallest ``doc_id`` reachable over links, the
     document's own included; null ids count only where a component has no other.
@@ -100,7 +104,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     firsts = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     members = classes.join(firsts, "root").select("fp", "component_id")
-    return marks.join(members, "fp").select("doc_id", "fp", "component_id")
+    return marks.join(members, "fp").select("doc_id", "tell", "fp", "component_id")
 
 
 def hex_digits(fp: str) -> Column:
