@@ -25,9 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from homeload.llm import tokens
-from homeload.llm.common import attach, keyed_text, text_key, written
+from homeload.llm.common import attach, keyed_text, written
 from homeload.llm.shared_keys import (
-    ANSWER, PACKED, SMALLER, WINDOWS, answers, by_document, exchange, merged, pack_slice, replay, shards_for, unpack,
+    ANSWER, PACKED, SMALLER, WINDOWS, rows_of, answers, by_document, exchange, merged, pack_slice, replay, shards_for, short_tell, unpack,
 )
 from homeload.llm.substrings import BASE, LETTER, SLICE, ids_of, mix, packed_rows, tells_of, texts_of
 
@@ -175,7 +175,7 @@ def shared_segments(docs: DataFrame, shards: int) -> DataFrame:
                     kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.binary())]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["doc_id", "tell", "starts", "parts"])
 
-    told = by_document(exchange(docs.select("doc_id", "text").mapInArrow(pack, PACKED), wide=False, larger=True))
+    told = by_document(exchange(docs.select("doc_id", "text").mapInArrow(pack, PACKED), wide=False, larger=True, buckets=shards))
     told = told.toDF("__id", "__tell", "places", "flags")
     on = docs["doc_id"].eqNullSafe(told["__id"]) & (docs["tell"] == told["__tell"])
     # rows equal in id and text share their segments
@@ -188,7 +188,7 @@ def _parts(batch) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray, np.n
     starts, parts = batch.column("starts").to_pylist(), batch.column("parts").to_pylist()
     owner = np.repeat(np.arange(len(starts)), [len(s) for s in starts])
     flat = np.array([s for row in starts for s in row], np.int64)
-    tells = batch.column("tell").to_numpy(zero_copy_only=False)
+    tells = batch.column("tell").to_numpy(zero_copy_only=False).astype(np.uint32)
     return ids_of(batch.column("doc_id")), tells, [p for row in parts for p in row], flat, owner
 
 
@@ -214,15 +214,17 @@ def settled_runs(segments: DataFrame, shards: int) -> DataFrame:
     def settle(table: pa.Table) -> pa.Table:
         if table.column("shard")[0].as_py() < 0:
             docs, tells, places, _, marks = unpack(table, np.uint32)
-            return answers(docs, tells, places, marks)
-        docs, tells, places, both, marks = unpack(table, np.dtype("V16"))
-        pairs = both.view(np.uint64).reshape(-1, 2)
-        flags = settle_runs(pairs[:, 0].copy(), pairs[:, 1].copy(), docs)
-        return answers(docs, tells, places, np.where(flags == 0, 0, marks | np.where(flags == WINDOWS, OPEN, 0)).astype(np.uint8))
+            return answers(docs, tells, places, marks, shards)
+        docs, tells, places, both, marks = unpack(table, PAIR)
+        flags = settle_runs(both["anchor"].astype(np.uint64), both["run"].copy(), docs)
+        return answers(docs, tells, places, np.where(flags == 0, 0, marks | np.where(flags == WINDOWS, OPEN, 0)).astype(np.uint8), shards)
 
     return by_document(segments.mapInArrow(pack, PACKED).groupBy("shard").applyInArrow(settle, ANSWER))
 
 
+PAIR = np.dtype([("anchor", np.uint32), ("run", np.uint64)])  # within a shard 32 bits of an anchor tell enough: others are only asked in vain
+
+
 def _pack_runs(ids, tells, r, places, doc, counts, shards) -> list[tuple]:
     """Like ``pack_slice``: a run that a smaller document of the slice has goes at once; the rest travels with its anchor."""
     pair = mix(r["anchor"] * BASE + r["run"])
@@ -236,13 +238,12 @@ def _pack_runs(ids, tells, r, places, doc, counts, shards) -> list[tuple]:
     open_ = np.flatnonzero(~settled)
     bits = shards.bit_length() - 1
     shard = (r["anchor"][open_] >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(open_), np.int64)
-    both = np.stack([r["anchor"], r["run"]], axis=1)
+    both = np.zeros(len(pair), PAIR)
+    both["anchor"], both["run"] = (r["anchor"] << np.uint64(bits)) >> np.uint64(32), r["run"]
     for s in np.unique(shard):
         take = open_[shard == s]
         n = np.bincount(doc[take], minlength=len(ids))
-        full = n > 0
-        cells = [ids[full], tells[full], n[full].astype(np.uint32), places[take].astype(np.uint32), both[take], r["n"][take].astype(np.uint8)]
-        rows.append((int(s), *[c.tobytes() for c in cells]))
+        rows.append(rows_of(ids, tells, n, places[take], both[take], r["n"][take].astype(np.uint8), int(s)))
     return rows
 
 
@@ -267,10 +268,10 @@ def found_suffixes(segments: DataFrame, settled: DataFrame, shards: int) -> Data
                 if rows:
                     yield packed_rows(rows)
 
-    wanted = settled.where(F.exists("flags", lambda f: F.hex(f).rlike("^(..)*[4-7]")))
+    wanted = settled.where(F.hex("flags").rlike("^(..)*[4-7]"))
     joined = segments.join(wanted.toDF("__id", "__tell", "places", "flags"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("tell") == F.col("__tell")))
     packed = joined.select("doc_id", "tell", "starts", "parts", "places", "flags").mapInArrow(pack, PACKED)
-    return by_document(exchange(packed, wide=True, larger=False))
+    return by_document(exchange(packed, wide=True, larger=False, buckets=shards))
 
 
 def spans(run_at: np.ndarray, run_n: np.ndarray, suffix_at: np.ndarray) -> list[tuple[int, int]]:
@@ -297,7 +298,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     source for each other; a null id counts as the smallest. An empty table
     gives an empty one.
     """
-    rows = keyed_text(docs).withColumn("tell", text_key())
+    rows = keyed_text(docs).withColumn("tell", short_tell())
     shards = shards_for(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     segments = shared_segments(rows, shards)
     settled = written(settled_runs(segments, max(1, shards // 2)), "settled-runs")
@@ -317,7 +318,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                     at, flag = merged(runs_told[i], run_flags[i])
                     whole = flag & OPEN == 0
                     run_at, run_n = at[whole], flag[whole].astype(np.int64)
-                    suffix_at = _places(suffixes_told[i])
+                    suffix_at = merged(suffixes_told[i], None)[0]
                     cuts = spans(run_at, run_n, suffix_at)
                     edges = [0, *(e for s in cuts for e in s), len(text)]
                     kept = b"".join(text[edges[k] : edges[k + 1]] for k in range(0, len(edges), 2))
@@ -326,6 +327,3 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     return joined.select("doc_id", "text", "run_places", "run_flags", "suffixes").mapInArrow(apply, RESULT)
 
-
-def _places(told: list[bytes] | None) -> np.ndarray:
-    return np.concatenate([np.frombuffer(p, np.uint32) for p in told]).astype(np.int64) if told else np.zeros(0, np.int64)

@@ -18,12 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SHARD_BYTES = 24 << 20
+from homeload.llm.common import text_key
+
+SHARD_BYTES = 16 << 20
 BATCH = 1 << 17
 SMALLER, LARGER, WINDOWS = 1, 2, 3
 HELD = 128
 PACKED = "shard int, docs binary, tells binary, counts binary, places binary, keys binary, marks binary"
-ANSWER = "doc_id long, tell long, places binary, flags binary"
+ANSWER = "bucket int, docs binary, tells binary, counts binary, places binary, flags binary"
+TOLD = "doc_id long, tell long, places binary, flags binary"
 NO_ID = np.iinfo(np.int64).min
 #: ``kernel(texts) -> keys, places, counts[, marks]``: keys of all texts in order, their byte places and number per text
 Kernel = Callable[[list], tuple]
@@ -95,9 +98,10 @@ def shards_for(total_bytes: int) -> int:
     return 1 << max(0, math.ceil(math.log2(max(1, total_bytes / SHARD_BYTES))))
 
 
-def _rows_of(docs, tells, counts, places, keys, marks, shard):
+def rows_of(docs, tells, counts, places, keys, marks, shard):
     full = counts > 0
-    cells = [docs[full], tells[full], counts[full].astype(np.uint32), places.astype(np.uint32), keys, marks]
+    # ids as differences: small numbers, which Spark's shuffle compression shortens
+    cells = [np.diff(docs[full], prepend=0), tells[full].astype(np.uint32), counts[full].astype(np.uint32), places.astype(np.uint32), keys, marks]
     return (shard, *[c.tobytes() for c in cells])
 
 
@@ -123,7 +127,7 @@ def pack_slice(ids: np.ndarray, tells: np.ndarray, keys, places, counts, shards:
         n = np.bincount(doc[settled], minlength=len(ids))
         flags = np.full(int(settled.sum()), SMALLER, np.uint8) if sizes is None else sizes[settled]
         # any negative number: it only spreads these rows
-        yield _rows_of(ids, tells, n, places[settled], np.zeros(0, np.uint32), flags, -1 - int(ids[0] % 1024) if ids[0] != NO_ID else -1)
+        yield rows_of(ids, tells, n, places[settled], np.zeros(0, np.uint32), flags, -1 - int(ids[0] % 1024) if ids[0] != NO_ID else -1)
     open_ = np.flatnonzero(~settled)
     shard = (keys[open_] >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(open_), np.int64)
     by = open_[np.argsort(shard, kind="stable")]
@@ -133,7 +137,7 @@ def pack_slice(ids: np.ndarray, tells: np.ndarray, keys, places, counts, shards:
         rows = by[cuts[s] : cuts[s + 1]]
         if len(rows):
             n = np.bincount(doc[rows], minlength=len(ids))
-            yield _rows_of(ids, tells, n, places[rows], inner[rows], held[rows], s)
+            yield rows_of(ids, tells, n, places[rows], inner[rows], held[rows], s)
 
 
 def unpack(table: pa.Table, key_type) -> tuple[np.ndarray, ...]:
@@ -141,59 +145,88 @@ def unpack(table: pa.Table, key_type) -> tuple[np.ndarray, ...]:
     docs, tells, places, keys, marks = [], [], [], [], []
     for row in zip(*(table.column(c).to_pylist() for c in ("docs", "tells", "counts", "places", "keys", "marks"))):
         n = np.frombuffer(row[2], np.uint32)
-        docs.append(np.repeat(np.frombuffer(row[0], np.int64), n))
-        tells.append(np.repeat(np.frombuffer(row[1], np.int64), n))
+        docs.append(np.repeat(np.cumsum(np.frombuffer(row[0], np.int64)), n))
+        tells.append(np.repeat(np.frombuffer(row[1], np.uint32), n))
         places.append(np.frombuffer(row[3], np.uint32))
         keys.append(np.frombuffer(row[4], key_type))
         marks.append(np.frombuffer(row[5], np.uint8))
     return tuple(np.concatenate(x) for x in (docs, tells, places, keys, marks))
 
 
-def answers(docs: np.ndarray, tells: np.ndarray, places: np.ndarray, flags: np.ndarray) -> pa.Table:
-    """Rows of ``ANSWER`` of the entries with a flag, one per document."""
+def answers(docs: np.ndarray, tells: np.ndarray, places: np.ndarray, flags: np.ndarray, buckets: int) -> pa.Table:
+    """Rows of ``ANSWER``: the entries with a flag, packed by bucket of documents."""
     told = np.flatnonzero(flags)
-    told = told[np.lexsort((places[told], tells[told], docs[told]))]
     docs, tells, places, flags = docs[told], tells[told], places[told], flags[told]
-    new = np.concatenate([[True], (docs[1:] != docs[:-1]) | (tells[1:] != tells[:-1])]) if len(docs) else np.zeros(0, bool)
-    cuts = np.flatnonzero(new)
-    ends = np.append(cuts[1:], len(docs))
-    return pa.table(
-        {
-            "doc_id": pa.array(docs[cuts], mask=docs[cuts] == NO_ID), "tell": pa.array(tells[cuts]),
-            "places": pa.array([places[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-            "flags": pa.array([flags[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-        }
-    )
-
-
-def exchange(packed: DataFrame, wide: bool, larger: bool) -> DataFrame:
+    spread = docs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    bucket = ((spread >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((places, tells, docs, bucket))
+    docs, tells, places, flags, bucket = docs[order], tells[order], places[order], flags[order], bucket[order]
+    new = np.ones(len(docs), bool)
+    new[1:] = (docs[1:] != docs[:-1]) | (tells[1:] != tells[:-1])
+    first = np.flatnonzero(new)
+    counts = np.diff(np.append(first, len(docs)))
+    rows = []
+    for b in np.unique(bucket):
+        e0, e1 = np.searchsorted(bucket, [b, b + 1])
+        d0, d1 = np.searchsorted(first, [e0, e1])
+        own = first[d0:d1]
+        cells = [np.diff(docs[own], prepend=0), tells[own], counts[d0:d1].astype(np.uint32), places[e0:e1], flags[e0:e1]]
+        rows.append((int(b), *[c.tobytes() for c in cells]))
+    kinds = [pa.int32(), *[pa.binary()] * 5]
+    names = [f.split()[0] for f in ANSWER.split(", ")]
+    columns = zip(*rows) if rows else [[]] * 6
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+
+def exchange(packed: DataFrame, wide: bool, larger: bool, buckets: int) -> DataFrame:
     """Answer every entry of ``packed``; ``larger`` also tells of keys that only larger ids share, and sizes come back as flags."""
     key_type = np.uint64 if wide else np.uint32
 
     def settle(table: pa.Table) -> pa.Table:
         docs, tells, places, keys, marks = unpack(table, key_type)
         if table.column("shard")[0].as_py() < 0:
-            return answers(docs, tells, places, marks)
+            return answers(docs, tells, places, marks, buckets)
         if larger:
             flags = np.where(split_flags(keys, docs, marks & HELD) > 0, marks & (HELD - 1), 0).astype(np.uint8)
         else:
             flags = replay(keys, docs).astype(np.uint8)
-        return answers(docs, tells, places, flags)
+        return answers(docs, tells, places, flags, buckets)
 
     return packed.groupBy("shard").applyInArrow(settle, ANSWER)
 
 
 def by_document(told: DataFrame) -> DataFrame:
-    """``doc_id, tell, places array<binary>, flags array<binary>``: one row per document, in matching order."""
-    pair = F.collect_list(F.struct("places", "flags"))
-    return told.groupBy("doc_id", "tell").agg(pair.alias("told")).select("doc_id", "tell", F.col("told.places").alias("places"), F.col("told.flags").alias("flags"))
-
-
-def merged(places: list[bytes] | None, flags: list[bytes] | None) -> tuple[np.ndarray, np.ndarray]:
-    """Places in ascending order and their flags, of one document's row."""
-    if not places:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint8)
-    at = np.concatenate([np.frombuffer(p, np.uint32) for p in places]).astype(np.int64)
-    flag = np.concatenate([np.frombuffer(f, np.uint8) for f in flags])
-    order = np.argsort(at, kind="stable")
-    return at[order], flag[order]
+    """Rows of ``TOLD``: one per document that has an answer, places ascending."""
+
+    def regroup(table: pa.Table) -> pa.Table:
+        docs, tells, places, flags = [], [], [], []
+        for row in zip(*(table.column(c).to_pylist() for c in ("docs", "tells", "counts", "places", "flags"))):
+            n = np.frombuffer(row[2], np.uint32)
+            docs.append(np.repeat(np.cumsum(np.frombuffer(row[0], np.int64)), n))
+            tells.append(np.repeat(np.frombuffer(row[1], np.uint32), n))
+            places.append(np.frombuffer(row[3], np.uint32))
+            flags.append(np.frombuffer(row[4], np.uint8))
+        docs, tells, places, flags = (np.concatenate(x) for x in (docs, tells, places, flags))
+        order = np.lexsort((places, tells, docs))
+        docs, tells, places, flags = docs[order], tells[order], places[order], flags[order]
+        cuts = np.flatnonzero(np.concatenate([[True], (docs[1:] != docs[:-1]) | (tells[1:] != tells[:-1])]))
+        ends = np.append(cuts[1:], len(docs))
+        return pa.table(
+            {
+                "doc_id": pa.array(docs[cuts], mask=docs[cuts] == NO_ID), "tell": pa.array(tells[cuts].astype(np.int64)),
+                "places": pa.array([places[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+                "flags": pa.array([flags[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+            }
+        )
+
+    return told.groupBy("bucket").applyInArrow(regroup, TOLD)
+
+
+def merged(places: bytes | None, flags: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    """Places and flags of one document's answer."""
+    return np.frombuffer(places or b"", np.uint32).astype(np.int64), np.frombuffer(flags or b"", np.uint8)
+
+
+def short_tell(text="text"):
+    """Tells apart the few texts that may share an id."""
+    return text_key(text).bitwiseAND(F.lit(0xFFFFFFFF))

@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from homeload.llm import tokens
-from homeload.llm.common import attach, text_key
-from homeload.llm.shared_keys import NO_ID, PACKED, by_document, exchange, pack_slice, shards_for
+from homeload.llm.common import attach
+from homeload.llm.shared_keys import NO_ID, PACKED, by_document, exchange, pack_slice, shards_for, short_tell
 
 #: A passage of fifty words loses a few words at either end before its first and after its last whole chunk.
 MIN_WORDS = 28
@@ -89,10 +89,10 @@ def ids_of(column: pa.Array) -> np.ndarray:
 
 
 def tells_of(texts: list[bytes]) -> np.ndarray:
-    """Equals ``text_key``."""
+    """Equals ``short_tell``."""
     from xxhash import xxh64_intdigest
 
-    return np.array([xxh64_intdigest(t, 42) for t in texts], np.uint64).view(np.int64)
+    return np.array([xxh64_intdigest(t, 42) & 0xFFFFFFFF for t in texts], np.uint32)
 
 
 def packed_rows(rows, names=tuple(f.split()[0] for f in PACKED.split(", "))):
@@ -122,7 +122,7 @@ def find_repeats(docs: DataFrame) -> DataFrame:
                     yield packed_rows(rows)
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return by_document(exchange(keyed.mapInArrow(pack, PACKED), wide=True, larger=False))
+    return by_document(exchange(keyed.mapInArrow(pack, PACKED), wide=True, larger=False, buckets=shards))
 
 
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -133,7 +133,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     kept as they are; an empty table gives an empty one.
     """
     rest = [c for c in docs.columns if c != "text"]
-    base = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__tell", text_key(F.coalesce("text", F.lit(""))))
+    base = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__tell", short_tell(F.coalesce("text", F.lit(""))))
     told = find_repeats(docs).toDF("__id", "__tell", "__places", "__flags").drop("__flags")
     joined = attach(base, told, ["__id", "__tell"])
     kept = joined.select(*rest, "text", "__places")
@@ -153,7 +153,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     spans = []
                     if told_places[i]:
                         a, b = ends[i] - counts[i], ends[i]
-                        hit = np.isin(places[a:b], np.concatenate([np.frombuffer(p, np.uint32) for p in told_places[i]]))
+                        hit = np.isin(places[a:b], np.frombuffer(told_places[i], np.uint32))
                         spans = kept_spans(hit, places[a:b], words[a:b], len(text), min_words)
                     edges = [0, *(e for s in spans for e in s), len(text)]
                     left = b"".join(text[edges[k] : edges[k + 1]] for k in range(0, len(edges), 2))
