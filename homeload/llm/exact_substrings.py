@@ -161,6 +161,7 @@ def shared_segments(docs: DataFrame, shards: int) -> DataFrame:
                 rows = list(pack_slice(ids_of(cut.column("doc_id")), tells_of(texts), r["anchor"], r["at"], counts, shards, False, r["n"].astype(np.uint8)))
                 if rows:
                     yield packed_rows(rows)
+        pa.default_memory_pool().release_unused()
 
     def cut_out(batches):
         for batch in batches:
@@ -178,8 +179,8 @@ def shared_segments(docs: DataFrame, shards: int) -> DataFrame:
     told = by_document(exchange(docs.select("doc_id", "text").mapInArrow(pack, PACKED), wide=False, larger=True, buckets=shards))
     told = told.toDF("__id", "__tell", "places", "flags")
     on = docs["doc_id"].eqNullSafe(told["__id"]) & (docs["tell"] == told["__tell"])
-    # rows equal in id and text share their segments
-    found = docs.join(told, on).dropDuplicates(["doc_id", "tell"]).select("doc_id", "tell", "text", "places", "flags")
+    # rows equal in id and text send the same entries twice, which changes no answer
+    found = docs.join(told, on).select("doc_id", "tell", "text", "places", "flags")
     return written(found.mapInArrow(cut_out, SEGMENTS), "segments")
 
 
@@ -210,6 +211,7 @@ def settled_runs(segments: DataFrame, shards: int) -> DataFrame:
                 rows = _pack_runs(ids, tells, r, places, owner[r["text"]], counts, shards)
                 if rows:
                     yield packed_rows(rows)
+        pa.default_memory_pool().release_unused()
 
     def settle(table: pa.Table) -> pa.Table:
         if table.column("shard")[0].as_py() < 0:
@@ -267,6 +269,7 @@ def found_suffixes(segments: DataFrame, settled: DataFrame, shards: int) -> Data
                 rows = list(pack_slice(ids, tells, r["key"][take], r["place"][take] + starts[part], counts, shards, True))
                 if rows:
                     yield packed_rows(rows)
+        pa.default_memory_pool().release_unused()
 
     wanted = settled.where(F.hex("flags").rlike("^(..)*[4-7]"))
     joined = segments.join(wanted.toDF("__id", "__tell", "places", "flags"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("tell") == F.col("__tell")))

@@ -98,11 +98,29 @@ def shards_for(total_bytes: int) -> int:
     return 1 << max(0, math.ceil(math.log2(max(1, total_bytes / SHARD_BYTES))))
 
 
+def planes(values: np.ndarray) -> bytes:
+    """Differences of whole numbers, first bytes first: the mostly empty high bytes lie together and compress."""
+    steps = np.diff(values, prepend=values.dtype.type(0))
+    return steps.view(np.uint8).reshape(-1, values.dtype.itemsize).T.tobytes()
+
+
+def unplanes(data, dtype) -> np.ndarray:
+    dtype = np.dtype(dtype)
+    steps = np.frombuffer(data, np.uint8).reshape(dtype.itemsize, -1).T
+    return np.cumsum(np.ascontiguousarray(steps).view(dtype).ravel(), dtype=dtype)
+
+
+def buffers(table: pa.Table, *names: str):
+    """Rows of binary cells without copies."""
+    return zip(*([x.as_buffer() for x in table.column(c)] for c in names))
+
+
 def rows_of(docs, tells, counts, places, keys, marks, shard):
     full = counts > 0
-    # ids as differences: small numbers, which Spark's shuffle compression shortens
-    cells = [np.diff(docs[full], prepend=0), tells[full].astype(np.uint32), counts[full].astype(np.uint32), places.astype(np.uint32), keys, marks]
-    return (shard, *[c.tobytes() for c in cells])
+    return (
+        shard, planes(docs[full]), tells[full].astype(np.uint32).tobytes(), planes(counts[full].astype(np.uint32)),
+        planes(places.astype(np.uint32)), keys.tobytes(), marks.tobytes(),
+    )
 
 
 def pack_slice(ids: np.ndarray, tells: np.ndarray, keys, places, counts, shards: int, wide: bool, sizes: np.ndarray | None = None):
@@ -143,11 +161,11 @@ def pack_slice(ids: np.ndarray, tells: np.ndarray, keys, places, counts, shards:
 def unpack(table: pa.Table, key_type) -> tuple[np.ndarray, ...]:
     """All entries of a shard's rows: document, tell, place, key, mark."""
     docs, tells, places, keys, marks = [], [], [], [], []
-    for row in zip(*(table.column(c).to_pylist() for c in ("docs", "tells", "counts", "places", "keys", "marks"))):
-        n = np.frombuffer(row[2], np.uint32)
-        docs.append(np.repeat(np.cumsum(np.frombuffer(row[0], np.int64)), n))
+    for row in buffers(table, "docs", "tells", "counts", "places", "keys", "marks"):
+        n = unplanes(row[2], np.uint32)
+        docs.append(np.repeat(unplanes(row[0], np.int64), n))
         tells.append(np.repeat(np.frombuffer(row[1], np.uint32), n))
-        places.append(np.frombuffer(row[3], np.uint32))
+        places.append(unplanes(row[3], np.uint32))
         keys.append(np.frombuffer(row[4], key_type))
         marks.append(np.frombuffer(row[5], np.uint8))
     return tuple(np.concatenate(x) for x in (docs, tells, places, keys, marks))
@@ -170,8 +188,8 @@ def answers(docs: np.ndarray, tells: np.ndarray, places: np.ndarray, flags: np.n
         e0, e1 = np.searchsorted(bucket, [b, b + 1])
         d0, d1 = np.searchsorted(first, [e0, e1])
         own = first[d0:d1]
-        cells = [np.diff(docs[own], prepend=0), tells[own], counts[d0:d1].astype(np.uint32), places[e0:e1], flags[e0:e1]]
-        rows.append((int(b), *[c.tobytes() for c in cells]))
+        packed = planes(docs[own]), tells[own].tobytes(), planes(counts[d0:d1].astype(np.uint32)), planes(places[e0:e1]), flags[e0:e1].tobytes()
+        rows.append((int(b), *packed))
     kinds = [pa.int32(), *[pa.binary()] * 5]
     names = [f.split()[0] for f in ANSWER.split(", ")]
     columns = zip(*rows) if rows else [[]] * 6
@@ -200,11 +218,11 @@ def by_document(told: DataFrame) -> DataFrame:
 
     def regroup(table: pa.Table) -> pa.Table:
         docs, tells, places, flags = [], [], [], []
-        for row in zip(*(table.column(c).to_pylist() for c in ("docs", "tells", "counts", "places", "flags"))):
-            n = np.frombuffer(row[2], np.uint32)
-            docs.append(np.repeat(np.cumsum(np.frombuffer(row[0], np.int64)), n))
+        for row in buffers(table, "docs", "tells", "counts", "places", "flags"):
+            n = unplanes(row[2], np.uint32)
+            docs.append(np.repeat(unplanes(row[0], np.int64), n))
             tells.append(np.repeat(np.frombuffer(row[1], np.uint32), n))
-            places.append(np.frombuffer(row[3], np.uint32))
+            places.append(unplanes(row[3], np.uint32))
             flags.append(np.frombuffer(row[4], np.uint8))
         docs, tells, places, flags = (np.concatenate(x) for x in (docs, tells, places, flags))
         order = np.lexsort((places, tells, docs))

@@ -120,6 +120,7 @@ def find_repeats(docs: DataFrame) -> DataFrame:
                 rows = list(pack_slice(ids_of(cut.column("doc_id")), tells_of(texts), digests, places, counts, shards, True))
                 if rows:
                     yield packed_rows(rows)
+        pa.default_memory_pool().release_unused()
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return by_document(exchange(keyed.mapInArrow(pack, PACKED), wide=True, larger=False, buckets=shards))
