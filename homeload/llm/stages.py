@@ -39,10 +39,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents less repeated passages; a document of which nothing is left goes."""
-    cleaned = substrings.remove_repeats(docs)
+    figures = {c: f"__{c}" for c in ("n_bytes", "n_removed", "n_spans") if c in docs.columns}
+    cleaned = substrings.remove_repeats(docs.withColumnsRenamed(figures))
     left = cleaned.where((F.col("n_removed") == 0) | F.col("text").rlike(quality.WORD))
     shorter = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return left.withColumn("n_chars", shorter).select(*docs.columns)
+    return left.withColumn("n_chars", shorter).drop("n_bytes", "n_removed", "n_spans").withColumnsRenamed({v: k for k, v in figures.items()}).select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

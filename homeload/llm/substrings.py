@@ -131,8 +131,10 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     Null texts stay null and have no bytes. Rows that repeat an id never count
     as each other's source; null ids count as the smallest. Other columns are
-    kept as they are; an empty table gives an empty one.
+    kept as they are, but those named like the three figures are replaced. An
+    empty table gives an empty one.
     """
+    docs = docs.drop("n_bytes", "n_removed", "n_spans")
     rest = [c for c in docs.columns if c != "text"]
     base = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__tell", short_tell(F.coalesce("text", F.lit(""))))
     told = find_repeats(docs).toDF("__id", "__tell", "__places", "__flags").drop("__flags")
