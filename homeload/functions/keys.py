@@ -35,7 +35,7 @@ def family_key(name: Column) -> Column:
 
     def key(p: Column) -> Column:
         return F.when(
-            p.isNotNull(), F.struct(p[0].alias("household_id"), p[1].cast("int").alias("variant"))
+            p.isNotNull(), F.struct(p[0].alias("household_id"), p[1].try_cast("int").alias("variant"))
         )
 
     return let(_parts(name, FAMILY_NAME, "$1/$2"), key)
@@ -50,7 +50,7 @@ def weather_key(name: Column) -> Column:
     """``struct(variant, season)`` or null."""
 
     def key(p: Column) -> Column:
-        return F.when(p.isNotNull(), F.struct(p[0].cast("int").alias("variant"), p[1].alias("season")))
+        return F.when(p.isNotNull(), F.struct(p[0].try_cast("int").alias("variant"), p[1].alias("season")))
 
     return let(_parts(name, WEATHER_NAME, "$1/$2"), key)
 
@@ -65,8 +65,8 @@ def consumption_key(name: Column) -> Column:
         return F.when(
             p.isNotNull(),
             F.struct(
-                p[0].alias("family_id"), p[1].cast("int").alias("work"), p[2].alias("season"),
-                p[3].cast("int").alias("profile"), p[4].alias("day_type"), p[5].cast("int").alias("variant"),
+                p[0].alias("family_id"), p[1].try_cast("int").alias("work"), p[2].alias("season"),
+                p[3].try_cast("int").alias("profile"), p[4].alias("day_type"), p[5].try_cast("int").alias("variant"),
             ),
         )
 

@@ -33,7 +33,7 @@ OFFSPRING_WORDS = r"(?i)\b(son|daughter|child)\b"
 
 def age_of(role: Column) -> Column:
     """Age written in a role such as ``Son (10 years)``, or null."""
-    return F.regexp_extract(role, r"(?i)(\d{1,4})\s*(?:years?|yrs?|y\.?o\.?|\))", 1).try_cast("int")
+    return F.regexp_extract(role, r"(?i)(?<!\d)(\d{1,4})\s*(?:years?|yrs?|y\.?o\.?|\))", 1).try_cast("int")
 
 
 def prepare(docs: DataFrame) -> DataFrame:

@@ -102,7 +102,7 @@ def weather_sequence(
     northern seasons everywhere.
     """
     spark = hourly.sparkSession
-    wanted = sorted({d.month * 100 + d.day for d in days.date_list(start, min(n_days, 366), year)})
+    wanted = sorted({d.month * 100 + d.day for d in days.date_list(start, n_days, year)})
     on_days = hourly.where(cal.month_day(F.col("ts")).isin(*wanted))
     profiles = w.day_profiles(on_days, ["country"], digits, legacy_hours)
     dated = profiles.join(days.date_frame(spark, start, n_days, year), "day")

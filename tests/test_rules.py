@@ -222,3 +222,12 @@ def test_audit_plan(frame, extra):
               "id STRING, auditor STRING, rule_id STRING, severity STRING, detail STRING")
     _, decisions = plan.audit(docs, f, ["id"], "stage1_family")
     assert {r.id: r.decision for r in decisions.collect()} == {"d": extra[1], "e": "ACCEPT"}
+
+
+def test_age_needs_a_left_border(spark):
+    from pyspark.sql import functions as F
+
+    from homeload.operators.rules import families
+
+    rows = spark.createDataFrame([("Son (10 years)",), ("Son 12345 years",)], "role string")
+    assert [r[0] for r in rows.select(families.age_of(F.col("role"))).collect()] == [10, None]

@@ -116,3 +116,16 @@ def test_hour_calendar_has_every_hour(spark):
     assert n == {"Ireland": 8784, "UAE": 8760}
     friday = cal.where("country = 'UAE' AND ts = TIMESTAMP_NTZ '2021-12-31 12:00:00'").first()
     assert (friday.day_type, friday.season, friday.day_name) == ("weekend", "Winter", "Friday")
+
+
+def test_sequences_longer_than_a_year_keep_the_leap_day(spark):
+    from pyspark.sql import functions as F
+
+    from homeload.plans import weather
+
+    hours = spark.range(0, 366 * 24).select(
+        F.lit("Ireland").alias("country"), F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(id as int))").alias("ts"),
+        *[F.lit(1.0).alias(c) for c in ("temp_air", "relative_humidity", "dhi", "dni", "wind_speed")],
+    )
+    out = weather.weather_sequence(hours, "01-01", 500, 2023)
+    assert out.count() == 500 and out.where("date = '2024-02-29'").count() == 1
