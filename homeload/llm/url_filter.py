@@ -46,6 +46,8 @@ def stated_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]
         )
         for v, h, p in rules
     ]
+    if not fits:
+        return F.lit(None).cast("struct<rule: string, verdict: string>")
     best = F.array_max(F.array(*fits))  # nulls are skipped
     return F.when(best.isNotNull(), F.struct(best["rule"].alias("rule"), best["verdict"].alias("verdict")))
 
