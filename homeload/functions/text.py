@@ -110,6 +110,23 @@ def _json_in(text: Column) -> Column:
     return F.coalesce(fenced, spanned, loose, F.regexp_replace(text, r"^\s+|\s+$", ""))
 
 
+def is_json(body: Column) -> Column:
+    """Whether a text is exactly one JSON value; false for null.
+
+    The text must be one element of an array and one value of an object: text
+    behind the value breaks one of the two, whatever it is. Repeated keys and
+    NaN are allowed, single quotes and raw control characters are not.
+    """
+    # Reader options for strict JSON without a length limit.
+    strict = {
+        "allowSingleQuotes": "false", "allowUnquotedControlChars": "false", "maxStringLen": str(2**31 - 1),
+        "columnNameOfCorruptRecord": "_broken",
+    }
+    as_element = F.from_json(F.concat(F.lit("["), body, F.lit("]")), "array<string>", strict)
+    as_value = F.from_json(F.concat(F.lit('{"v":'), body, F.lit("}")), "_broken string", strict)
+    return F.coalesce((F.array_size(as_element) == 1) & as_value["_broken"].isNull(), F.lit(False))
+
+
 def render_template(template: Column, variables: Mapping[str, Column]) -> Column:
     """Fill ``$name`` and ``${name}``; names without a value stay in the text.
 

@@ -90,11 +90,16 @@ def sequence_items(text_column: Column, item_schema: str) -> Column:
     return F.when(F.startswith(body, F.lit("[")), plain).otherwise(F.coalesce(wrapped, plain))
 
 
+def _path_part(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`" if set(name) & set(".[]`") else name
+
+
 def leaves(value: Column, dtype: T.DataType, path: Column | None = None) -> Column:
     """Every scalar of a nested value as ``array<struct<path, value>>``.
 
     The expression follows the schema, so it stays in the JVM. Paths read like
-    ``members[0].role``.
+    ``members[0].role``; a field name that holds one of ``.[]``` is quoted by
+    backticks. An empty array is a leaf of its own with the value ``[]``.
     """
     path = F.lit("") if path is None else path
     none = F.array().cast("array<struct<path: string, value: string>>")
@@ -102,7 +107,7 @@ def leaves(value: Column, dtype: T.DataType, path: Column | None = None) -> Colu
         parts = [
             leaves(
                 value[f.name], f.dataType,
-                F.concat(path, F.when(path == "", "").otherwise("."), F.lit(f.name)),
+                F.concat(path, F.when(path == "", "").otherwise("."), F.lit(_path_part(f.name))),
             )
             for f in dtype.fields
         ]
@@ -112,7 +117,8 @@ def leaves(value: Column, dtype: T.DataType, path: Column | None = None) -> Colu
             value,
             lambda v, i: leaves(v, dtype.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))),
         )
-        return F.coalesce(F.flatten(inner), none)
+        empty = F.array(F.struct(path.alias("path"), F.lit("[]").alias("value")))
+        return F.when(F.array_size(value) == 0, empty).otherwise(F.coalesce(F.flatten(inner), none))
     leaf = F.array(F.struct(path.alias("path"), value.cast("string").alias("value")))
     return F.when(value.isNotNull(), leaf).otherwise(none)
 
@@ -142,7 +148,11 @@ def document_diff(pairs: DataFrame, keys: Sequence[str], old: str, new: str) ->
 
 
 def text_diff(pairs: DataFrame, keys: Sequence[str], old: str, new: str) -> DataFrame:
-    """Changed lines by position: ``(keys, line_no, old_line, new_line)``, null where a side has ended."""
+    """Changed lines by position: ``(keys, line_no, old_line, new_line)``, null where a side has ended.
+
+    Lines are compared place by place, so after an inserted line every later
+    one counts as changed.
+    """
     lines = F.arrays_zip(F.split(old, "\n").alias("old_line"), F.split(new, "\n").alias("new_line"))
     numbered = pairs.select(*keys, F.posexplode(lines).alias("line_no", "l")).select(*keys, "line_no", "l.*")
     return numbered.where(~F.col("old_line").eqNullSafe(F.col("new_line")))
@@ -166,7 +176,7 @@ def _object_or_null(answer: Column, schema: str) -> Column:
     """Struct parsed from an answer's JSON object, null when it is none."""
 
     def parsed(body: Column) -> Column:
-        readable = F.startswith(body, F.lit("{")) & F.try_parse_json(body).isNotNull()
+        readable = F.startswith(body, F.lit("{")) & text.is_json(body)
         return F.when(readable, F.from_json(body, schema))
 
     return let(text.extract_json(answer), parsed)

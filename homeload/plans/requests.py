@@ -59,7 +59,7 @@ def parse_answers(
     """Add ``json`` and ``parsed``; ``parsed`` is null where the answer is no valid JSON."""
     body, parse = F.col("json"), custom_parser or (lambda c: F.from_json(c, schema))
     extracted = answers.withColumn("json", text.extract_json(F.col(column)))
-    return extracted.withColumn("parsed", F.when(F.try_parse_json(body).isNotNull(), parse(body)))
+    return extracted.withColumn("parsed", F.when(text.is_json(body), parse(body)))
 
 
 def audit_reports(answers: DataFrame, keys: Sequence[str]) -> DataFrame:

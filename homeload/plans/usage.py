@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from homeload.functions import numbers as num
 from homeload.operators import usage as u
+from homeload.sources import call_logs
 
 
 def flat_calls(api_calls: DataFrame) -> DataFrame:
@@ -39,6 +40,17 @@ def priced_calls(calls: DataFrame, **kwargs) -> DataFrame:
     return u.with_cost(calls, **kwargs).withColumn("cost_total", F.col("cost_usd.total"))
 
 
+def run_report(spark: SparkSession, run_folder: str, roles: Sequence[Sequence]) -> DataFrame | None:
+    """The report of a run folder: from its JSON logs, else from its text log; ``None`` where it has neither."""
+    calls = call_logs.run_calls(spark, run_folder)
+    if calls is not None:
+        return usage_report(flat_calls(calls), roles)
+    events = call_logs.run_text_events(spark, run_folder)
+    if events is None:
+        return None
+    return text_log_report(events, roles, ["log_file"], ["block", "row"], ["block"])
+
+
 def text_log_report(
     events: DataFrame, roles: Sequence[Sequence], group: Sequence[str], order: Sequence[str], levels: Sequence[str] = ()
 ) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from homeload.functions import text
-from homeload.operators import merge, nested
+from homeload.operators import merge, nested, verdict
 from homeload.plans import requests as plan
 from homeload.queries.registry import query
 from homeload.queries.tables import choose, sql_choose, table
@@ -40,20 +40,23 @@ def response_extract(spark, sf_dir):
     answers = e.select("event_id", "props", answer.alias("answer"))
     out = plan.parse_answers(answers, "answer", "k INT", lambda c: F.get_json_object(c, "$.k").try_cast("int"))
     return out.select(
-        "event_id", "json", F.try_parse_json("json").isNotNull().alias("readable"), F.col("parsed").alias("k")
+        "event_id", "json", text.is_json(F.col("json")).alias("readable"), F.col("parsed").alias("k")
     )
 
 
 _SEV = ("LOW", "MEDIUM", "HIGH")
 
 
-@query(f"""
-WITH a AS (SELECT event_id, event_id % 2 = 0 AS cultural, event_id % 5 AS c, {sql_choose("event_id", _SEV)} AS sev FROM events)
-SELECT event_id, CASE WHEN cultural THEN 'cultural' ELSE 'physical' END AS auditor,
-       CASE WHEN c < 3 THEN sev ELSE 'HIGH' END AS severity,
-       CASE WHEN c < 3 THEN 'note ' || event_id ELSE 'Failed to parse audit report' END AS first_note
-FROM a""")
-def audit_answers(spark, sf_dir):
+_REPORTS_SQL = f"""
+a AS (SELECT event_id, event_id % 2 = 0 AS cultural, event_id % 7 AS c, {sql_choose("event_id", _SEV)} AS sev FROM events),
+r AS (SELECT event_id, CASE WHEN cultural THEN 'cultural' ELSE 'physical' END AS auditor,
+       CASE WHEN c < 3 THEN sev WHEN c = 5 THEN 'NONE' ELSE 'HIGH' END AS severity,
+       CASE WHEN c < 3 THEN 'note ' || event_id WHEN c <> 5 THEN 'Failed to parse audit report' END AS first_note
+FROM a)"""
+
+
+def _reports(spark, sf_dir):
+    """Each event as an auditor's answer in one of seven forms, parsed."""
     e, k = table(spark, sf_dir, "events"), F.col("event_id")
     cultural = k % 2 == 0
     note = F.array(F.concat(F.lit("note "), k.cast("string")))
@@ -63,16 +66,48 @@ def audit_answers(spark, sf_dir):
             choose(k, _SEV).alias("severity"),
         )
     )
-    case = k % 5
+    case = k % 7
     answer = (
         F.when(case == 0, body).when(case == 1, F.concat(F.lit(FENCE + "json\n"), body, F.lit("\n" + FENCE)))
         .when(case == 2, F.concat(F.lit("<think>hm</think>"), body)).when(case == 3, F.lit("cannot say"))
-        .otherwise(F.concat(F.lit("["), body, F.lit("]")))
+        .when(case == 4, F.concat(F.lit("["), body, F.lit("]"))).when(case == 5, F.lit('{"severity": "LOW", "severity": "NONE"}'))
+        .otherwise(F.concat(F.lit("Sure "), body, F.lit(" but see {note}")))
     )
     answers = e.select("event_id", F.when(cultural, "cultural").otherwise("physical").alias("auditor"), answer.alias("answer"))
-    r = plan.audit_reports(answers, ["event_id"])
+    return plan.audit_reports(answers, ["event_id"])
+
+
+@query(f"WITH {_REPORTS_SQL} SELECT * FROM r")
+def audit_answers(spark, sf_dir):
     first = F.coalesce(F.get("report.issue_descriptions", F.lit(0)), F.get("report.violated_constraints", F.lit(0)))
-    return r.select("event_id", "auditor", "report.severity", first.alias("first_note"))
+    return _reports(spark, sf_dir).select("event_id", "auditor", "report.severity", first.alias("first_note"))
+
+
+@query(f"""
+WITH {_REPORTS_SQL},
+n AS (SELECT event_id // 2 AS doc, count(*) FILTER (WHERE severity = 'HIGH') AS auditors_high, count(*) FILTER (WHERE severity = 'MEDIUM') AS auditors_medium FROM r GROUP BY 1)
+SELECT *, CASE WHEN auditors_high > 0 OR auditors_medium >= 2 THEN 'REGENERATE_FULL'
+               WHEN auditors_medium = 1 THEN CASE WHEN doc % 2 = 0 THEN 'REGENERATE_FULL' ELSE 'REGENERATE_PARTIAL' END ELSE 'ACCEPT' END AS decision FROM n""")
+def report_decision(spark, sf_dir):
+    """Two auditors' answers per document become one decision."""
+    reports = _reports(spark, sf_dir).withColumn("doc", F.expr("event_id div 2"))
+    stage = F.when(F.col("doc") % 2 == 0, "stage3_consumption").otherwise("stage1_family")
+    return verdict.decide_reports(reports, ["doc"], stage)
+
+
+@query("""
+SELECT event_id, CASE WHEN event_id % 4 < 2 THEN 'ACCEPT' ELSE 'REGENERATE_FULL' END AS decision,
+       CASE WHEN event_id % 4 < 2 THEN 'fine' ELSE 'Failed to parse decision' END AS reason FROM events""")
+def decision_answers(spark, sf_dir):
+    """Decisions of model answers; text behind the object makes an answer unreadable."""
+    case = F.col("event_id") % 4
+    said = F.lit('{"decision": "ACCEPT", "reason": "fine"}')
+    answer = (
+        F.when(case == 0, said).when(case == 1, F.concat(F.lit(FENCE + "\n"), said, F.lit("\n" + FENCE)))
+        .when(case == 2, F.concat(said, F.lit(" or {x}"))).otherwise(F.substring(said, 1, 20))
+    )
+    parsed = table(spark, sf_dir, "events").select("event_id", nested.parse_decision(answer).alias("d"))
+    return parsed.select("event_id", "d.decision", "d.reason")
 
 
 _TEMPLATE = "Plan for $name in ${country} ($segment), $unknown costs $$5. Again: $name$"

@@ -8,16 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from homeload import schemas
+from homeload.functions import text
 from homeload.functions.arrays import let
 from homeload.operators import usage
 from homeload.sources.documents import existing
 
 Paths = str | Sequence[str]
-WHOLE_FILE_LIMIT = 4 * 1024 * 1024
-
-# Fixed value: what stands between two entries of a log. Entries are indented
-# and strings hold no raw line breaks, so it cannot occur inside one.
-ENTRY_GAP = ",\n{"
 
 
 def repaired(content: Column) -> Column:
@@ -33,54 +29,19 @@ def repaired(content: Column) -> Column:
 def parsed_calls(content: Column) -> Column:
     """Array of calls in one log text, null when it cannot be read even after repair."""
     calls = schemas.array_of(schemas.API_CALL)
-    return let(repaired(content), lambda body: F.when(F.try_parse_json(body).isNotNull(), F.from_json(body, calls)))
+    return let(repaired(content), lambda body: F.when(text.is_json(body), F.from_json(body, calls)))
 
 
-def read_call_logs(spark: SparkSession, paths: Paths, whole_limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
+def read_call_logs(spark: SparkSession, paths: Paths) -> DataFrame:
     """One row per call of all logs, with ``log_file``.
 
-    A file up to ``whole_limit`` bytes is parsed as one text. A longer one is
-    read entry by entry, so it spreads over many tasks. Either way a file that
-    is broken inside an entry gives no rows.
+    Every file is parsed as one text, whatever its size, as only the whole text
+    tells whether a log can be read; one that cannot be gives no rows. A log is
+    written by a single run, so files spread over tasks but a file does not.
     """
-    paths = paths if isinstance(paths, str) else list(paths)
-    size = F.col("_metadata.file_size")
-    small = (
-        spark.read.text(paths, wholetext=True)
-        .where(size <= whole_limit)
-        .select(F.col("_metadata.file_path").alias("log_file"), F.explode(parsed_calls(F.col("value"))).alias("c"))
-        .select("log_file", "c.*")
-    )
-    large = (
-        spark.read.option("lineSep", ENTRY_GAP).text(paths)
-        .where(size > whole_limit)
-        .select(F.col("_metadata.file_path").alias("log_file"), F.col("_metadata.file_block_start").alias("start"), "value")
-    )
-    return small.unionByName(_entries(large))
-
-
-def _entries(pieces: DataFrame) -> DataFrame:
-    """Calls of the pieces between entry gaps.
-
-    Only a piece opening with ``[`` may lack its brace, and only a piece closing
-    with ``]`` or ``,`` may end a file; every piece must then parse, or its file
-    is dropped as a whole. A file written without gaps is one piece and is
-    parsed as the array it is.
-    """
-    body = F.regexp_replace("value", r"^\s+|\s+$", "")
-    first = F.startswith(body, F.lit("["))
-    entry = F.when(first, F.regexp_replace(body, r"^\[\s*", "")).otherwise(F.concat(F.lit("{"), body))
-    entry = F.regexp_replace(entry, r"\}\s*[\],]$", "}")
-    array = first & F.rlike(body, F.lit(r"(?s)\}\s*,\s*\{.*\]$"))
-    calls = F.when(array, F.from_json(body, schemas.array_of(schemas.API_CALL))).when(
-        F.try_parse_json(entry).isNotNull(), F.array(F.from_json(entry, schemas.API_CALL))
-    )
-    checked = pieces.where(entry != "").select("log_file", calls.alias("calls"))
-    broken = checked.where(F.col("calls").isNull()).select("log_file").distinct()
-    return (
-        checked.join(broken, "log_file", "left_anti").select("log_file", F.explode("calls").alias("c"))
-        .select("log_file", "c.*")
-    )
+    logs = spark.read.text(paths if isinstance(paths, str) else list(paths), wholetext=True)
+    calls = logs.select(F.col("_metadata.file_path").alias("log_file"), F.explode(parsed_calls(F.col("value"))).alias("c"))
+    return calls.select("log_file", "c.*")
 
 
 def read_text_logs(spark: SparkSession, paths: Paths) -> DataFrame:

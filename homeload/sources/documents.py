@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from homeload import schemas
-from homeload.functions import keys
+from homeload.functions import keys, text
 from homeload.operators import nested, tasks
 
 Paths = str | Sequence[str]
@@ -33,22 +33,27 @@ def read_documents(
     """Documents of all files with an explicit schema; unreadable files give no rows.
 
     An object counts as a list of one. A field of the wrong type is null, so
-    the rules can report it; only text that is no JSON at all drops out.
-    ``pattern`` filters file names, ``source_column`` adds the name of the file
-    a row came from.
+    the rules can report it; a file that is not exactly one JSON value drops
+    out as a whole. ``pattern`` filters file names, ``source_column`` adds the
+    name of the file a row came from.
     """
     if not paths:
         return spark.createDataFrame([], schema)
+    paths = paths if isinstance(paths, str) else list(paths)
     reader = spark.read.schema(f"{schema}, _corrupt_record STRING").option("multiLine", True)
     reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
+    whole = spark.read
     if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    df = reader.json(paths if isinstance(paths, str) else list(paths))
+        reader, whole = reader.option("pathGlobFilter", pattern), whole.option("pathGlobFilter", pattern)
+    df = reader.json(paths).withColumn("_path", F.col("_metadata.file_path"))
+    # the reader stops at the end of the first value; what follows it is looked at here
+    broken = whole.text(paths, wholetext=True).where(~text.is_json(F.col("value")))
+    df = df.join(broken.select(F.col("_metadata.file_path").alias("_path")), "_path", "left_anti")
     if source_column:
-        df = df.withColumn(source_column, keys.file_name(F.input_file_name()))
-    fields = [c for c in df.columns if c not in ("_corrupt_record", source_column)]
+        df = df.withColumn(source_column, keys.file_name(F.col("_path")))
+    fields = [c for c in df.columns if c not in ("_corrupt_record", "_path", source_column)]
     something = F.coalesce(*[F.when(F.col(c).isNotNull(), True) for c in fields], F.lit(False))
-    return df.where(F.col("_corrupt_record").isNull() | something).drop("_corrupt_record")
+    return df.where(F.col("_corrupt_record").isNull() | something).drop("_corrupt_record", "_path")
 
 
 def families(spark: SparkSession, paths: Paths, **kw) -> DataFrame:
@@ -76,7 +81,7 @@ def finished_files(spark: SparkSession, folder: str, pattern: str = "*.json") ->
     name = F.input_file_name()
     return raw.select(
         name.alias("path"), keys.file_name(name).alias("file"),
-        F.try_parse_json(F.col("value")).isNotNull().alias("valid"),
+        text.is_json(F.col("value")).alias("valid"),
     )
 
 

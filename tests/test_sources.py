@@ -25,11 +25,13 @@ def test_array_object_and_broken_files(spark, tmp_path):
     write(tmp_path / "c.json", '[{"family_type": "x"')
     write(tmp_path / "e.json", FAMILY | {"num_people": "three"})
     write(tmp_path / "d.txt", [FAMILY])
+    write(tmp_path / "f.json", json.dumps(FAMILY) + "\n" + json.dumps(FAMILY))
+    write(tmp_path / "g.json", json.dumps([FAMILY]) + " oops")
     df = documents.read_documents(spark, str(tmp_path), schemas.FAMILY, "*.json", "src")
     assert {r.src: r["count"] for r in df.groupBy("src").count().collect()} == {"a.json": 2, "b.json": 1, "e.json": 1}
     assert df.count() == 4 and df.where("num_people IS NULL").first().home_type == "Apartment"
     assert df.first().members[2].role == "Son (10 years)"
-    assert [r.file for r in documents.corrupt_files(spark, str(tmp_path)).collect()] == ["c.json"]
+    assert sorted(r.file for r in documents.corrupt_files(spark, str(tmp_path)).collect()) == ["c.json", "f.json", "g.json"]
 
 
 def test_finished_work(spark, tmp_path):

@@ -26,6 +26,32 @@ def test_extract_json(spark, answer, want):
     assert one(spark, text.extract_json(F.lit(answer))) == want
 
 
+@pytest.mark.parametrize(
+    ("body", "want"),
+    [
+        ('{"a": 1}', True), (' [1, {"b": null}] \n', True), ('"s"', True), ("null", True), ('{"a": NaN}', True), ('{"a": 1, "a": 2}', True),
+        ('{"a": 1} oops', False), ('{"a": 1}{"b": 2}', False), ('{"a": 1}, {"b": 2}', False), ('{"a": 1}]', False), ('{"a": 1}}', False),
+        ('{"a": 1}], [2', False), ('1], "x": [2', False), ('1, "b": 2', False), ("{'a': 1}", False), ('{"a": "x\ny"}', False), ("[1, 2", False),
+        ("[1,]", False), ("", False), ("  ", False), (None, False), ('{"a": 1}/*c*/', False),
+    ],
+)
+def test_is_json_means_one_whole_value(spark, body, want):
+    assert one(spark, text.is_json(F.lit(body).cast("string"))) is want
+
+
+def test_text_behind_an_answer_makes_it_unreadable(spark):
+    audit = lambda s: one(spark, nested.parse_audit(F.lit(s), F.lit("cultural"))).severity
+    assert audit('Sure {"severity":"LOW"} but see {note}') == "HIGH" and audit('{"severity":"HIGH","severity":"LOW"}') == "LOW"
+    assert one(spark, nested.parse_decision(F.lit('{"decision":"ACCEPT"} or {x}'))).decision == "REGENERATE_FULL"
+
+
+def test_diff_tells_paths_and_empty_arrays_apart(frame):
+    shape = "struct<`a.b`: int, a: struct<b: int>, xs: array<int>>"
+    pairs = frame([{"k": 1, "old": (1, (2,), []), "new": (1, (3,), None)}], f"k INT, old {shape}, new {shape}")
+    got = {(r.path, r.old_value, r.new_value) for r in nested.document_diff(pairs, ["k"], "old", "new").collect()}
+    assert got == {("a.b", "2", "3"), ("xs", "[]", None)}
+
+
 def test_unreadable_answers_become_fixed_records(spark):
     df = spark.createDataFrame([("{'severity': 'LOW'}", "physical"), ("[]", "cultural"), ('{"severity": "LOW"}', "physical")], "a STRING, w STRING")
     got = [r.x for r in df.select(nested.parse_audit(F.col("a"), F.col("w")).alias("x")).collect()]

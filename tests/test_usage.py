@@ -94,11 +94,10 @@ LOGS = {
 WANT = {"complete": 3, "open": 3, "comma": 2, "nulls": 1}
 
 
-@pytest.mark.parametrize("limit", [1 << 20, -1], ids=["whole", "entries"])
-def test_call_logs_in_every_state(spark, tmp_path, limit):
+def test_call_logs_in_every_state(spark, tmp_path):
     for name, body in LOGS.items():
         (tmp_path / f"api_calls_{name}.json").write_text(body)
-    calls = call_logs.read_call_logs(spark, str(tmp_path / "api_calls_*.json"), limit)
+    calls = call_logs.read_call_logs(spark, str(tmp_path / "api_calls_*.json"))
     got = {r.log_file.split("api_calls_")[1][:-5]: r["count"] for r in calls.groupBy("log_file").count().collect()}
     assert got == WANT
     first = calls.where("log_file LIKE '%open%' AND id = 'c1'").first()
@@ -110,7 +109,32 @@ def test_call_logs_in_every_state(spark, tmp_path, limit):
 def test_long_log_without_gaps(spark, tmp_path):
     body = json.dumps([json.loads(entry(i)) for i in range(4)])
     (tmp_path / "api_calls_min.json").write_text(body)
-    assert call_logs.read_call_logs(spark, str(tmp_path / "api_calls_min.json"), -1).count() == 4
+    assert call_logs.read_call_logs(spark, str(tmp_path / "api_calls_min.json")).count() == 4
+
+
+@pytest.mark.parametrize("padding", [0, 5 << 20], ids=["small", "large"])
+def test_broken_logs_have_one_rule_at_any_size(spark, tmp_path, padding):
+    """Only an array that lacks nothing but its end can be read."""
+    one, two = entry(1, prompt="p" * padding), entry(2)
+    bodies = {
+        "gap": f"[\n{one},\n{two},\n{{", "comma": f"[{one},,{two}]", "glued": f"[{one}][{two}]", "middle": f"[{one}],\n{two}]",
+        "junk": f"[{one}]\nnote", "open": f"[{one}, {two}",
+    }
+    for name, body in bodies.items():
+        (tmp_path / f"api_calls_{name}.json").write_text(body)
+    calls = call_logs.read_call_logs(spark, str(tmp_path / "api_calls_*.json")).groupBy("log_file").count()
+    assert {r.log_file.split("api_calls_")[1][:-5]: r["count"] for r in calls.collect()} == {"open": 2}
+
+
+def test_run_report_takes_json_first(spark, tmp_path):
+    folder = str(tmp_path)
+    assert plan.run_report(spark, folder, dims.ROLES) is None
+    call, done = f"Calling deepinfra with model {MODEL['generator']}", "Successfully generated 7 characters in 1.5s"
+    (tmp_path / "pipeline.log").write_text("\n".join(map(line, [call, done])) + "\n")
+    total = lambda: plan.run_report(spark, folder, dims.ROLES).where("role = 'TOTAL'").first()
+    assert (total().calls, total().total_chars) == (1, 7)
+    (tmp_path / "api_calls_1.json").write_text(LOGS["complete"])
+    assert (total().calls, total().tokens_in) == (3, 30)
 
 
 def test_run_folder_prefers_json(spark, tmp_path):
