@@ -71,6 +71,30 @@ def decide(
     return out.withColumn("decision", decision_of(F.col("auditors_high"), F.col("auditors_medium"), strict))
 
 
+def decide_reports(
+    reports: DataFrame, keys: Sequence[str], stage: Column | None = None, strict_stages: Sequence[str] = STRICT_STAGES
+) -> DataFrame:
+    """One decision per document from the severities its auditors reported.
+
+    ``reports`` has one row per auditor with a ``report`` struct; ``stage`` is a
+    function of ``keys``. Counts merge, so nothing is gathered per document.
+    """
+
+    def n(level: str) -> Column:
+        return F.count_if(F.upper(F.trim("report.severity")) == level).alias("auditors_" + level.lower())
+
+    counts = reports.groupBy(*keys).agg(n("HIGH"), n("MEDIUM"))
+    strict = stage.isin(*strict_stages) if stage is not None else F.lit(False)
+    return counts.withColumn("decision", decision_of(F.col("auditors_high"), F.col("auditors_medium"), strict))
+
+
+def readable(attempts: DataFrame) -> Column:
+    """False for attempts whose output could not be read; without such a column all are readable."""
+    if "readable" not in attempts.columns:
+        return F.lit(True)
+    return F.coalesce(F.col("readable"), F.lit(True))
+
+
 def is_accepted() -> Column:
     """Attempt rows that end a task: accepted, or accepted after a readable edit."""
     edited = (
@@ -109,10 +133,11 @@ def next_actions(attempts: DataFrame, keys: Sequence[str], max_attempts: int = M
     """Open tasks with the attempt to run next and the guidance to carry.
 
     Guidance comes from the newest full rejection that has any; a partial
-    rejection leaves it as it was.
+    rejection leaves it as it was, and so does an unreadable attempt, which no
+    auditor has seen.
     """
     valid = attempts.where(F.col("attempt") <= max_attempts)
-    carries = (F.col("decision") == FULL) & (F.coalesce("regeneration_guidance", F.lit("")) != "")
+    carries = readable(attempts) & (F.col("decision") == FULL) & (F.coalesce("regeneration_guidance", F.lit("")) != "")
     out = valid.groupBy(*keys).agg(
         F.max(is_accepted()).alias("done"),
         F.max("attempt").alias("last_attempt"),
@@ -124,10 +149,10 @@ def next_actions(attempts: DataFrame, keys: Sequence[str], max_attempts: int = M
 
 
 def rule_base(decisions: DataFrame) -> DataFrame:
-    """Distinct ``(stage, rule)`` of full rejections that carry guidance and a rule."""
+    """Distinct ``(stage, rule)`` of full rejections of readable outputs that carry guidance and a rule."""
     rule = F.trim(F.coalesce("knowledge_base_rule", F.lit("")))
     return (
-        decisions.where(F.col("decision") == FULL)
+        decisions.where(readable(decisions) & (F.col("decision") == FULL))
         .where(F.coalesce("regeneration_guidance", F.lit("")) != "")
         .select("stage", rule.alias("rule"))
         .where(F.col("rule") != "")
@@ -140,13 +165,13 @@ def rule_line(stage: Column, rule: Column) -> Column:
 
 
 def funnel(attempts: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Decision counts and rates, e.g. by stage, stage and role, or attempt."""
+    """Decision counts and rates, e.g. by stage, stage and role, or attempt; unreadable attempts have no decision."""
 
     def n(value: str, name: str) -> Column:
         return F.count_if(F.col("decision") == value).alias(name)
 
     total = F.count(F.lit(1)).alias("decisions")
-    out = attempts.groupBy(*by).agg(
+    out = attempts.where(readable(attempts)).groupBy(*by).agg(
         total, n(ACCEPT, "accepted"), n(PARTIAL, "partial"), n(FULL, "full"),
     )
     out = out.withColumn("other", F.col("decisions") - F.col("accepted") - F.col("partial") - F.col("full"))

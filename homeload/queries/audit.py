@@ -419,18 +419,18 @@ def decision(spark, sf_dir):
 DECISIONS = (v.FULL, v.PARTIAL, v.ACCEPT, v.FULL, "UNSURE", v.PARTIAL)
 
 
-def attempts(spark, sf_dir):
-    """Order lines as attempts: an order is a task, its line number the attempt."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag").distinct()
+def single_attempts(spark, sf_dir):
+    """Order lines as attempts: an order is a task, its line number the attempt, the lowest part the one that counts."""
+    li = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("l_partkey"))
     p = F.col("l_partkey")
     return li.select(
-        F.col("l_orderkey").alias("task"), F.col("l_linenumber").alias("attempt"), F.col("l_returnflag").alias("stage"), (p % 13 != 0).alias("readable"),
+        F.col("l_orderkey").alias("task"), F.col("l_linenumber").alias("attempt"), (p % 13 != 0).alias("readable"),
         choose(p, DECISIONS).alias("decision"), F.when(p % 4 != 0, "ACCEPT").otherwise("REGENERATE_FULL").alias("edit_decision"),
         (p % 7 != 0).alias("edit_readable"), F.concat(F.lit("out "), p.cast("string")).alias("output"),
         F.concat(F.lit("edit "), p.cast("string")).alias("edited_output"),
         F.when(p % 5 != 0, F.concat(F.lit("fix "), p.cast("string"))).otherwise("").alias("regeneration_guidance"),
         F.when(p % 2 == 0, F.concat(F.lit(" rule "), (p % 50).cast("string"), F.lit(" "))).alias("knowledge_base_rule"),
-        p.alias("part"), "l_suppkey",
+        p.alias("part"),
     )
 
 
@@ -447,13 +447,6 @@ outc AS (SELECT task, CASE WHEN accepted_at IS NOT NULL THEN 'accepted' WHEN las
    coalesce(accepted_at, last_attempt) AS attempts_used, final_output FROM rep)"""
 
 
-def single_attempts(spark, sf_dir):
-    a = attempts(spark, sf_dir)
-    rest = [c for c in a.columns if c not in ("task", "attempt")]
-    one = a.groupBy("task", "attempt").agg(F.min_by(F.struct(*rest), "part").alias("r"))
-    return one.select("task", "attempt", "r.*")
-
-
 @query(f"WITH {ATTEMPTS_SQL} SELECT * FROM outc")
 def attempt_replay(spark, sf_dir):
     return v.replay(single_attempts(spark, sf_dir), ["task"])
@@ -461,7 +454,7 @@ def attempt_replay(spark, sf_dir):
 
 @query(f"""
 WITH {ATTEMPTS_SQL}
-SELECT task, max(attempt) + 1 AS next_attempt, arg_max(guidance, attempt) FILTER (WHERE decision = 'REGENERATE_FULL' AND guidance <> '') AS guidance
+SELECT task, max(attempt) + 1 AS next_attempt, arg_max(guidance, attempt) FILTER (WHERE readable AND decision = 'REGENERATE_FULL' AND guidance <> '') AS guidance
 FROM ok WHERE attempt <= 3 GROUP BY task HAVING NOT bool_or(good) AND max(attempt) < 3""")
 def next_actions(spark, sf_dir):
     return v.next_actions(single_attempts(spark, sf_dir), ["task"])
@@ -469,21 +462,31 @@ def next_actions(spark, sf_dir):
 
 @query(f"""
 WITH {ATTEMPTS_SQL}
-SELECT DISTINCT '- [RULE: stage' || (attempt % 3) || '] ' || rule AS line FROM att WHERE decision = 'REGENERATE_FULL' AND guidance <> '' AND rule <> ''""")
+SELECT DISTINCT '- [RULE: stage' || (attempt % 3) || '] ' || rule AS line FROM att WHERE readable AND decision = 'REGENERATE_FULL' AND guidance <> '' AND rule <> ''""")
 def rule_base(spark, sf_dir):
     a = single_attempts(spark, sf_dir).withColumn("stage", F.concat(F.lit("stage"), (F.col("attempt") % 3).cast("string")))
     return v.rule_base(a).select(v.rule_line(F.col("stage"), F.col("rule")).alias("line"))
 
 
-@query(f"""
-WITH {ATTEMPTS_SQL}
-SELECT attempt, count(*) AS decisions, count(*) FILTER (WHERE decision = 'ACCEPT') AS accepted, count(*) FILTER (WHERE decision = 'REGENERATE_PARTIAL') AS partial,
+_FUNNEL_SQL = """count(*) AS decisions, count(*) FILTER (WHERE decision = 'ACCEPT') AS accepted, count(*) FILTER (WHERE decision = 'REGENERATE_PARTIAL') AS partial,
        count(*) FILTER (WHERE decision = 'REGENERATE_FULL') AS "full", count(*) FILTER (WHERE decision = 'UNSURE') AS other,
-       count(*) FILTER (WHERE decision = 'ACCEPT') / count(*) AS accept_rate FROM att GROUP BY attempt""")
+       count(*) FILTER (WHERE decision = 'ACCEPT') / count(*) AS accept_rate FROM att WHERE readable"""
+
+
+@query(f"WITH {ATTEMPTS_SQL} SELECT attempt, {_FUNNEL_SQL} GROUP BY attempt")
 def acceptance_funnel(spark, sf_dir):
     return v.funnel(single_attempts(spark, sf_dir), ["attempt"])
 
 
+@query(f"""
+WITH {ATTEMPTS_SQL}
+SELECT 'stage' || (task % 3) AS stage, CASE WHEN p % 2 = 0 THEN 'generator' ELSE 'editor' END AS role, {_FUNNEL_SQL} GROUP BY 1, 2""")
+def acceptance_by_stage_and_role(spark, sf_dir):
+    stage = F.concat(F.lit("stage"), (F.col("task") % 3).cast("string"))
+    role = F.when(F.col("part") % 2 == 0, "generator").otherwise("editor")
+    return v.funnel(single_attempts(spark, sf_dir).withColumn("stage", stage).withColumn("role", role), ["stage", "role"])
+
+
 @query(f"""
 WITH {ATTEMPTS_SQL}, n AS (SELECT task, max(attempt) AS attempts FROM att GROUP BY task)
 SELECT attempts, count(*) AS total, count(*) FILTER (WHERE status = 'accepted') AS successful, count(*) FILTER (WHERE status <> 'accepted') AS failed

@@ -89,6 +89,23 @@ def test_rule_base_and_funnel(frame):
     assert (f.decisions, f.accepted, f.partial, f.full, f.other, f.accept_rate) == (5, 1, 1, 3, 0, 0.2)
 
 
+def test_unreadable_attempts_have_no_say(frame):
+    unread = {"readable": False, "decision": F_, "regeneration_guidance": "lost", "knowledge_base_rule": "lost"}
+    df = frame([*rows_of("a", {"decision": F_, "regeneration_guidance": "g"}, unread), *rows_of("b", unread)], ATTEMPT)
+    got = {r.task: (r.next_attempt, r.guidance) for r in v.next_actions(df, ["task"]).collect()}
+    assert got == {"a": (3, "g"), "b": (2, None)}
+    assert v.rule_base(df).count() == 0 and v.funnel(df, ["stage"]).first().decisions == 1
+
+
+def test_reports_become_decisions(frame):
+    cases = {1: ("NONE", "LOW"), 2: ("MEDIUM", "NONE"), 3: ("MEDIUM", "medium"), 4: ("HIGH", "NONE"), 5: (None, "NONE")}
+    rows = [{"doc": d, "report": (s,)} for d, found in cases.items() for s in found]
+    df = frame(rows, "doc INT, report STRUCT<severity: STRING>")
+    got = {r.doc: r.decision for r in v.decide_reports(df, ["doc"]).collect()}
+    assert got == {1: A_, 2: P_, 3: F_, 4: F_, 5: A_}
+    assert v.decide_reports(df.where("doc = 2"), ["doc"], F.lit("stage3_consumption")).first().decision == F_
+
+
 def test_outcomes(frame):
     df = frame([{"t": i, "status": s} for i, s in enumerate(["accepted", "failed", "accepted", "open"])], "t INT, status STRING")
     assert tuple(v.outcome_summary(df).first()) == (4, 2, 2) and v.failures(df).count() == 2
