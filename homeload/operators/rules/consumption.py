@@ -178,14 +178,17 @@ def hvac_rules(
     return [
         rule("VAL33.cooling", HIGH, unanswered("cooling", lambda t: t >= hot), "no cooling in sustained heat"),
         rule("VAL33.heating", HIGH, unanswered("heating", lambda t: t <= cold), "no heating in sustained cold"),
+        rule("VAL33.profile", LOW, F.col("temperature").isNull(), "no weather profile to check against"),
         rule("VAL34", HIGH, (empty > 0) & (empty >= occupied * empty_share), "HVAC not lower when empty"),
     ]
 
 
 def with_temperature(docs: DataFrame, profiles: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Documents with the temperature array of their weather profile.
+    """Documents with the temperature array of their weather profiles, one row per document and profile.
 
-    One profile per key is needed; of several the first in array order is kept.
+    ``on`` should be the profiles' own key, such as source file and number. A
+    key with several profiles gives a row for each, a document without any has
+    a null ``temperature``.
     """
-    temp = profiles.groupBy(*on).agg(F.min("weather_data.temperature.hourly_profile").alias("temperature"))
+    temp = profiles.select(*on, F.col("weather_data.temperature.hourly_profile").alias("temperature")).distinct()
     return docs.join(temp, list(on), "left")

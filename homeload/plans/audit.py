@@ -34,12 +34,15 @@ def consumption_findings(
     profile_on: Sequence[str] = ("country", "season"),
     vocabulary: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Rules inside a document, plus those that need its family or its weather."""
-    rules, prepared = consumption.rules(vocabulary), consumption.prepare(docs)
+    """Rules inside a document, plus those that need its family or its weather.
+
+    A document is held against every profile of its ``profile_on`` key; what
+    several of them show is listed once.
+    """
+    out = core.findings(consumption.prepare(docs), keys, consumption.rules(vocabulary))
     if profiles is not None:
-        rules = rules + consumption.hvac_rules()
-        prepared = consumption.prepare_hvac(consumption.with_temperature(prepared, profiles, profile_on))
-    out = core.findings(prepared, keys, rules)
+        warm = consumption.prepare_hvac(consumption.with_temperature(docs, profiles, profile_on))
+        out = out.unionByName(core.findings(warm, keys, consumption.hvac_rules()).distinct())
     if family_docs is not None:
         out = out.unionByName(consumption.unknown_members(docs, family_docs, keys))
     return out

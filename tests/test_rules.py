@@ -208,6 +208,17 @@ def test_consumption_rules(frame):
     assert got == {k: want for k, (_, want) in cases.items() if want}
 
 
+def test_every_profile_of_a_day_is_checked(frame):
+    still = {"heating": machine([0.0] * 24), "cooling": machine([0.0] * 24)}
+    docs = frame([consumption_doc(season=s, hvac=still) | {"id": s} for s in ("Winter", "Autumn")], "id STRING, " + schemas.CONSUMPTION)
+    profiles = frame(
+        [{"country": "X", "season": "Winter", "weather_data": {"temperature": signal([t] * 24)}} for t in (-10.0, 0.0, 33.0, 33.0)],
+        schemas.WEATHER_PROFILE,
+    )
+    rows = plan.consumption_findings(docs, ["id"], profiles=profiles).where("rule_id LIKE 'VAL33%'").collect()
+    assert sorted((r.id, r.rule_id) for r in rows) == [("Autumn", "VAL33.profile"), ("Winter", "VAL33.cooling"), ("Winter", "VAL33.heating")]
+
+
 def test_vocabulary(frame):
     docs = frame([consumption_doc() | {"id": "d"}], "id STRING, " + schemas.CONSUMPTION)
     allowed = sorted(set(DAY) - {"Reading"})
