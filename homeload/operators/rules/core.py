@@ -49,6 +49,12 @@ def findings(docs: DataFrame, keys: Sequence[str], rules: Sequence[Rule]) -> Dat
     return docs.select(*keys, F.explode(kept).alias("f")).select(*keys, "f.*")
 
 
+def broken_rules(rules: Sequence[Rule], severity: str = HIGH) -> Column:
+    """Sorted ids of the rules of one severity that a document breaks, found in its row."""
+    hits = F.array(*[F.when(r.broken, F.lit(r.rule_id)) for r in rules if r.severity == severity])
+    return F.array_sort(F.filter(hits, lambda h: h.isNotNull()))
+
+
 def outside(value: Column, allowed: Sequence[str]) -> Column:
     """A given value that is not in the list; an absent one is the required-field rule's."""
     return value.isNotNull() & ~value.isin(*allowed)

@@ -16,6 +16,12 @@ def document_family_findings(docs: DataFrame, keys: Sequence[str]) -> DataFrame:
     return core.findings(families.prepare(docs), keys, families.rules())
 
 
+def marked_families(docs: DataFrame) -> DataFrame:
+    """Family documents with ``broken_rules``: the HIGH rules each breaks on its own, empty for a good one."""
+    marked = families.prepare(docs).withColumn("broken_rules", core.broken_rules(families.rules()))
+    return marked.select(*docs.columns, "broken_rules")
+
+
 def family_findings(docs: DataFrame, keys: Sequence[str], scope: Sequence[str] = ("country",)) -> DataFrame:
     """All family findings, duplicates within ``scope`` included."""
     own = document_family_findings(docs, keys)

@@ -90,7 +90,7 @@ SELECT c.c_custkey, broken_rules IS NULL AS accepted, coalesce(broken_rules, '')
 def stream_validated_ingest(spark, sf_dir):
     good, bad, state = (shared_folder(spark, f"ingest-{n}") for n in ("accepted", "quarantine", "state"))
     docs = family_docs(_stream(spark, sf_dir, "customer"))
-    ingest.validated_ingest(docs, ["c_custkey"], lambda b: plan.document_family_findings(b, ["c_custkey"]), good, bad, state)
+    ingest.validated_ingest(docs, plan.marked_families, good, bad, state)
     accepted = spark.read.parquet(good).select("c_custkey", F.lit(True).alias("accepted"), F.lit("").alias("broken_rules"))
     refused = spark.read.parquet(bad).select(
         "c_custkey", F.lit(False).alias("accepted"), F.array_join("broken_rules", ",").alias("broken_rules")

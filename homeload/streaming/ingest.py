@@ -2,40 +2,37 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from homeload.operators.rules.core import HIGH
-
 
 def validated_ingest(
     documents: DataFrame,
-    keys: Sequence[str],
-    find: Callable[[DataFrame], DataFrame],
+    mark: Callable[[DataFrame], DataFrame],
     accepted: str,
     quarantine: str,
     checkpoint: str,
     on_batch: Callable[[DataFrame, int], None] | None = None,
 ):
-    """Start an ``availableNow`` stream that checks each batch with ``find``.
-
-    Documents with a HIGH finding go to ``quarantine`` with their findings.
-    Each batch writes its own ``batch`` folder with overwrite, so a batch that
-    is run again after a failure replaces itself.
+    """Start an ``availableNow`` stream that checks each batch with ``mark``.
+
+    ``mark`` adds ``broken_rules``, an array per row, so checking needs no
+    shuffle and documents that share a key are judged one by one. Documents
+    that break a rule go to ``quarantine`` with that array. Rules over several
+    documents (VAL10) cannot be settled by a batch and are left to the audit of
+    the accepted table. Each batch writes its own ``batch`` folder with
+    overwrite, so a batch that is run again after a failure replaces itself.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        found = find(batch).where(F.col("severity") == HIGH)
-        reasons = found.groupBy(*keys).agg(F.array_sort(F.collect_set("rule_id")).alias("broken_rules"))
-        marked = batch.join(reasons, list(keys), "left").persist()
+        marked = mark(batch).persist()
+        is_good = F.array_size("broken_rules") == 0
         try:
-            good = marked.where(F.col("broken_rules").isNull()).drop("broken_rules")
+            good = marked.where(is_good).drop("broken_rules")
             good.write.mode("overwrite").parquet(f"{accepted}/batch={batch_id}")
-            marked.where(F.col("broken_rules").isNotNull()).write.mode("overwrite").parquet(
-                f"{quarantine}/batch={batch_id}"
-            )
+            marked.where(~is_good).write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
             if on_batch is not None:
                 on_batch(good, batch_id)
         finally:

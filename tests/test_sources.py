@@ -154,18 +154,18 @@ def test_load_curves_do_not_depend_on_entry_order(frame):
 def test_ingest_replays_a_batch_without_duplicates(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
-    rows = [FAMILY | {"household_id": "good"}, FAMILY | {"household_id": "bad", "num_people": 9}]
+    # two documents of one id are judged one by one
+    rows = [FAMILY | {"household_id": "good"}, FAMILY | {"household_id": "bad", "num_people": 9}, FAMILY | {"household_id": "bad"}]
     (src / "a.json").write_text("\n".join(map(json.dumps, rows)))
     good, bad, state = (shared_folder(spark, n) for n in ("good", "bad", "ingest"))
     seen = []
 
     def start():
         docs = spark.readStream.schema(schemas.FAMILY).json(str(src))
-        find = lambda b: audit.document_family_findings(b, ["household_id"])
-        ingest.validated_ingest(docs, ["household_id"], find, good, bad, state, lambda df, n: seen.append((n, df.count())))
+        ingest.validated_ingest(docs, audit.marked_families, good, bad, state, lambda df, n: seen.append((n, df.count())))
 
     start()
     start()
-    assert [r.household_id for r in spark.read.parquet(good).collect()] == ["good"]
+    assert sorted(r.household_id for r in spark.read.parquet(good).collect()) == ["bad", "good"]
     assert [(r.household_id, r.broken_rules) for r in spark.read.parquet(bad).collect()] == [("bad", ["VAL4"])]
-    assert seen == [(0, 1)]
+    assert seen == [(0, 2)]
