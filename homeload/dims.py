@@ -131,20 +131,3 @@ def coordinates(spark: SparkSession, rows=COORDINATES, southern=SOUTHERN_COUNTRI
         spark, [(c, lat, lon, c in southern) for c, lat, lon in rows],
         "country STRING, lat DOUBLE, lon DOUBLE, southern BOOLEAN",
     )
-
-
-def code_map(spark: SparkSession, rows, code: str, label: str) -> DataFrame:
-    return literal_frame(spark, rows, f"{code} INT, {label} STRING")
-
-
-def role_members(spark: SparkSession, roles=ROLES) -> DataFrame:
-    """``(role, model)`` with display role names; keyed by the pair, so roles may share a model."""
-    return literal_frame(
-        spark, [(r.replace("_", " ").title(), m) for r, m in roles], "role STRING, model STRING"
-    )
-
-
-def price_list(spark: SparkSession, prices=PRICES) -> DataFrame:
-    return literal_frame(
-        spark, prices, "provider STRING, model STRING, rate_in DOUBLE, rate_out DOUBLE"
-    )

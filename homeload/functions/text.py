@@ -178,7 +178,3 @@ def has_criteria(criteria: Column) -> Column:
     """False for an empty criteria text or one that is only a ``#`` note."""
     body = F.regexp_replace(F.coalesce(criteria, F.lit("")), r"^\s+", "")
     return (body != "") & ~F.startswith(body, F.lit("#"))
-
-
-def compact_json(value: Column) -> Column:
-    return F.to_json(value)

@@ -75,12 +75,6 @@ def consumption_nested(long: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def members_long(families: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return families.select(*keys, F.posexplode("members").alias("position", "m")).select(
-        *keys, "position", "m.role", "m.work_modality"
-    )
-
-
 def sequence_items(text_column: Column, item_schema: str) -> Column:
     """Items of a document that is an array, ``{"sequence": [...]}`` or one object."""
     body = F.trim(text_column)

@@ -363,20 +363,21 @@ def _label_findings(spark, sf_dir):
     labels = table(spark, sf_dir, "labels")
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
 
-    def found(df, condition, auditor, rule_id, severity):
-        return df.where(condition).select(
-            "doc_id", F.lit(auditor).alias("auditor"), F.lit(rule_id).alias("rule_id"), F.lit(severity).alias("severity")
+    def found(df, *rules):
+        """All findings of a row as one array."""
+        hits = [
+            F.when(F.expr(condition), F.struct(F.lit(a).alias("auditor"), F.lit(r).alias("rule_id"), F.lit(s).alias("severity")))
+            for condition, a, r, s in rules
+        ]
+        return df.select("doc_id", F.explode(F.array_compact(F.array(*hits))).alias("f")).select("doc_id", "f.*")
+
+    of_labels = found(labels, ("quality = 0", "physical", "quality", "MEDIUM"), ("toxic = 1", "cultural", "toxic", "HIGH"))
+    return of_labels.unionByName(
+        found(
+            docs, ("n_chars < 400", "physical", "short", "MEDIUM"), ("lang <> 'en'", "cultural", "language", "LOW"),
+            ("source IN ('src1', 'src2', 'src3')", "cultural", "source", "MEDIUM"),
         )
-
-    parts = (
-        found(labels, "quality = 0", "physical", "quality", "MEDIUM"), found(labels, "toxic = 1", "cultural", "toxic", "HIGH"),
-        found(docs, "n_chars < 400", "physical", "short", "MEDIUM"), found(docs, "lang <> 'en'", "cultural", "language", "LOW"),
-        found(docs, "source IN ('src1', 'src2', 'src3')", "cultural", "source", "MEDIUM"),
     )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
 
 
 _LABEL_SQL = """
