@@ -42,11 +42,11 @@ def _live_calls(df):
     return once.withColumn("copy", F.explode(copies)).drop("copy")
 
 
-def _run(spark, sf_dir, **kw):
+def _run(spark, sf_dir, mode, **kw):
     stream = live.usage_windows(_live_calls(_stream(spark, sf_dir, "events")), **kw)
     out, checkpoint = shared_folder(spark, "usage-windows"), shared_folder(spark, "usage-windows-state")
-    live.run_available(stream, out, checkpoint)
-    return spark.read.schema(stream.schema).parquet(out).select(
+    live.run_available(stream, out, checkpoint, mode)
+    return live.delivered(spark, out, stream.schema, mode).select(
         utc_wall_time(F.col("window_start")).alias("window_start"), utc_wall_time(F.col("window_end")).alias("window_end"),
         "role", "calls", "tokens_in", "tokens_out", F.round("total_time", 4).alias("total_time"), F.round("total_cost", 8).alias("total_cost"),
     )
@@ -55,20 +55,18 @@ def _run(spark, sf_dir, **kw):
 @query(f"""
 WITH {u.CALLS_SQL}, {_SEEN}, {u._PRICED.format(source="seen")},
 w AS (SELECT date_trunc('hour', ts) AS window_start, coalesce(role, 'unknown') AS role, {_SUMS} FROM priced GROUP BY 1, 2)
-SELECT *, window_start + INTERVAL 1 HOUR AS window_end FROM w
-WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM seen) - INTERVAL 1 DAY""")
+SELECT *, window_start + INTERVAL 1 HOUR AS window_end FROM w""")
 def stream_usage_windows(spark, sf_dir):
-    return _run(spark, sf_dir)
+    return _run(spark, sf_dir, "update")
 
 
 @query(f"""
 WITH {u.CALLS_SQL}, {_SEEN}, {u._PRICED.format(source="seen")},
 s AS (SELECT *, date_trunc('hour', ts) - to_hours(h) AS window_start FROM priced, (SELECT unnest(range(4)) AS h)),
 w AS (SELECT window_start, coalesce(role, 'unknown') AS role, {_SUMS} FROM s GROUP BY 1, 2)
-SELECT *, window_start + INTERVAL 4 HOUR AS window_end FROM w
-WHERE window_start + INTERVAL 4 HOUR <= (SELECT max(ts) FROM seen) - INTERVAL 1 DAY""")
+SELECT *, window_start + INTERVAL 4 HOUR AS window_end FROM w""")
 def stream_usage_sliding(spark, sf_dir):
-    return _run(spark, sf_dir, window="4 hours", slide="1 hour")
+    return _run(spark, sf_dir, "update", window="4 hours", slide="1 hour")
 
 
 @query(f"""
@@ -76,9 +74,9 @@ WITH {u.CALLS_SQL}, {_SEEN}, {u._PRICED.format(source="seen")},
 g AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY coalesce(role, 'unknown') ORDER BY ts) <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM priced),
 s AS (SELECT *, sum(fresh) OVER (PARTITION BY coalesce(role, 'unknown') ORDER BY ts) AS session FROM g),
 w AS (SELECT min(ts) AS window_start, max(ts) + INTERVAL 30 MINUTE AS window_end, coalesce(role, 'unknown') AS role, {_SUMS} FROM s GROUP BY coalesce(role, 'unknown'), session)
-SELECT * FROM w WHERE window_end <= (SELECT max(ts) FROM seen) - INTERVAL 1 DAY""")
+SELECT * FROM w""")
 def stream_usage_sessions(spark, sf_dir):
-    return _run(spark, sf_dir, session_gap="30 minutes")
+    return _run(spark, sf_dir, "complete", session_gap="30 minutes")
 
 
 @query(f"""

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from homeload.operators import usage
 
@@ -45,11 +46,30 @@ def usage_windows(
 
 
 def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append"):
-    """Process what is there and stop; results land in Parquet at ``path``."""
-    query = (
-        stream.writeStream.format("parquet").outputMode(mode)
-        .option("path", path).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
+    """Process what is there and stop; results land in Parquet at ``path``.
+
+    ``append`` delivers a window once, when no late call can change it.
+    ``update`` delivers every changed window with each batch, open ones too,
+    and ``complete`` all windows: the way to see open session windows, with a
+    state that grows with the run. ``delivered`` reads these two. A batch run
+    again replaces its own folder.
+    """
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if mode == "append":
+        writer = writer.format("parquet").option("path", path)
+    else:
+        writer = writer.foreachBatch(lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/batch={number}"))
+    query = writer.start()
     query.awaitTermination()
     return query
+
+
+def delivered(spark: SparkSession, path: str, schema: T.StructType, mode: str) -> DataFrame:
+    """The newest state of every window that ``run_available`` wrote in mode ``update`` or ``complete``."""
+    rows = spark.read.schema(T.StructType([*schema, T.StructField("batch", T.LongType())])).parquet(path)
+    if mode == "complete":
+        last = rows.agg(F.max("batch").alias("batch"))
+        return rows.join(F.broadcast(last), "batch", "left_semi").drop("batch")
+    keys = ["window_start", "window_end", "role"]
+    rest = [f.name for f in schema if f.name not in keys]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("r")).select(*keys, "r.*")

@@ -167,3 +167,28 @@ def test_text_log_pairing(spark, tmp_path):
 def test_no_calls_at_all(frame):
     report = plan.usage_report(frame([], FLAT), dims.ROLES)
     assert report.where("role = 'TOTAL'").first().avg_cost == 0.0 and report.agg(F.sum("calls")).first()[0] == 0
+
+
+@pytest.mark.parametrize("mode", ["update", "complete"])
+def test_open_windows_are_delivered_in_their_newest_state(spark, tmp_path, mode):
+    from homeload.streaming import usage as live
+
+    schema = (
+        "id STRING, ts TIMESTAMP, role STRING, model STRING, provider STRING, duration_seconds DOUBLE, tokens_in BIGINT, tokens_out BIGINT, "
+        "cost_total DOUBLE"
+    )
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+
+    def run(*minutes):
+        rows = ", ".join(f"('c{m}', TIMESTAMP '2026-01-01 10:{m}:00', 'editor', 'm', 'p', 1.0D, 1L, 1L, 0.5D)" for m in minutes)
+        spark.sql(f"SELECT * FROM VALUES {rows} AS v(id, ts, role, model, provider, duration_seconds, tokens_in, tokens_out, cost_total)").write.mode(
+            "append").parquet(source)
+        calls = spark.readStream.schema(schema).parquet(source)
+        gap = {"session_gap": "5 minutes"} if mode == "complete" else {}
+        stream = live.usage_windows(calls, price=False, **gap)
+        live.run_available(stream, out, state, mode)
+        return sorted((str(r.window_end)[11:16], r.calls, r.tokens_in) for r in live.delivered(spark, out, stream.schema, mode).collect())
+
+    first, second = run("01", "02"), run("04", "02", "30")
+    assert first == ([("11:00", 2, 2)] if mode == "update" else [("10:07", 2, 2)])
+    assert second == ([("11:00", 4, 4)] if mode == "update" else [("10:09", 3, 3), ("10:35", 1, 1)])
