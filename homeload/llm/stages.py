@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homeload.llm import decontaminate, packing, quality, simhash, substrings
+from homeload.llm import decontaminate, near, packing, quality, substrings
 from homeload.llm.common import text_key
 from homeload.queries.tables import table
 
@@ -25,14 +25,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate component.
+    """The document with the smallest id of each component of documents alike in at least 0.8 of their five-word shingles.
 
     Where several texts of a component share that id one of them stays; rows
     equal in id and text are one document and stay together.
     """
-    firsts = simhash.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # ids repeat only by mistake; the fingerprint keeps components apart that share one
-    keep = firsts.groupBy("doc_id", "fp").agg(F.min("tell").alias("tell")).select(F.col("doc_id").alias("__id"), F.col("tell").alias("__tell"))
+    found = near.near_duplicates(docs).groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tell")).alias("first"))
+    # an id and text has one root, so no two components name the same row
+    keep = found.select(F.col("first.doc_id").alias("__id"), F.col("first.tell").alias("__tell"))
     tell = text_key(F.coalesce(docs["text"], F.lit("")))
     return docs.join(keep, docs["doc_id"].cast("long").eqNullSafe(keep["__id"]) & (tell == keep["__tell"]), "left_semi")
 
