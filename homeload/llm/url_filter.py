@@ -16,8 +16,10 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from homeload.llm.common import written
+
 BAD = "label=bad"
-MIN_SHARE, MIN_COUNT, MIN_CONFIDENCE, MAX_TOKENS = 0.001, 5, 0.5, 2
+MIN_SHARE, MIN_COUNT, MIN_CONFIDENCE = 0.001, 5, 0.5
 
 
 def ascii_lower(text: Column) -> Column:
@@ -53,14 +55,14 @@ def stated_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]
 
 
 def mine_rules(
-    labelled: DataFrame, min_share: float = MIN_SHARE, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE,
-    max_tokens: int = MAX_TOKENS,
+    labelled: DataFrame, min_share: float = MIN_SHARE, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE
 ) -> DataFrame:
     """``tokens array<string>, n long, n_bad long`` of the kept rules from ``url, bad`` rows.
 
-    A rule needs ``max(min_count, min_share of all labelled)`` bad pages, at most
-    ``max_tokens`` tokens and a bad share of ``min_confidence`` or more. No
-    labelled page gives no rule.
+    A rule needs ``max(min_count, min_share of all labelled)`` bad pages and a bad
+    share of ``min_confidence`` or more, whatever its number of tokens. Longer
+    rules with a token that is a rule by itself are left out, as they add no
+    URL. No labelled page gives no rule.
     """
     baskets = labelled.select(F.when(F.col("bad"), F.array_append(tokens(F.col("url")), F.lit(BAD))).otherwise(tokens(F.col("url"))).alias("items"))
     n = baskets.count()
@@ -70,11 +72,15 @@ def mine_rules(
     # the half keeps the product of share and count from rounding up to one more
     found = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / n), minConfidence=min_confidence).fit(baskets).freqItemsets
     sets = found.select(F.sort_array(F.array_remove("items", BAD)).alias("tokens"), F.array_contains("items", BAD).alias("bad"), "freq")
-    sets = sets.where(F.size("tokens").between(1, max_tokens))
+    sets = sets.where(F.size("tokens") > 0)
     both = sets.groupBy("tokens").agg(
         F.max(F.when(~F.col("bad"), F.col("freq"))).alias("n"), F.max(F.when(F.col("bad"), F.col("freq"))).alias("n_bad")
     )
-    return both.where(F.col("n_bad") >= F.col("n") * min_confidence)
+    kept = written(both.where(F.col("n_bad") >= F.col("n") * min_confidence), "url-rules")
+    alone = kept.where(F.size("tokens") == 1).select(F.col("tokens")[0].alias("token"))
+    longer = kept.where(F.size("tokens") > 1)
+    covered = longer.select("tokens", F.explode("tokens").alias("token")).join(alone, "token", "left_semi").select("tokens").distinct()
+    return kept.where(F.size("tokens") == 1).unionByName(longer.join(covered, "tokens", "left_anti"))
 
 
 def matching_urls(urls: DataFrame, rules: DataFrame) -> DataFrame:
