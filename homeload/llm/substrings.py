@@ -1,11 +1,16 @@
 """Substring deduplication by content-defined chunks.
 
-A gear hash over the last sixteen bytes decides where a chunk ends, so an
-insertion shifts chunks but does not change those behind it. Chunks end after
-white space; where a text has none for long, at a character. Chunks are
-compared by digest, whatever their place. A run of neighbouring chunks that
-documents with smaller ids hold, and that has at least ``MIN_WORDS`` words, is
-removed; shorter repeats (a common line, a licence) stay.
+Of every ``WINDOW`` neighbouring words the one of the least hash ends a chunk
+(of equal ones each), so what a chunk is depends on a few words around it, an
+insertion shifts chunks but does not change those behind it, and no chunk has
+more than ``WINDOW`` words. A span is as many neighbouring chunks as have
+``MIN_WORDS`` words. Spans are compared by digest, whatever
+their place, and those that documents with smaller ids hold are removed.
+
+Every repeated passage of 50 words holds a whole span: its cuts agree from the fifth word to the fifth from its end, the
+first and last cut there are at least 33 words apart, and a span has 32 at most.
+Up to nine words stay before the first span and up to thirteen after the last.
+Repeats of less than ``MIN_WORDS`` words (a common line, a licence) stay.
 """
 
 from __future__ import annotations
@@ -20,9 +25,9 @@ from homeload.llm import tokens
 from homeload.llm.common import attach
 from homeload.llm.shared_keys import NO_ID, PACKED, by_document, exchange, pack_slice, shards_for, short_tell
 
-#: A passage of fifty words loses a few words at either end before its first and after its last whole chunk.
+#: A passage of fifty words loses a few words at either end before its first and after its last whole span.
 MIN_WORDS = 28
-CUT_BITS, SPACELESS_BITS, SPACELESS = 2, 5, 64
+WINDOW = 5
 SLICE = 2 << 20
 RANDOM = np.random.default_rng(20240229)
 GEAR = RANDOM.integers(0, 1 << 16, 256, np.uint64).astype(np.uint16)
@@ -38,45 +43,63 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _ends(x: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Places after which a chunk ends; ``last`` are the texts' last places."""
-    h = GEAR[x]
-    for step in (1, 2, 4, 8):  # after four doublings: the sixteen-bit register of a gear hash
-        h[step:] += h[:-step] << np.uint16(step)
-    space = (x == 32) | ((x >= 9) & (x <= 13))
-    following = np.append(x[1:], np.uint8(0))
-    after_space = np.append(space[1:], False)
-    cut = space & ~after_space & (h >> np.uint16(16 - CUT_BITS) == 0)
-    seen = np.concatenate([[0], np.cumsum(space)])
-    none_near = seen[1:] == seen[np.maximum(np.arange(len(x)) - SPACELESS + 1, 0)]
-    cut |= none_near & ~after_space & ((following & 0xC0) != 0x80) & (h >> np.uint16(16 - SPACELESS_BITS) == 0)
-    cut[last] = True
-    return np.flatnonzero(cut)
-
-
-def chunks(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Digests, starts within their text and word counts of all texts' chunks in order, and their number per text."""
+def least_of_windows(values: np.ndarray, group: np.ndarray, window: int) -> np.ndarray:
+    """Which values are the least of some ``window`` neighbours of their group; groups are ascending numbers from zero."""
+    if not len(values):
+        return np.zeros(0, bool)
+    pad = window - 1
+    at = np.arange(len(values)) + pad * (group + 1)
+    padded = np.full(at[-1] + window, np.iinfo(values.dtype).max, values.dtype)
+    padded[at] = values
+    n = len(padded) - pad
+    least = padded[:n].copy()
+    for i in range(1, window):
+        np.minimum(least, padded[i : i + n], out=least)
+    # the greatest of the minima of all windows that hold a value
+    most = least[at - pad]
+    for i in range(1, window):
+        np.maximum(most, least[np.minimum(at - pad + i, n - 1)], out=most)
+    return most == values
+
+
+def chunks(texts: list[bytes], min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Digests, starts and ends within their text of all texts' spans in order, and their number per text."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     x = np.frombuffer(b"".join(texts), np.uint8)
     if not len(x):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
-    full = sizes > 0
     offsets = np.cumsum(sizes) - sizes
-    ends = _ends(x, (offsets + sizes - 1)[full]) + 1
-    starts = np.concatenate([[0], ends[:-1]])
+    full = np.flatnonzero(sizes)
+    first = np.zeros(len(x) + 1, bool)
+    first[offsets[full]] = first[-1] = True
+    space = (x == 32) | ((x >= 9) & (x <= 13))
+    begins = np.flatnonzero(~space & (np.concatenate([[True], space[:-1]]) | first[:-1]))
+    stops = np.flatnonzero(~space & (np.append(space[1:], True) | first[1:])) + 1
     powers = np.cumprod(np.full(len(x), BASE))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(LETTER[x] * powers)])
     inverse = np.cumprod(np.full(len(x), BASE_INVERSE))
-    digests = mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
-    space = (x == 32) | ((x >= 9) & (x <= 13))
-    begins = ~space & np.concatenate([[True], space[:-1]])
-    begins[offsets[full]] = ~space[offsets[full]]
-    words = np.concatenate([[0], np.cumsum(begins)])
-    doc = np.searchsorted(offsets[full], starts, "right") - 1
-    place = starts - offsets[full][doc]
-    counts = np.zeros(len(texts), np.int64)
-    counts[full] = np.bincount(doc, minlength=int(full.sum()))
-    return digests, place, words[ends] - words[starts], counts
+
+    def digest(a, b):
+        return mix((sums[b] - sums[a]) * inverse[a] + (b - a).astype(np.uint64))
+
+    cut = first[1:].copy()
+    if len(begins):
+        doc = np.searchsorted(offsets[full], begins, "right") - 1
+        chosen = least_of_windows(digest(begins, stops), doc, WINDOW)
+        # a chunk takes along the white space behind it, up to the next word or the end of the text
+        ends = np.minimum(np.append(begins[1:], len(x)), (offsets + sizes)[full][doc])
+        cut[ends[chosen] - 1] = True
+    weight = np.zeros(len(x), np.int64)
+    weight[begins] = 1
+    upto = np.concatenate([[0], np.cumsum(weight)])
+    ends = np.flatnonzero(cut) + 1
+    starts = np.concatenate([[0], ends[:-1]])
+    doc = full[np.searchsorted(offsets[full], starts, "right") - 1]
+    last = np.searchsorted(upto[ends], upto[starts] + min_words)
+    stop = ends[np.minimum(last, len(ends) - 1)]
+    whole = (last < len(ends)) & (stop <= (offsets + sizes)[doc])
+    starts, stop, doc = starts[whole], stop[whole], doc[whole]
+    return digest(starts, stop), starts - offsets[doc], stop - offsets[doc], np.bincount(doc, minlength=len(texts))
 
 
 def texts_of(column: pa.Array) -> list[bytes]:
@@ -101,22 +124,23 @@ def packed_rows(rows, names=tuple(f.split()[0] for f in PACKED.split(", "))):
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], list(names))
 
 
-def kept_spans(repeated: np.ndarray, starts: np.ndarray, words: np.ndarray, size: int, min_words: int) -> list[tuple[int, int]]:
-    """Byte spans of one text that go: runs of repeated chunks with enough words."""
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], repeated.astype(np.int8), [0]])))
-    upto, bounds = np.concatenate([[0], np.cumsum(words)]), np.append(starts, size)
-    return [(int(bounds[a]), int(bounds[b])) for a, b in zip(edge[::2], edge[1::2]) if upto[b] - upto[a] >= min_words]
+def kept_spans(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
+    """Byte spans of one text that go: ascending repeated spans, joined where they meet."""
+    if not len(starts):
+        return []
+    apart = np.flatnonzero(starts[1:] > ends[:-1])
+    return list(zip(starts[np.append(0, apart + 1)].tolist(), ends[np.append(apart, len(ends) - 1)].tolist()))
 
 
-def find_repeats(docs: DataFrame) -> DataFrame:
-    """Per document with chunks that smaller ids hold: ``doc_id, tell, places, flags``."""
+def find_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """Per document with spans that smaller ids hold: ``doc_id, tell, places, flags``."""
     shards = shards_for(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
 
     def pack(batches):
         for batch in batches:
             for cut in tokens.slices(batch, "text", SLICE):
                 texts = texts_of(cut.column("text"))
-                digests, places, _, counts = chunks(texts)
+                digests, places, _, counts = chunks(texts, min_words)
                 rows = list(pack_slice(ids_of(cut.column("doc_id")), tells_of(texts), digests, places, counts, shards, True))
                 if rows:
                     yield packed_rows(rows)
@@ -137,7 +161,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     docs = docs.drop("n_bytes", "n_removed", "n_spans")
     rest = [c for c in docs.columns if c != "text"]
     base = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__tell", short_tell(F.coalesce("text", F.lit(""))))
-    told = find_repeats(docs).toDF("__id", "__tell", "__places", "__flags").drop("__flags")
+    told = find_repeats(docs, min_words).toDF("__id", "__tell", "__places", "__flags").drop("__flags")
     joined = attach(base, told, ["__id", "__tell"])
     kept = joined.select(*rest, "text", "__places")
     fields = [*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")]
@@ -149,7 +173,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             for cut in tokens.slices(batch, "text", SLICE):
                 column, told_places = cut.column("text"), cut.column("__places").to_pylist()
                 texts = texts_of(column)
-                _, places, words, counts = chunks(texts)
+                _, places, stops, counts = chunks(texts, min_words)
                 ends = np.cumsum(counts)
                 out, removed, n_spans = [], [], []
                 for i, text in enumerate(texts):
@@ -157,7 +181,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     if told_places[i]:
                         a, b = ends[i] - counts[i], ends[i]
                         hit = np.isin(places[a:b], np.frombuffer(told_places[i], np.uint32))
-                        spans = kept_spans(hit, places[a:b], words[a:b], len(text), min_words)
+                        spans = kept_spans(places[a:b][hit], stops[a:b][hit])
                     edges = [0, *(e for s in spans for e in s), len(text)]
                     left = b"".join(text[edges[k] : edges[k + 1]] for k in range(0, len(edges), 2))
                     out.append(left.decode() if column[i].is_valid else None)
