@@ -3,11 +3,14 @@
 Of every ``WINDOW`` neighbouring words the one of the least hash ends a chunk
 (of equal ones each), so what a chunk is depends on a few words around it, an
 insertion shifts chunks but does not change those behind it, and no chunk has
-more than ``WINDOW`` words. A span is as many neighbouring chunks as have
-``MIN_WORDS`` words. Spans are compared by digest, whatever
+more than ``WINDOW`` words. Words of over ``SPACELESS`` bytes are cut within in
+the same way, after the character of the least gear hash in ``BYTES`` bytes. A
+span is as many neighbouring chunks as have ``MIN_WORDS`` words, of a long word
+each ``WORD_BYTES`` bytes counting as one. Spans are compared by digest, whatever
 their place, and those that documents with smaller ids hold are removed.
 
-Every repeated passage of 50 words holds a whole span: its cuts agree from the fifth word to the fifth from its end, the
+Every repeated passage of 50 words, or of 300 bytes without white space, holds
+a whole span: its cuts agree from the fifth word to the fifth from its end, the
 first and last cut there are at least 33 words apart, and a span has 32 at most.
 Up to nine words stay before the first span and up to thirteen after the last.
 Repeats of less than ``MIN_WORDS`` words (a common line, a licence) stay.
@@ -27,7 +30,7 @@ from homeload.llm.shared_keys import NO_ID, PACKED, by_document, exchange, pack_
 
 #: A passage of fifty words loses a few words at either end before its first and after its last whole span.
 MIN_WORDS = 28
-WINDOW = 5
+WINDOW, SPACELESS, BYTES, WORD_BYTES = 5, 64, 24, 6
 SLICE = 2 << 20
 RANDOM = np.random.default_rng(20240229)
 GEAR = RANDOM.integers(0, 1 << 16, 256, np.uint64).astype(np.uint16)
@@ -62,6 +65,23 @@ def least_of_windows(values: np.ndarray, group: np.ndarray, window: int) -> np.n
     return most == values
 
 
+def _in_long_words(x: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places after which a chunk ends within words of ``sizes`` bytes at ``starts``."""
+    group = np.repeat(np.arange(len(sizes)), sizes)
+    within = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    places = starts[group] + within
+    h = GEAR[x[places]].astype(np.uint32)
+    for step in (1, 2, 4):  # eight bytes
+        shifted = np.zeros_like(h)
+        shifted[step:] = np.where(within[step:] >= step, h[:-step] << np.uint32(step), 0)
+        h += shifted
+    h *= np.uint32(0x9E3779B1)
+    h >>= np.uint32(1)
+    following = np.append(x[1:], np.uint8(0))[places]
+    h[(following & 0xC0) == 0x80] = np.iinfo(np.uint32).max
+    return places[least_of_windows(h, group, BYTES) & (h != np.iinfo(np.uint32).max)]
+
+
 def chunks(texts: list[bytes], min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Digests, starts and ends within their text of all texts' spans in order, and their number per text."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -82,6 +102,7 @@ def chunks(texts: list[bytes], min_words: int = MIN_WORDS) -> tuple[np.ndarray,
     def digest(a, b):
         return mix((sums[b] - sums[a]) * inverse[a] + (b - a).astype(np.uint64))
 
+    long = stops - begins > SPACELESS
     cut = first[1:].copy()
     if len(begins):
         doc = np.searchsorted(offsets[full], begins, "right") - 1
@@ -90,12 +111,18 @@ def chunks(texts: list[bytes], min_words: int = MIN_WORDS) -> tuple[np.ndarray,
         ends = np.minimum(np.append(begins[1:], len(x)), (offsets + sizes)[full][doc])
         cut[ends[chosen] - 1] = True
     weight = np.zeros(len(x), np.int64)
-    weight[begins] = 1
+    weight[begins[~long]] = WORD_BYTES
+    if long.any():
+        cut[_in_long_words(x, begins[long], (stops - begins)[long])] = True
+        inside = np.zeros(len(x) + 1, np.int8)
+        inside[begins[long]] += 1
+        inside[stops[long]] -= 1
+        weight += np.cumsum(inside[:-1])
     upto = np.concatenate([[0], np.cumsum(weight)])
     ends = np.flatnonzero(cut) + 1
     starts = np.concatenate([[0], ends[:-1]])
     doc = full[np.searchsorted(offsets[full], starts, "right") - 1]
-    last = np.searchsorted(upto[ends], upto[starts] + min_words)
+    last = np.searchsorted(upto[ends], upto[starts] + min_words * WORD_BYTES)
     stop = ends[np.minimum(last, len(ends) - 1)]
     whole = (last < len(ends)) & (stop <= (offsets + sizes)[doc])
     starts, stop, doc = starts[whole], stop[whole], doc[whole]
