@@ -27,14 +27,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component of documents alike in at least 0.8 of their five-word shingles.
 
-    Where several texts of a component share that id one of them stays; rows
-    equal in id and text are one document and stay together.
+    Where several texts of a component share that id one of them stays, and of
+    rows equal in id and text one.
     """
     found = near.near_duplicates(docs).groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tell")).alias("first"))
     # an id and text has one root, so no two components name the same row
     keep = found.select(F.col("first.doc_id").alias("__id"), F.col("first.tell").alias("__tell"))
     tell = text_key(F.coalesce(docs["text"], F.lit("")))
-    return docs.join(keep, docs["doc_id"].cast("long").eqNullSafe(keep["__id"]) & (tell == keep["__tell"]), "left_semi")
+    kept = docs.join(keep, docs["doc_id"].cast("long").eqNullSafe(keep["__id"]) & (tell == keep["__tell"]), "left_semi")
+    return kept.withColumn("__tell", text_key(F.coalesce("text", F.lit("")))).dropDuplicates(["doc_id", "__tell"]).drop("__tell")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
