@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,3 +34,27 @@ def attach(rows: DataFrame, extra: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join on null-safe ``keys``; ``extra`` has one row per key."""
     on = [rows[k].eqNullSafe(extra[k]) for k in keys]
     return rows.join(extra, on, "left").drop(*[extra[k] for k in keys])
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
+    """Rows that follow each other with equal ``keys``, as one table each; of sorted rows one run is held at a time."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        edges = {0, batch.num_rows}
+        for key in keys:
+            column = batch.column(key)
+            same = pc.equal(pc.fill_null(column.slice(1), 0), pc.fill_null(column.slice(0, len(column) - 1), 0))
+            same = pc.and_(same, pc.equal(column.slice(1).is_null(), column.slice(0, len(column) - 1).is_null()))
+            edges.update((np.flatnonzero(~same.to_numpy(zero_copy_only=False)) + 1).tolist())
+        edges = sorted(edges)
+        for a, b in zip(edges, edges[1:]):
+            own = tuple(batch.column(k)[a].as_py() for k in keys)
+            if held and own != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = own
+    if held:
+        yield pa.Table.from_batches(held)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from homeload.llm import chat, decontaminate, exact_substrings, packing, quality, simhash, substrings, token_files, url_filter, warc
+from homeload.llm import more_queries  # noqa: F401
 from homeload.llm.registry import ORACLES, QUERIES, query
 from homeload.llm.stages import SEQUENCE, TOKENIZER
 from homeload.queries.tables import table
