@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from homeload import schemas
 from homeload.functions.arrays import let
 
 
@@ -118,10 +119,7 @@ def is_json(body: Column) -> Column:
     NaN are allowed, single quotes and raw control characters are not.
     """
     # Reader options for strict JSON without a length limit.
-    strict = {
-        "allowSingleQuotes": "false", "allowUnquotedControlChars": "false", "maxStringLen": str(2**31 - 1),
-        "columnNameOfCorruptRecord": "_broken",
-    }
+    strict = schemas.ANY_LENGTH | {"allowSingleQuotes": "false", "allowUnquotedControlChars": "false", "columnNameOfCorruptRecord": "_broken"}
     as_element = F.from_json(F.concat(F.lit("["), body, F.lit("]")), "array<string>", strict)
     as_value = F.from_json(F.concat(F.lit('{"v":'), body, F.lit("}")), "_broken string", strict)
     return F.coalesce((F.array_size(as_element) == 1) & as_value["_broken"].isNull(), F.lit(False))

@@ -79,8 +79,8 @@ def sequence_items(text_column: Column, item_schema: str) -> Column:
     """Items of a document that is an array, ``{"sequence": [...]}`` or one object."""
     body = F.trim(text_column)
     items = schemas.array_of(item_schema)
-    wrapped = F.from_json(body, f"sequence {items}")["sequence"]
-    plain = F.from_json(body, items)
+    wrapped = F.from_json(body, f"sequence {items}", schemas.ANY_LENGTH)["sequence"]
+    plain = F.from_json(body, items, schemas.ANY_LENGTH)
     return F.when(F.startswith(body, F.lit("[")), plain).otherwise(F.coalesce(wrapped, plain))
 
 
@@ -171,7 +171,7 @@ def _object_or_null(answer: Column, schema: str) -> Column:
 
     def parsed(body: Column) -> Column:
         readable = F.startswith(body, F.lit("{")) & text.is_json(body)
-        return F.when(readable, F.from_json(body, schema))
+        return F.when(readable, F.from_json(body, schema, schemas.ANY_LENGTH))
 
     return let(text.extract_json(answer), parsed)
 

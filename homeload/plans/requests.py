@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from homeload import schemas
 from homeload.functions import text
 from homeload.operators import nested
 
@@ -57,7 +58,7 @@ def parse_answers(
     answers: DataFrame, column: str, schema: str, custom_parser: Callable[[Column], Column] | None = None
 ) -> DataFrame:
     """Add ``json`` and ``parsed``; ``parsed`` is null where the answer is no valid JSON."""
-    body, parse = F.col("json"), custom_parser or (lambda c: F.from_json(c, schema))
+    body, parse = F.col("json"), custom_parser or (lambda c: F.from_json(c, schema, schemas.ANY_LENGTH))
     extracted = answers.withColumn("json", text.extract_json(F.col(column)))
     return extracted.withColumn("parsed", F.when(text.is_json(body), parse(body)))
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from homeload import dims
+from homeload.operators import ordered
 from homeload.plans import merge
 from homeload.plans import requests as request_plan
 from homeload.plans import tasks as task_plan
@@ -14,7 +15,7 @@ from homeload.queries.registry import query
 from homeload.queries.tables import HOURLY_SQL, choose, hourly_weather, sql_choose, table
 from homeload.queries.usage import _LOG_MODELS, _MEMBERS_SQL, MODELS
 from homeload.session import shared_folder
-from homeload.sources import call_logs, documents, sinks, weather
+from homeload.sources import call_logs, documents, item_store, sinks, split_logs, weather
 
 CHUNK = 256
 RESPONSE = "line\nbreak ]"
@@ -92,6 +93,27 @@ def call_log_files(spark, sf_dir):
     return call_logs.read_call_logs(spark, folder).select("id", "model", F.col("tokens.input").alias("tokens_in"))
 
 
+SPLITS = (4096, 30_000, 1 << 27)
+
+
+@query(f"""
+SELECT s AS split_bytes, CAST(event_id AS VARCHAR) AS id, {sql_choose('event_id', _LOG_MODELS)} AS model, response, event_id % 100 AS tokens_in
+FROM ({_READABLE}), (SELECT unnest({list(SPLITS)}) AS s), (SELECT 'line' || chr(10) || 'break ]' AS response)""")
+def call_log_split(spark, sf_dir):
+    """Logs read in splits of three sizes; every size gives the rows of the whole logs."""
+    folder, conf, out = shared_folder(spark, "call-logs"), "spark.sql.files.maxPartitionBytes", []
+    _call_logs(spark, sf_dir, folder)
+    before = spark.conf.get(conf)
+    for size in SPLITS:
+        spark.conf.set(conf, size)
+        try:
+            calls = split_logs.read_split_logs(spark, folder)
+        finally:
+            spark.conf.set(conf, before)
+        out.append(calls.select(F.lit(size).alias("split_bytes"), "id", "model", "response", F.col("tokens.input").alias("tokens_in")))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 def _text_log(spark, sf_dir, path: str) -> None:
     """Turns as lines of text logs, one log per block of conversations."""
     c = table(spark, sf_dir, "conversations").where("role IN ('user', 'assistant')")
@@ -167,8 +189,21 @@ def item_sink(spark, sf_dir):
     out = shared_folder(spark, "items")
     items = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     for _ in range(2):
-        sinks.write_items(items, out, ["o_orderstatus"])
-    return spark.read.schema(items.schema).parquet(out)
+        item_store.write_items(items, out, ["o_orderkey"], batch=0)
+    return item_store.read_items(spark, out, items.schema)
+
+
+@query("""
+SELECT o_custkey, o_orderstatus, arg_max(o_orderkey, (o_orderkey % 3, o_orderkey)) AS o_orderkey, arg_max(o_totalprice, (o_orderkey % 3, o_orderkey)) AS o_totalprice
+FROM orders GROUP BY 1, 2""")
+def item_upsert(spark, sf_dir):
+    """Three overlapping batches of items, the second one run again at the end: the newest per key, nothing else lost."""
+    out = shared_folder(spark, "item-upserts")
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderkey", "o_totalprice")
+    for batch in (0, 1, 2, 1):
+        items = ordered.latest(orders.where(F.col("o_orderkey") % 3 == batch), ["o_custkey", "o_orderstatus"], ["o_orderkey"])
+        item_store.write_items(items, out, ["o_custkey", "o_orderstatus"], batch, buckets=16)
+    return item_store.read_items(spark, out, orders.schema)
 
 
 @query("SELECT o_orderkey, o_orderstatus, 'families.json' AS stage1_source_file, CAST(NULL AS VARCHAR) AS stage2_source_file FROM orders")

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+#: Fixed value: reader option for strings of any length; the parser's own limit is 20 million characters.
+ANY_LENGTH = {"maxStringLen": str(2**31 - 1)}
+
 ACTIVITY = "STRUCT<hour: INT, action: STRING, consumption_kwh: DOUBLE>"
 SIGNAL = "STRUCT<min: DOUBLE, max: DOUBLE, hourly_profile: ARRAY<DOUBLE>>"
 SIGNALS = ("temperature", "humidity", "solar_radiation_diffuse", "solar_radiation_direct")

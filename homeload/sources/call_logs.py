@@ -29,7 +29,7 @@ def repaired(content: Column) -> Column:
 def parsed_calls(content: Column) -> Column:
     """Array of calls in one log text, null when it cannot be read even after repair."""
     calls = schemas.array_of(schemas.API_CALL)
-    return let(repaired(content), lambda body: F.when(text.is_json(body), F.from_json(body, calls)))
+    return let(repaired(content), lambda body: F.when(text.is_json(body), F.from_json(body, calls, schemas.ANY_LENGTH)))
 
 
 def read_call_logs(spark: SparkSession, paths: Paths) -> DataFrame:

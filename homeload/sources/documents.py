@@ -40,7 +40,7 @@ def read_documents(
     if not paths:
         return spark.createDataFrame([], schema)
     paths = paths if isinstance(paths, str) else list(paths)
-    reader = spark.read.schema(f"{schema}, _corrupt_record STRING").option("multiLine", True)
+    reader = spark.read.schema(f"{schema}, _corrupt_record STRING").options(multiLine=True, **schemas.ANY_LENGTH)
     reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
     whole = spark.read
     if pattern:

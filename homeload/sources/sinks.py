@@ -11,15 +11,6 @@ from homeload.functions import keys as key
 from homeload.operators import ordered
 
 
-def write_items(df: DataFrame, path: str, keys: Sequence[str], fmt: str = "parquet") -> None:
-    """Finished items, found again by their key columns.
-
-    Writing items again replaces those of the same keys and leaves the others,
-    so a retry doubles nothing. One folder per key value: name few, bounded keys.
-    """
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).format(fmt).save(path)
-
-
 def write_combined(df: DataFrame, path: str, fmt: str = "json") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 

@@ -10,7 +10,7 @@ from homeload.plans import loads as load_plan
 from homeload.plans import usage as usage_plan
 from homeload.plans import weather as plan
 from homeload.session import shared_folder
-from homeload.sources import documents, settings, sinks, weather
+from homeload.sources import documents, item_store, settings, sinks, weather
 from homeload.streaming import ingest
 from test_usage import FLAT
 
@@ -118,8 +118,8 @@ def test_items_checkpoints_and_lineage(spark):
     sinks.append_checkpoint(df, state)
     sinks.append_checkpoint(df.where("family_id = 'f1'").replace({"old": "new", "2024-01-01": "2024-01-02"}), state)
     assert {r.family_id: r.output for r in sinks.latest_checkpoints(spark, state).collect()} == {"f1": "new", "f2": "only"}
-    sinks.write_items(df, items, ["country", "season"])
-    assert spark.read.parquet(items).where("season = 'Winter'").count() == 2
+    item_store.write_items(df, items, ["country", "season"], 0)
+    assert item_store.read_items(spark, items, df.schema).where("season = 'Winter'").count() == 2
     combined = shared_folder(spark, "combined")
     sinks.write_combined(df, combined)
     assert spark.read.json(combined).count() == 2
@@ -169,3 +169,51 @@ def test_ingest_replays_a_batch_without_duplicates(spark, tmp_path):
     assert sorted(r.household_id for r in spark.read.parquet(good).collect()) == ["bad", "good"]
     assert [(r.household_id, r.broken_rules) for r in spark.read.parquet(bad).collect()] == [("bad", ["VAL4"])]
     assert seen == [(0, 2)]
+
+
+def stored(spark, path, schema):
+    return sorted((r.k if r.k is not None else -1, r.v) for r in item_store.read_items(spark, path, schema).collect())
+
+
+def test_items_of_other_keys_stay(spark):
+    out, schema = shared_folder(spark, "upsert"), "k INT, v STRING"
+    assert stored(spark, out, schema) == []
+
+    def write(batch, *rows):
+        item_store.write_items(spark.createDataFrame(rows, schema) if rows else spark.createDataFrame([], schema), out, ["k"], batch, buckets=2)
+
+    write(0, (1, "a"), (2, "a"), (3, "a"), (None, "a"))
+    write(1, (4, "b"))
+    assert stored(spark, out, schema) == [(-1, "a"), (1, "a"), (2, "a"), (3, "a"), (4, "b")]
+    write(2, (2, "c"), (2, "c2"), (None, "c"), (5, "c"))  # an item may be two rows
+    write(3)
+    want = [(-1, "c"), (1, "a"), (2, "c"), (2, "c2"), (3, "a"), (4, "b"), (5, "c")]
+    assert stored(spark, out, schema) == want
+    for batch, rows in ((1, [(4, "b")]), (2, [(2, "c"), (2, "c2"), (None, "c"), (5, "c")])):
+        write(batch, *rows)  # run again
+        assert stored(spark, out, schema) == want
+    with pytest.raises(ValueError):
+        item_store.write_items(spark.createDataFrame([(1, "a")], schema), out, ["k"], 4, buckets=3)
+    with pytest.raises(ValueError):
+        item_store.write_items(spark.createDataFrame([(1, 1)], "k INT, bucket INT"), out, ["k"], 4)
+
+
+def test_an_uncommitted_write_is_not_seen(spark, monkeypatch):
+    out, schema = shared_folder(spark, "upsert"), "k INT, v STRING"
+    item_store.write_items(spark.createDataFrame([(1, "a"), (2, "a")], schema), out, ["k"], 0)
+    # the data of a batch that was lost before its commit
+    broken = spark.createDataFrame([(1, "x", 0), (9, "x", 1)], "k INT, v STRING, bucket INT")
+    broken.write.partitionBy("bucket").parquet(f"{out}/data/batch=1")
+    assert stored(spark, out, schema) == [(1, "a"), (2, "a")]
+    item_store.write_items(spark.createDataFrame([(1, "b")], schema), out, ["k"], 1)
+    assert stored(spark, out, schema) == [(1, "b"), (2, "a")]
+
+
+def test_only_touched_buckets_are_written(spark):
+    out, schema = shared_folder(spark, "upsert"), "k INT, v STRING"
+    item_store.write_items(spark.createDataFrame([(k, "a") for k in range(200)], schema), out, ["k"], 0, buckets=16)
+    item_store.write_items(spark.createDataFrame([(7, "b")], schema), out, ["k"], 1)
+    held = item_store.versions(spark, out)
+    assert len(held) == 16 and sorted(held.values()) == [0] * 15 + [1]
+    near = item_store.matching_items(spark.createDataFrame([(7,)], "k INT"), out, ["k"], item_store.read_items(spark, out, schema).schema)
+    assert 0 < near.count() < 60 and near.where("k = 7").first().v == "b"
