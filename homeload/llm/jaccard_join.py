@@ -30,12 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from homeload.llm import signature_tree, tokens
-from homeload.llm.common import attach, keyed_text, runs, text_key, written
+from homeload.llm.common import keyed_text, runs, text_key, written
 from homeload.llm.components import components
 from homeload.llm.substrings import mix
 
 WORDS, PERCENT = 5, 80
 BLOCK_BYTES = 4 << 20
+#: So many rows of four numbers may be broadcast, 32 MB; more are joined by a shuffle.
+BROADCAST_ROWS = 1 << 20
 #: Sets whose sizes differ by a factor of 1.25 at most are in the same or neighbouring bands.
 BAND = 1.26
 #: Fingerprints in the filing keep so many bits; a chance meeting only makes a group larger.
@@ -116,9 +118,13 @@ def groups(marks: DataFrame) -> DataFrame:
 
 def _members(docs: DataFrame, marks: DataFrame, grouped: DataFrame, words: int) -> DataFrame:
     """``group, node, n, own binary``: the whole set of every grouped node, from one of its texts."""
-    first = marks.join(grouped, "node").groupBy("node", "group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tell")).alias("k"))
+    key = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tell")).alias("k")
+    first = marks.join(grouped, "node").groupBy("node", "group").agg(key)
+    first = written(first.select("group", "node", F.col("k.doc_id").alias("id"), F.col("k.tell").alias("mark")), "shingle-firsts")
+    if first.count() <= BROADCAST_ROWS:
+        first = F.broadcast(first)
     texts = keyed_text(docs).withColumn("tell", text_key())
-    rows = attach(first.select("group", "node", "k.doc_id", "k.tell"), texts, ["doc_id", "tell"])
+    rows = texts.join(first, texts["doc_id"].eqNullSafe(first["id"]) & (texts["tell"] == first["mark"]))
 
     def listed(batches):
         for batch in batches:
@@ -129,8 +135,9 @@ def _members(docs: DataFrame, marks: DataFrame, grouped: DataFrame, words: int)
                     ["group", "node", "n", "own"],
                 )
 
-    # rows equal in id and text come once each: the same node with the same set, harmless twice
-    return written(rows.select("group", "node", "text").mapInArrow(listed, "group long, node long, n long, own binary"), "shingle-sets")
+    sets = rows.select("group", "node", "text").mapInArrow(listed, "group long, node long, n long, own binary")
+    # rows equal in id and text are one member
+    return written(sets.dropDuplicates(["group", "node"]), "shingle-sets")
 
 
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
