@@ -90,7 +90,7 @@ def links(fps: DataFrame, long_list: int = LONG_LIST) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, tell, fp, component_id`` for every row of ``docs``.
+    """``doc_id, tell, fp, component_id, root`` for every row of ``docs``; ``root`` is the component's smallest fingerprint.
 
     ``component_id`` is the smallest ``doc_id`` reachable over links, the
     document's own included; null ids count only where a component has no other.
@@ -103,8 +103,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # keyed by fingerprint: one row each
     classes = distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     firsts = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    members = classes.join(firsts, "root").select("fp", "component_id")
-    return marks.join(members, "fp").select("doc_id", "tell", "fp", "component_id")
+    members = classes.join(firsts, "root").select("fp", "component_id", "root")
+    return marks.join(members, "fp").select("doc_id", "tell", "fp", "component_id", "root")
 
 
 def hex_digits(fp: str) -> Column:
