@@ -117,9 +117,8 @@ def _url_sql() -> str:
     ), least AS (
       SELECT greatest({url_filter.MIN_COUNT}, ceil({url_filter.MIN_SHARE} * count(*))) AS n FROM b
     ), s AS (
-      SELECT [t.x] AS tokens, bad FROM b, unnest(b.tokens) AS t(x)
-      UNION ALL
-      SELECT [t.x, u.x], bad FROM b, unnest(b.tokens) AS t(x), unnest(b.tokens) AS u(x) WHERE t.x < u.x
+      SELECT list_filter(list_sort(b.tokens), lambda t, i: (r.m >> (i - 1)) % 2 = 1) AS tokens, bad
+      FROM b, unnest(range(1, CAST(pow(2, len(b.tokens)) AS BIGINT))) AS r(m)
     ), r AS (
       SELECT tokens FROM s GROUP BY tokens
       HAVING count_if(bad) >= (SELECT n FROM least) AND count_if(bad) >= {url_filter.MIN_CONFIDENCE} * count(*)

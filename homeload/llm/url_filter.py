@@ -60,27 +60,38 @@ def mine_rules(
     """``tokens array<string>, n long, n_bad long`` of the kept rules from ``url, bad`` rows.
 
     A rule needs ``max(min_count, min_share of all labelled)`` bad pages and a bad
-    share of ``min_confidence`` or more, whatever its number of tokens. Longer
-    rules with a token that is a rule by itself are left out, as they add no
-    URL. No labelled page gives no rule.
+    share of ``min_confidence`` or more, whatever its number of tokens. Rules
+    that add no URL are not mined: a longer rule with a token that is a rule by
+    itself, or with a token that all labelled pages hold and that changes no
+    count. No labelled page gives no rule.
     """
-    baskets = labelled.select(F.when(F.col("bad"), F.array_append(tokens(F.col("url")), F.lit(BAD))).otherwise(tokens(F.col("url"))).alias("items"))
-    n = baskets.count()
+    pages = written(labelled.select(tokens(F.col("url")).alias("held"), "bad"), "url-baskets")
+    n = pages.count()
     if n == 0:
         return labelled.sparkSession.createDataFrame([], "tokens array<string>, n long, n_bad long")
     least = max(min_count, math.ceil(min_share * n))
+    each = pages.select(F.explode("held").alias("token"), "bad").groupBy("token").agg(F.count("*").alias("n"), F.count_if("bad").alias("n_bad"))
+    alone = written(each.where((F.col("n_bad") >= least) & (F.col("n_bad") >= F.col("n") * min_confidence)), "url-token-rules")
+    singles = alone.select(F.array("token").alias("tokens"), "n", "n_bad")
+    # a token whose own bad pages are too few is in no rule either
+    useful = each.where((F.col("n_bad") >= least) & (F.col("n") < n)).join(alone, "token", "left_anti").select("token")
+    posted = pages.select(F.monotonically_increasing_id().alias("page"), "held", "bad")
+    posted = written(posted.select("page", "bad", F.explode("held").alias("token")), "url-tokens")
+    baskets = posted.join(useful, "token").groupBy("page", "bad").agg(F.collect_list("token").alias("held"))
+    baskets = baskets.select(F.when(F.col("bad"), F.array_append("held", F.lit(BAD))).otherwise(F.col("held")).alias("items"))
+    baskets = written(baskets, "url-useful-baskets")
+    size = baskets.count()
+    if size == 0:
+        return singles
     # the half keeps the product of share and count from rounding up to one more
-    found = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / n), minConfidence=min_confidence).fit(baskets).freqItemsets
+    found = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / size), minConfidence=min_confidence).fit(baskets).freqItemsets
     sets = found.select(F.sort_array(F.array_remove("items", BAD)).alias("tokens"), F.array_contains("items", BAD).alias("bad"), "freq")
     sets = sets.where(F.size("tokens") > 0)
     both = sets.groupBy("tokens").agg(
         F.max(F.when(~F.col("bad"), F.col("freq"))).alias("n"), F.max(F.when(F.col("bad"), F.col("freq"))).alias("n_bad")
     )
-    kept = written(both.where(F.col("n_bad") >= F.col("n") * min_confidence), "url-rules")
-    alone = kept.where(F.size("tokens") == 1).select(F.col("tokens")[0].alias("token"))
-    longer = kept.where(F.size("tokens") > 1)
-    covered = longer.select("tokens", F.explode("tokens").alias("token")).join(alone, "token", "left_semi").select("tokens").distinct()
-    return kept.where(F.size("tokens") == 1).unionByName(longer.join(covered, "tokens", "left_anti"))
+    longer = both.where((F.size("tokens") > 1) & (F.col("n_bad") >= F.col("n") * min_confidence))
+    return singles.unionByName(longer)
 
 
 def matching_urls(urls: DataFrame, rules: DataFrame) -> DataFrame:
