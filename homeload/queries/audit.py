@@ -435,6 +435,12 @@ def single_attempts(spark, sf_dir):
     )
 
 
+def timed_attempts(spark, sf_dir):
+    """``single_attempts`` with ``at``, the newest ship date among the lines that make up an attempt."""
+    days = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("task"), F.col("l_linenumber").alias("attempt"))
+    return single_attempts(spark, sf_dir).join(days.agg(F.max("l_shipdate").cast("timestamp").alias("at")), ["task", "attempt"])
+
+
 # A line number may occur more than once per order; the lowest part is the attempt.
 ATTEMPTS_SQL = f"""
 one AS (SELECT l_orderkey AS task, l_linenumber AS attempt, min(l_partkey) AS p FROM lineitem GROUP BY 1, 2),

@@ -8,13 +8,14 @@ from homeload.functions.calendar import utc_instant, utc_wall_time
 from homeload.plans import audit as plan
 from homeload.plans import weather as weather_plan
 from homeload.queries import usage as u
-from homeload.queries.audit import FAMILY_SQL, family_docs
+from homeload.queries.audit import ATTEMPTS_SQL, FAMILY_SQL, family_docs, timed_attempts
 from homeload.queries.registry import query
 from homeload.queries.tables import choose, hourly_weather, table
 from homeload.queries.weather import SEASONAL_SQL, D
 from homeload.session import shared_folder
 from homeload.sources import sinks
-from homeload.streaming import ingest
+from homeload.streaming import attempts as live_attempts
+from homeload.streaming import ingest, pairing
 from homeload.streaming import usage as live
 
 
@@ -83,12 +84,22 @@ def stream_usage_sessions(spark, sf_dir):
 WITH {FAMILY_SQL.replace("""
     CASE WHEN count(*) OVER (PARTITION BY country, family_type) > 1 THEN 'VAL10|HIGH|cultural' END]""", """
     NULL]""")},
-bad AS (SELECT c_custkey, string_agg(DISTINCT rule_id, ',' ORDER BY rule_id) AS broken_rules FROM findings WHERE severity = 'HIGH' GROUP BY c_custkey)
-SELECT c.c_custkey, broken_rules IS NULL AS accepted, coalesce(broken_rules, '') AS broken_rules FROM customer c LEFT JOIN bad USING (c_custkey)""")
+bad AS (SELECT c_custkey, string_agg(DISTINCT rule_id, ',' ORDER BY rule_id) AS broken_rules FROM findings WHERE severity = 'HIGH' GROUP BY c_custkey),
+late AS (SELECT k AS c_custkey, row_number() OVER (PARTITION BY country, family_type ORDER BY k) > 1 AS taken FROM f WHERE k NOT IN (SELECT c_custkey FROM bad)),
+j AS (SELECT c_custkey, coalesce(broken_rules, CASE WHEN taken THEN 'VAL10' ELSE '' END) AS broken_rules
+      FROM customer LEFT JOIN bad USING (c_custkey) LEFT JOIN late USING (c_custkey))
+SELECT c_custkey, broken_rules = '' AS accepted, broken_rules FROM j""")
 def stream_validated_ingest(spark, sf_dir):
-    good, bad, state = (shared_folder(spark, f"ingest-{n}") for n in ("accepted", "quarantine", "state"))
-    docs = family_docs(_stream(spark, sf_dir, "customer"))
-    ingest.validated_ingest(docs, plan.marked_families, good, bad, state)
+    """Documents arrive twice, the lower keys first; of equal family types in a country the first good one is accepted."""
+    good, bad, state, claims, arrived = (shared_folder(spark, f"ingest-{n}") for n in ("accepted", "quarantine", "state", "claims", "arrivals"))
+    unique = ingest.Unique(["country", "family_type"], ["c_custkey"], claims)
+    customers = table(spark, sf_dir, "customer")
+    middle = customers.agg(F.avg("c_custkey")).first()[0]
+    for turn in range(2):
+        half = customers.where((F.col("c_custkey") <= middle) == F.lit(turn == 0))
+        half.write.mode("append").parquet(arrived)
+        docs = family_docs(spark.readStream.schema(customers.schema).parquet(arrived))
+        ingest.validated_ingest(docs, plan.marked_families, good, bad, state, unique=unique)
     accepted = spark.read.parquet(good).select("c_custkey", F.lit(True).alias("accepted"), F.lit("").alias("broken_rules"))
     refused = spark.read.parquet(bad).select(
         "c_custkey", F.lit(False).alias("accepted"), F.array_join("broken_rules", ",").alias("broken_rules")
@@ -96,6 +107,72 @@ def stream_validated_ingest(spark, sf_dir):
     return accepted.unionByName(refused)
 
 
+def _in_turns(spark, df, turn, turns, keys, folder):
+    """Write ``df`` as files, those of earlier ``turn`` values first; rows of equal ``keys`` in a turn share a file."""
+    for n in range(turns):
+        df.where(turn == n).repartition(_FILES, *keys).write.mode("append").parquet(folder)
+
+
+_FILES, _TURNS = 4, (1, 3, 10)
+
+
+@query(f"""
+WITH {u._EVENTS_SQL} SELECT turns, conv_id, turn, model, chars FROM done, (SELECT unnest({list(_TURNS)}) AS turns)""")
+def stream_log_pairing(spark, sf_dir):
+    """Log events in one, three and ten turns; each pairs them as the whole logs do."""
+    events, found = u._log_events(spark, sf_dir), None
+    for turns in _TURNS:
+        source, out, state, checkpoint = (shared_folder(spark, f"pairing-{n}") for n in ("events", "calls", "last", "state"))
+        _in_turns(spark, events, F.expr(f"turn * {turns} div 8"), turns, ["conv_id"], source)
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", _FILES).parquet(source)
+        pairing.paired_calls(stream, out, state, checkpoint, ["conv_id"], ["turn"], ["block"], u.MODELS)
+        own = spark.read.parquet(out).select(F.lit(turns).alias("turns"), "conv_id", "turn", "model", "chars")
+        found = own if found is None else found.unionByName(own)
+    return found
+
+
+#: Days an attempt may come late, and days (and half a day) without an attempt after which an open task has stalled.
+_LATE, _STALL = 60, 120.5
+
+
+@query(f"""
+WITH {ATTEMPTS_SQL},
+day AS (SELECT l_orderkey AS task, max(l_shipdate) AS newest FROM lineitem WHERE l_linenumber <= 3 GROUP BY 1),
+seen AS (SELECT max(l_shipdate) AS last_day FROM lineitem)
+SELECT outc.*, status = 'open' AND epoch(last_day) - {_LATE} * 86400 > epoch(newest) + {int(_STALL * 86400)} AS stalled FROM outc JOIN day USING (task), seen""")
+def stream_attempt_replay(spark, sf_dir):
+    """Attempts arrive by year, out of order within and across years by up to two months; open tasks stall after four."""
+    attempts, turns = timed_attempts(spark, sf_dir), 8
+    source, out, checkpoint = (shared_folder(spark, f"attempts-{n}") for n in ("events", "outcomes", "state"))
+    arrival = F.year(F.date_add(F.col("at").cast("date"), (F.pmod(F.xxhash64("task", "attempt"), F.lit(_LATE - 1))).cast("int"))) - 1992
+    _in_turns(spark, attempts, F.greatest(F.lit(0), F.least(F.lit(turns - 1), arrival)), turns, ["task"], source)
+    stream = spark.readStream.schema(attempts.schema).option("maxFilesPerTrigger", _FILES).parquet(source)
+    found = live_attempts.outcomes(stream, ["task"], "at", f"{_LATE} days", int(_STALL * 86_400_000))
+    live.run_available(found, out, checkpoint, "update")
+    return live_attempts.newest_outcomes(spark, out, found.schema, ["task"])
+
+
+@query(f"""
+WITH {u.CALLS_SQL}
+SELECT ts::DATE AS day, coalesce(role, 'unknown') AS role, count(*) AS calls, sum(coalesce(tokens_in, 0))::BIGINT AS tokens_in FROM calls GROUP BY 1, 2""")
+def stream_late_copies(spark, sf_dir):
+    """Every call arrives, every second one again up to 60 days late; each counts once."""
+    calls = u.calls(spark, sf_dir)
+    late = calls.where(F.col("id") % 2 == 0).withColumn("after", F.col("id") % 61)
+    both = calls.withColumn("after", F.lit(0).cast("bigint")).unionByName(late)
+    arrival = F.date_add(F.col("ts").cast("date"), F.col("after").cast("int"))
+    source, out, index, checkpoint = (shared_folder(spark, f"copies-{n}") for n in ("events", "calls", "seen", "state"))
+    first = calls.agg(F.min("ts").cast("date").alias("d")).first().d
+    turn = F.least(F.lit(3), F.floor(F.datediff(arrival, F.lit(first)) / 30)).cast("int")
+    _in_turns(spark, both.withColumn("turn", turn), F.col("turn"), 4, ["id"], source)
+    stream = spark.readStream.schema(calls.schema).option("maxFilesPerTrigger", _FILES).parquet(source)
+    live.exactly_once(stream, out, index, checkpoint, "id", F.to_date("ts"))
+    rows = spark.read.schema(calls.schema).parquet(out)
+    return rows.groupBy(F.to_date("ts").alias("day"), F.coalesce("role", F.lit("unknown")).alias("role")).agg(
+        F.count("*").alias("calls"), F.coalesce(F.sum("tokens_in"), F.lit(0)).alias("tokens_in")
+    )
+
+
 @query(f"""
 SELECT replace("Country", ' ', '-') AS "Country", * EXCLUDE ("Country") FROM ({SEASONAL_SQL})""")
 def sinks_roundtrip(spark, sf_dir):

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from homeload.operators import usage
+from homeload.sources import seen_index
 
 
 def usage_windows(
@@ -64,6 +65,23 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "ap
     return query
 
 
+def exactly_once(calls: DataFrame, path: str, index: str, checkpoint: str, id_col: str, day: Column):
+    """Take each call in once, however late its copies come; ``path`` gets a folder per batch.
+
+    Windowed deduplication forgets an id after its delay. Here every id is kept
+    as two digests in a ``seen_index``, filed by ``day``, which all copies of a
+    call share, and a batch asks only for its own days. A batch run again
+    replaces its folder and its part of the index.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        seen_index.first_time(batch, index, number, id_col, day).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    query = calls.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
 def delivered(spark: SparkSession, path: str, schema: T.StructType, mode: str) -> DataFrame:
     """The newest state of every window that ``run_available`` wrote in mode ``update`` or ``complete``."""
     rows = spark.read.schema(T.StructType([*schema, T.StructField("batch", T.LongType())])).parquet(path)
