@@ -98,8 +98,9 @@ class ItemTile:
         known = np.flatnonzero(np.append(self.terms, -1)[at] == term)
         at, doc, impact = at[known], doc[known], impact[known]
         for start, by_digit in self.parts:
-            own = (at >= start) & (at < start + TERM_TILE)
-            tile = np.zeros((by_digit[0].shape[1], docs))
+            width = by_digit[0].shape[1]
+            own = (at >= start) & (at < start + width)
+            tile = np.zeros((width, docs))
             tile[at[own] - start, doc[own]] = impact[own]
             for place, weights in enumerate(by_digit):
                 total += (weights @ tile).astype(np.int64) << (DIGIT_BITS * place)

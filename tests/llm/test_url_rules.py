@@ -1,5 +1,6 @@
 """Mined URL rules against a brute-force search over all token combinations."""
 
+import time
 from itertools import combinations, product
 
 from homeload.llm import url_filter
@@ -20,6 +21,19 @@ def split(url):
     return {t for t in url.lower().replace(":", "/").replace(".", "/").split("/") if t}
 
 
+def test_common_tokens_cost_nothing(spark):
+    """Thirty tokens in every URL: no rule needs them, and their combinations are not mined."""
+    shared = "/".join(f"c{i}" for i in range(30))
+    labelled = [(f"http://{'bad' if i % 3 == 0 else 'good'}{i % 2}.net/{shared}/p{i}", i % 3 == 0) for i in range(300)]
+    made = spark.createDataFrame(labelled, "url string, bad boolean")
+    start = time.time()
+    rules = {tuple(r.tokens) for r in url_filter.mine_rules(made).collect()}
+    assert rules == {("bad0",), ("bad1",)} and time.time() - start < 30
+    # tokens that all pages hold count where half of all pages are bad
+    half = spark.createDataFrame([(f"http://x.net/{i}", i % 2 == 0) for i in range(40)], "url string, bad boolean")
+    assert {tuple(r.tokens) for r in url_filter.mine_rules(half).collect()} == {("http",), ("x",), ("net",)}
+
+
 def test_rules_of_three_tokens(spark):
     labelled = []
     for host, section, tag in product("ab", "cd", "ef"):
