@@ -11,7 +11,7 @@ from homeload import dims
 from homeload.functions import calendar as cal
 from homeload.functions import keys as key
 from homeload.functions import text
-from homeload.operators import ordered
+from homeload.operators import ordered, pruning
 
 
 def _pairs(rows: Sequence[tuple[int, str]]) -> Column:
@@ -64,10 +64,16 @@ def representative(grid: DataFrame, combos: DataFrame | None) -> DataFrame:
     return grid.join(F.broadcast(valid.select(*names).distinct()), names, "left_semi")
 
 
-def remaining(tasks: DataFrame, completed: DataFrame | None, keys: Sequence[str]) -> DataFrame:
-    """Tasks whose key is not finished yet; repeated finished keys combine before the shuffle."""
+def remaining(tasks: DataFrame, completed: DataFrame | None, keys: Sequence[str], prune: bool = False) -> DataFrame:
+    """Tasks whose key is not finished yet; repeated finished keys combine before the shuffle.
+
+    ``prune`` clears tasks by a Bloom filter first, which pays where the grid is
+    much larger than what is finished: tasks that are surely open are not shuffled.
+    """
     if completed is None:
         return tasks
+    if prune:
+        return pruning.anti_join(tasks, completed, keys)
     return tasks.join(completed.select(*keys).distinct(), list(keys), "left_anti")
 
 

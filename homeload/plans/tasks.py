@@ -52,16 +52,18 @@ def consumption_tasks(
     variants: int,
     day_types: Sequence[str] = (cal.WEEKDAY, cal.WEEKEND),
     completed: DataFrame | None = None,
+    prune: bool = False,
 ) -> DataFrame:
     """Consumption tasks with ids, labels and seeds.
 
     ``families`` carries ``family_file_id`` and ``household_id``, ``profiles``
     carries ``season`` and ``profile``; both carry the run columns ``on``.
+    ``prune`` is that of ``operators.tasks.remaining``.
     """
     narrow = families.select(*on, "family_file_id", F.coalesce("household_id", F.lit("Unknown")).alias("household_id"))
     grid = t.scenario_fanout(narrow, profiles, on, variants, day_types)
     keys = [*on, "family_file_id", "season", "profile", "day_type", "variant"]
-    left = t.remaining(grid, completed, keys)
+    left = t.remaining(grid, completed, keys, prune)
     labelled = left.withColumn("family_label", text.day_label(F.col("household_id"), F.col("day_type")))
     return t.with_seed(labelled, keys)
 

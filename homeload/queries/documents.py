@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from homeload.functions import text
-from homeload.operators import merge, nested, verdict
+from homeload.operators import alignment, merge, nested, verdict
 from homeload.plans import requests as plan
 from homeload.queries.registry import query
 from homeload.queries.tables import choose, sql_choose, table
@@ -183,6 +183,34 @@ def text_edit_diff(spark, sf_dir):
     return nested.text_diff(d.withColumn("new", edited), ["doc_id"], "old", "new")
 
 
+@query("""
+WITH o AS (SELECT o_custkey AS c, o_orderkey AS k, o_orderkey % 7 = 0 AS gone, o_orderkey % 5 = 0 AND o_orderkey % 7 <> 0 AS edited,
+                  o_orderkey % 11 = 0 AND o_orderkey % 7 <> 0 AS extra FROM orders),
+g AS (SELECT *, NOT gone AND NOT edited AS same, row_number() OVER w - 1 AS old_no,
+             coalesce(sum(CASE WHEN gone OR edited THEN 0 ELSE 1 END) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS gap,
+             coalesce(sum(CASE WHEN gone THEN 0 WHEN extra THEN 2 ELSE 1 END) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS new_at
+      FROM o WINDOW w AS (PARTITION BY c ORDER BY k)),
+olds AS (SELECT c, gap, row_number() OVER (PARTITION BY c, gap ORDER BY k) AS i, old_no, 'order ' || k AS old_line FROM g WHERE NOT same),
+lines AS (SELECT c, gap, new_at AS new_no, 'before ' || k AS new_line FROM g WHERE extra
+          UNION ALL SELECT c, gap, new_at + CASE WHEN extra THEN 1 ELSE 0 END, 'edited ' || k FROM g WHERE edited),
+news AS (SELECT *, row_number() OVER (PARTITION BY c, gap ORDER BY new_no) AS i FROM lines)
+SELECT c AS o_custkey, CAST(old_no AS INTEGER) AS old_no, CAST(new_no AS INTEGER) AS new_no, old_line, new_line FROM olds FULL JOIN news USING (c, gap, i)""")
+def text_alignment_diff(spark, sf_dir):
+    """A line per order; in the second version some are gone, some are edited and some have a line before them."""
+    k = F.col("o_orderkey")
+    name = lambda word, key: F.concat(F.lit(f"{word} "), key.cast("string"))
+
+    def after(key):
+        line = F.array(F.when(key % 5 == 0, name("edited", key)).otherwise(name("order", key)))
+        return F.when(key % 7 == 0, F.array().cast("array<string>")).when(key % 11 == 0, F.concat(F.array(name("before", key)), line)).otherwise(line)
+
+    texts = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(k)).alias("keys")).select(
+        "o_custkey", F.array_join(F.transform("keys", lambda x: name("order", x)), "\n").alias("old"),
+        F.nullif(F.array_join(F.flatten(F.transform("keys", after)), "\n"), F.lit("")).alias("new"),
+    )
+    return alignment.aligned_diff(texts, ["o_custkey"], "old", "new")
+
+
 _BLANK = r"[\s\v\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 
 

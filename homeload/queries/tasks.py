@@ -11,7 +11,7 @@ from homeload.functions import text
 from homeload.operators import ordered
 from homeload.operators import tasks as t
 from homeload.plans import tasks as plan
-from homeload.queries.registry import query
+from homeload.queries.registry import ORACLES, query
 from homeload.queries.tables import choose, season_sql, sql_choose, table
 
 VARIANTS = 4
@@ -175,15 +175,25 @@ done AS (SELECT DISTINCT run, k.family_file_id AS family_file_id, k.season AS se
 SELECT t.* FROM tasks t LEFT JOIN done d USING (run, family_file_id, season, profile, day_type, variant)
 WHERE d.run IS NULL""")
 def tasks_remaining(spark, sf_dir):
+    return _remaining(spark, sf_dir)
+
+
+def _remaining(spark, sf_dir, **kw):
     files = _order_file(spark, sf_dir).withColumn("run", (F.col("o_custkey") % 25).cast("int"))
     done = t.keyed(files, key.consumption_key(F.col("file")), ["run"]).select(
         "run", F.col("family_id").alias("family_file_id"), "season", F.col("profile").cast("bigint").alias("profile"),
         "day_type", "variant",
     )
-    out = plan.consumption_tasks(_families(spark, sf_dir), _profiles(spark, sf_dir), ["run"], 1, completed=done)
+    out = plan.consumption_tasks(_families(spark, sf_dir), _profiles(spark, sf_dir), ["run"], 1, completed=done, **kw)
     return out.drop("seed", "family_label")
 
 
+@query(ORACLES["tasks_remaining"])
+def tasks_remaining_pruned(spark, sf_dir):
+    """The same tasks; those a Bloom filter over the finished ones clears are not shuffled."""
+    return _remaining(spark, sf_dir, prune=True)
+
+
 @query(f"""
 WITH {_PROFILES}, named AS (SELECT run, year, CASE WHEN season = 'Spring' THEN 'Unknown' ELSE season END AS season FROM profiles)
 SELECT run, season, count(*) AS n_profiles, min(year) AS first_position FROM named GROUP BY run, season""")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from homeload import dims, schemas
 from homeload.functions import calendar as cal
 from homeload.operators import calendar as days
+from homeload.operators import periods as intervals
 from homeload.operators import weather as w
 from homeload.operators.rules.weather import hour_of_max
 from homeload.plans import weather as plan
@@ -16,6 +17,8 @@ from homeload.queries.registry import query
 from homeload.queries.tables import (
     COUNTRY_NAMES, HOURLY_SQL, choose, hourly_weather, joined_text, season_sql, sql_choose, table,
 )
+from homeload.session import shared_folder
+from homeload.sources import sinks
 
 D = 10  # digits kept where sums of doubles are compared
 SEASON = season_sql("ts", "country")
@@ -233,30 +236,43 @@ def _day_type_sql(ts: str) -> str:
     )
 
 
-_SEQ_START, _SEQ_DAYS, _SEQ_YEAR = "12-16", 24, 2021
-_DATES_SQL = (
-    f"dates AS (SELECT CAST(unnest(range(DATE '{_SEQ_YEAR}-{_SEQ_START}', DATE '{_SEQ_YEAR}-{_SEQ_START}' "
-    f"+ INTERVAL {_SEQ_DAYS} DAY, INTERVAL 1 DAY)) AS DATE) AS date)"
-)
+_SHORT = ("12-16", 24, 2021)
+#: Over two years, with a 29 February and three turns of the year.
+_LONG = ("12-16", 812, 2022)
 
 
-@query(f"""
-WITH {HOURLY_SQL}, {slots_sql("country")}, {_DATES_SQL},
+def _dates_sql(start, n_days, year):
+    first = f"DATE '{year}-{start}'"
+    return f"dates AS (SELECT CAST(unnest(range({first}, {first} + INTERVAL {n_days} DAY, INTERVAL 1 DAY)) AS DATE) AS date)"
+
+
+def _sequence_sql(start, n_days, year):
+    return f"""
+WITH {HOURLY_SQL}, {slots_sql("country")}, {_dates_sql(start, n_days, year)},
 t AS (SELECT country, day, signal, min(value) AS lo, max(value) AS hi, {PROFILE_TEXT} AS txt FROM slots GROUP BY ALL),
 p AS (SELECT country, day, {_BY_SIGNAL}, max(lo) FILTER (WHERE signal = 'temperature') AS temperature_min,
              max(hi) FILTER (WHERE signal = 'temperature') AS temperature_max FROM t GROUP BY country, day)
-SELECT p.country, {_SEQ_YEAR} AS year, {season_sql("date", "p.country")} AS season, strftime(date, '%Y-%m-%d') AS date,
+SELECT p.country, {year} AS year, {season_sql("date", "p.country")} AS season, strftime(date, '%Y-%m-%d') AS date,
        {_day_type_sql("date")} AS day_type, dayname(date) AS day_name, temperature_min, temperature_max,
        {", ".join(s for _, s in PROFILE_COLS)}
 FROM p JOIN dates ON strftime(date, '%m-%d') = p.day
 LEFT JOIN {_CODES_SQL} ON codes.country = p.country
 LEFT JOIN (VALUES {", ".join(f"('{c}', DATE '{a}', DATE '{b}', {d!r})" for c, a, b, d in dims.WEEKENDS)})
   AS periods(code, valid_from, valid_to, weekend_days)
-  ON periods.code = codes.code AND date BETWEEN valid_from AND valid_to""")
-def dated_sequence(spark, sf_dir):
+  ON periods.code = codes.code AND date BETWEEN valid_from AND valid_to"""
+
+
+def _missing_sql(start, n_days, year):
+    return f"""
+WITH {HOURLY_SQL}, {_dates_sql(start, n_days, year)}
+SELECT c.country, strftime(date, '%Y-%m-%d') AS date
+FROM (SELECT DISTINCT country FROM hourly) c CROSS JOIN dates
+WHERE NOT EXISTS (SELECT 1 FROM hourly h WHERE h.country = c.country AND strftime(h.ts, '%m-%d') = strftime(date, '%m-%d'))"""
+
+
+def _sequence(spark, sf_dir, start, n_days, year):
     seq = plan.weather_sequence(
-        hourly_weather(spark, sf_dir), _SEQ_START, _SEQ_DAYS, _SEQ_YEAR,
-        dims.country_codes(spark), dims.weekend_periods(spark), digits=D,
+        hourly_weather(spark, sf_dir), start, n_days, year, dims.country_codes(spark), dims.weekend_periods(spark), digits=D
     )
     return seq.select(
         "country", "year", "season", "date", "day_type", "day_name",
@@ -266,16 +282,39 @@ def dated_sequence(spark, sf_dir):
     )
 
 
-@query(f"""
-WITH {HOURLY_SQL}, {_DATES_SQL}
-SELECT c.country, strftime(date, '%Y-%m-%d') AS date
-FROM (SELECT DISTINCT country FROM hourly) c CROSS JOIN dates
-WHERE NOT EXISTS (SELECT 1 FROM hourly h WHERE h.country = c.country AND strftime(h.ts, '%m-%d') = strftime(date, '%m-%d'))""")
-def sequence_missing_days(spark, sf_dir):
-    gone = plan.missing_days(hourly_weather(spark, sf_dir), _SEQ_START, _SEQ_DAYS, _SEQ_YEAR)
+def _missing(spark, sf_dir, start, n_days, year):
+    gone = plan.missing_days(hourly_weather(spark, sf_dir), start, n_days, year)
     return gone.select("country", F.date_format("date", "yyyy-MM-dd").alias("date"))
 
 
+@query(_sequence_sql(*_SHORT))
+def dated_sequence(spark, sf_dir):
+    return _sequence(spark, sf_dir, *_SHORT)
+
+
+@query(_missing_sql(*_SHORT))
+def sequence_missing_days(spark, sf_dir):
+    return _missing(spark, sf_dir, *_SHORT)
+
+
+@query(_sequence_sql(*_LONG))
+def dated_sequence_long(spark, sf_dir):
+    return _sequence(spark, sf_dir, *_LONG)
+
+
+@query(_missing_sql(*_LONG))
+def sequence_long_missing_days(spark, sf_dir):
+    return _missing(spark, sf_dir, *_LONG)
+
+
+@query(_sequence_sql(*_LONG))
+def sequence_files(spark, sf_dir):
+    """The long sequence as JSON, one folder per date, read back."""
+    made, out = _sequence(spark, sf_dir, *_LONG), shared_folder(spark, "sequence-files")
+    sinks.write_sequence(made, out)
+    return spark.read.schema(made.schema).json(out)
+
+
 PLACES = ("Ireland", "UAE", "United States", "BR", "Sweden", "United Arab Emirates")
 
 
@@ -297,6 +336,25 @@ def day_type_calendar(spark, sf_dir):
     return typed.select("o_orderkey", "country", "code", "day_type")
 
 
+@query("""
+WITH p AS (SELECT o_custkey % 50 AS code, o_orderkey, CAST(o_orderdate AS DATE) AS valid_from,
+                  CASE WHEN o_orderkey % 97 > 0 THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 9 - 1 AS INTEGER) END AS valid_to FROM orders),
+f AS (SELECT l_suppkey % 60 AS code, CAST(l_shipdate AS DATE) AS day FROM lineitem)
+SELECT f.code, year(day) AS year, count(*) AS rows, count(o_orderkey) AS hits, coalesce(sum(o_orderkey % 1000), 0)::BIGINT AS checked
+FROM f LEFT JOIN p ON p.code = f.code AND day BETWEEN valid_from AND coalesce(valid_to, DATE '9999-12-31') GROUP BY 1, 2""")
+def period_join(spark, sf_dir):
+    """Orders as periods of up to eight days, some open, some turned, against the ship dates of their code."""
+    start = F.to_date("o_orderdate")
+    periods = table(spark, sf_dir, "orders").select(
+        (F.col("o_custkey") % 50).alias("code"), "o_orderkey", start.alias("valid_from"),
+        F.when(F.col("o_orderkey") % 97 > 0, F.date_add(start, (F.col("o_orderkey") % 9 - 1).cast("int"))).alias("valid_to"),
+    )
+    facts = table(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 60).alias("code"), F.to_date("l_shipdate").alias("day"))
+    return intervals.period_join(facts, periods, "code", "day").groupBy("code", F.year("day").alias("year")).agg(
+        F.count("*").alias("rows"), F.count("o_orderkey").alias("hits"), F.coalesce(F.sum(F.col("o_orderkey") % 1000), F.lit(0)).alias("checked")
+    )
+
+
 @query(f"""
 WITH scope AS (SELECT DISTINCT {sql_choose("o_custkey", COUNTRY_NAMES)} AS country, year(o_orderdate) AS year FROM orders),
 hours AS (SELECT scope.*, code, unnest(range(make_timestamp(scope.year, 1, 1, 0, 0, 0), make_timestamp(scope.year + 1, 1, 1, 0, 0, 0), INTERVAL 1 HOUR)) AS ts

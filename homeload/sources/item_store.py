@@ -95,7 +95,7 @@ def write_items(df: DataFrame, path: str, keys: Sequence[str], batch: int, bucke
 
 def read_items(spark: SparkSession, path: str, schema: T.StructType | str, only: Sequence[int] | None = None) -> DataFrame:
     """All items, or those of some buckets; no item at all where nothing is committed."""
-    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    schema = schema_of(schema) if isinstance(schema, str) else schema
     chosen = versions(spark, path)
     if only is not None:
         chosen = {b: n for b, n in chosen.items() if b in set(only)}
@@ -111,3 +111,7 @@ def matching_items(df: DataFrame, path: str, keys: Sequence[str], schema: T.Stru
     number = _bucket_number(spark, path, None)
     touched = {r.b for r in df.select(bucket_of(keys, number).alias("b")).distinct().collect()}
     return _read(spark, path, schema, {b: n for b, n in versions(spark, path, before).items() if b in touched}).drop("bucket")
+
+
+def schema_of(ddl: str) -> T.StructType:
+    return T.StructType.fromDDL(ddl)

@@ -1,11 +1,10 @@
 """Ids that have been taken in, for exactly-once intake after any delay.
 
 The index holds two 64-bit digests of each id, filed by a day that an id always
-comes with (the event day of its record) and a bucket of its hash. A batch
-reads the days and buckets its own ids fall in and adds its new ids as files of
-its own, so nothing is written twice and old days rest until a late copy asks
-for them. A batch that is run again reads what earlier batches wrote and
-replaces its own files.
+comes with (the event day of its record). A batch reads the days its own ids
+fall in and adds its new ids as files of its own, so nothing is written twice
+and old days rest until a late copy asks for them. A batch that is run again
+reads what earlier batches wrote and replaces its own files.
 """
 
 from __future__ import annotations
@@ -14,14 +13,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 16
-_SCHEMA = "one BIGINT, two BIGINT, day DATE, bucket INT, batch BIGINT"
+_SCHEMA = "one BIGINT, two BIGINT, batch BIGINT, day DATE"
 
 
 def _marked(rows: DataFrame, id_col: str, day: Column) -> DataFrame:
     name = F.col(id_col).cast("string")
-    one = F.xxhash64(name)
-    return rows.withColumns({"__one": one, "__two": F.xxhash64(name, F.lit("second")), "__day": day, "__bucket": F.pmod(one, F.lit(BUCKETS)).cast("int")})
+    return rows.withColumns({"__one": F.xxhash64(name), "__two": F.xxhash64(name, F.lit("second")), "__day": day})
 
 
 def first_time(rows: DataFrame, path: str, number: int, id_col: str, day: Column) -> DataFrame:
@@ -32,17 +29,15 @@ def first_time(rows: DataFrame, path: str, number: int, id_col: str, day: Column
     """
     spark = rows.sparkSession
     marked = _marked(rows, id_col, day).dropDuplicates(["__one", "__two"])
-    asked = [(r.d, r.b) for r in marked.select(F.col("__day").alias("d"), F.col("__bucket").alias("b")).distinct().collect()]  # days of a batch by BUCKETS
+    days = [r.d for r in marked.select(F.col("__day").alias("d")).distinct().collect() if r.d is not None]
     try:
         seen = spark.read.schema(_SCHEMA).parquet(path).where(F.col("batch") < number)
-        days = sorted({d for d, _ in asked if d is not None})
         among = F.col("day").isin(days) if days else F.lit(False)
-        seen = seen.where((among | F.col("day").isNull()) & F.col("bucket").isin(sorted({b for _, b in asked})))
-        known = seen.select(F.col("one").alias("__one"), F.col("two").alias("__two"))
+        known = seen.where(among | F.col("day").isNull()).select(F.col("one").alias("__one"), F.col("two").alias("__two"))
         fresh = marked.join(known, ["__one", "__two"], "left_anti")
     except AnalysisException:  # the first batch
         fresh = marked
-    index = fresh.select(F.col("__one").alias("one"), F.col("__two").alias("two"), F.lit(number).alias("batch"), F.col("__day").alias("day"), F.col("__bucket").alias("bucket"))
-    # dynamic: only this batch's folders are replaced
-    index.repartition("day", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "day", "bucket").parquet(path)
+    index = fresh.select(F.col("__one").alias("one"), F.col("__two").alias("two"), F.col("__day").alias("day"))
+    # a folder of this batch's own, replaced whole; rows of a day lie together, a large day over several files
+    index.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch={number}")
     return fresh.select(*rows.columns)
