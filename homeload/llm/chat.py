@@ -6,6 +6,7 @@ into one row, which is what a formatted text is.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -108,7 +109,7 @@ def format_chats(rows: DataFrame, template: Template = TURNS) -> DataFrame:
 
 def read_turns(formatted: Column, template: Template = TURNS) -> Column:
     """``array<struct<role, text>>`` back from a formatted text."""
-    pieces = F.split(formatted, template.close, -1)
+    pieces = F.split(formatted, re.escape(template.close), -1)  # the pattern is a regular expression
     turns = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
 
     def one(piece: Column) -> Column:
