@@ -26,6 +26,8 @@ from homeload.session import shared_folder
 DICTIONARY_FRAME, ZSTD_FRAME, VERSION = 0x184D2A5D, 0xFD2FB528, "WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ARCHIVE_BYTES = 64 << 20
+#: Archives beyond that many share reading tasks.
+MOST_TASKS = 20_000
 SAMPLE_ROWS, SAMPLE_BYTES, DICTIONARY_BYTES = 200, 8192, 64 << 10
 
 
@@ -244,8 +246,8 @@ def read_archives(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-    # one archive is a task's least share; hundreds of small ones are dealt over all cores
-    paths = manifest.select("path", "records").repartition(F.xxhash64("path"))
+    # one archive is a task's least share; with a stated number tasks are not merged, however small the manifest
+    paths = manifest.select("path", "records").repartition(max(1, min(manifest.count(), MOST_TASKS)))
     return paths.mapInArrow(read, READ)
 
 
