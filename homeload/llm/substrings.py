@@ -32,6 +32,8 @@ from homeload.llm.shared_keys import NO_ID, PACKED, by_document, exchange, pack_
 MIN_WORDS = 28
 WINDOW, SPACELESS, BYTES, WORD_BYTES = 5, 64, 24, 6
 SLICE = 2 << 20
+#: Working columns; no table has columns of these names.
+ID, TELL, PLACES, FLAGS = (f"__homeload_repeats_{c}" for c in ("id", "tell", "places", "flags"))
 RANDOM = np.random.default_rng(20240229)
 GEAR = RANDOM.integers(0, 1 << 16, 256, np.uint64).astype(np.uint16)
 LETTER = RANDOM.integers(0, 1 << 64, 256, np.uint64)
@@ -187,10 +189,10 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """
     docs = docs.drop("n_bytes", "n_removed", "n_spans")
     rest = [c for c in docs.columns if c != "text"]
-    base = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__tell", short_tell(F.coalesce("text", F.lit(""))))
-    told = find_repeats(docs, min_words).toDF("__id", "__tell", "__places", "__flags").drop("__flags")
-    joined = attach(base, told, ["__id", "__tell"])
-    kept = joined.select(*rest, "text", "__places")
+    base = docs.withColumn(ID, F.col("doc_id").cast("long")).withColumn(TELL, short_tell(F.coalesce("text", F.lit(""))))
+    told = find_repeats(docs, min_words).toDF(ID, TELL, PLACES, FLAGS).drop(FLAGS)
+    joined = attach(base, told, [ID, TELL])
+    kept = joined.select(*rest, "text", PLACES)
     fields = [*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")]
     schema = ", ".join([*fields, "text string", "n_bytes long", "n_removed long", "n_spans long"])
     names = [*rest, "text", "n_bytes", "n_removed", "n_spans"]
@@ -198,7 +200,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     def apply(batches):
         for batch in batches:
             for cut in tokens.slices(batch, "text", SLICE):
-                column, told_places = cut.column("text"), cut.column("__places").to_pylist()
+                column, told_places = cut.column("text"), cut.column(PLACES).to_pylist()
                 texts = texts_of(column)
                 _, places, stops, counts = chunks(texts, min_words)
                 ends = np.cumsum(counts)
