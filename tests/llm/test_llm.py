@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from oracle import compare, connect, data_dir
 from tokenizers import Tokenizer
 
@@ -214,6 +215,25 @@ def test_chat_round_trip(spark):
     assert chat.format_chats(df.where("false")).count() == 0
 
 
+def test_any_template_can_be_read_back(spark):
+    """Closing marks full of signs that mean something to a regular expression."""
+    for close in ("<|im_end|>\n", "(.*)[a-z]+$ ^?{2}\n", ".|$x"):
+        template = chat.Template(chat.TURNS.labels, chat.TURNS.after, ("assistant",), ("assistant",), open="<|im_start|>", mark="\n", close=close, controls=("<|", "|>", ".|$", "(.*)", "\n"))
+        rows = [(1, 0, "user", f"a{close}b|im_end|\n<|"), (1, 1, "assistant", f"{close}{close}."), (1, 2, "to|ol", "")]
+        made = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), template)
+        back = made.select(chat.read_turns(made["formatted"], template).alias("t"), chat.read_loss(made["segments"], template).alias("l")).first()
+        assert [tuple(t) for t in back.t] == [r[2:] for r in rows] and back.l == rows[1][3]
+
+
+def test_costs_follow_the_work(spark):
+    """A rule is timed over so many passes that a dear one is told from a cheap one each time."""
+    docs = spark.createDataFrame([("word " * 200 + "!",)] * 400, "text string").repartition(2)
+    dear = F.length(F.regexp_replace(F.col("text"), "(w|o|r|d)+", "x")) > 0
+    rules = {"dear": dear, "cheap": F.length("text") > 0, "never": F.length("text") < 0}
+    assert [quality.cascade_order(docs, rules, share=1.0) for _ in range(3)] == [["cheap", "dear", "never"]] * 3
+    assert quality.cascade_order(docs.where("false"), rules) == list(rules)
+
+
 def test_quality_edges(odd, none):
     rows = quality.judge(odd).collect()
     assert len(rows) == len(ODD) and not any(r.kept for r in rows if r.text is None or r.q.n_words < 50)
