@@ -35,7 +35,7 @@ from homeload.llm.components import components
 from homeload.llm.substrings import mix
 
 WORDS, PERCENT = 5, 80
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
 #: So many rows of four numbers may be broadcast, 32 MB; more are joined by a shuffle.
 BROADCAST_ROWS = 1 << 20
 #: Sets whose sizes differ by a factor of 1.25 at most are in the same or neighbouring bands.
@@ -103,11 +103,13 @@ def _marks(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 def groups(marks: DataFrame) -> DataFrame:
     """``node, group`` of all nodes that may match another."""
-    index = marks.where("node IS NOT NULL").select("node", "need", F.explode("part").alias("shingle"))
+    index = marks.where("node IS NOT NULL").select("node", F.explode("part").alias("shingle"))
     shared = index.groupBy("shingle").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("n")).where("a != b")
     held = index.join(shared.select("shingle", F.col("n").alias("seen")), "shingle")
     # a set's own shingles, rarest first; a row per document of equal sets, so only distinct ones count
-    own = held.groupBy("node", "need").agg(F.sort_array(F.collect_set(F.struct("seen", "shingle"))).alias("s")).where(F.size("s") >= F.col("need"))
+    own = held.groupBy("node").agg(F.sort_array(F.collect_set(F.struct("seen", "shingle"))).alias("s"))
+    needs = marks.where("node IS NOT NULL").groupBy("node").agg(F.min("need").alias("need"))
+    own = own.join(needs, "node").where(F.size("s") >= F.col("need"))
     filed = written(
         own.select("node", F.explode(F.slice("s", F.lit(1), (F.size("s") - F.col("need") + 1).cast("int"))).alias("k")).select("node", "k.shingle"), "shingle-filed"
     )
@@ -127,17 +129,18 @@ def _members(docs: DataFrame, marks: DataFrame, grouped: DataFrame, words: int)
     rows = texts.join(first, texts["doc_id"].eqNullSafe(first["id"]) & (texts["tell"] == first["mark"]))
 
     def listed(batches):
+        seen = set()  # rows equal in id and text are one member; those of different tasks do no harm
         for batch in batches:
-            for cut in tokens.slices(batch, "text"):
+            nodes = batch.column("node").to_pylist()
+            once = [not (n in seen or seen.add(n)) for n in nodes]
+            for cut in tokens.slices(batch.filter(pa.array(once, pa.bool_())), "text"):
                 sets = [shingles(t.as_buffer().to_pybytes(), words) for t in cut.column("text")]
                 yield pa.RecordBatch.from_arrays(
                     [cut.column("group"), cut.column("node"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
                     ["group", "node", "n", "own"],
                 )
 
-    sets = rows.select("group", "node", "text").mapInArrow(listed, "group long, node long, n long, own binary")
-    # rows equal in id and text are one member
-    return written(sets.dropDuplicates(["group", "node"]), "shingle-sets")
+    return written(rows.select("group", "node", "text").mapInArrow(listed, "group long, node long, n long, own binary"), "shingle-sets")
 
 
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -167,11 +170,27 @@ def _within(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
     return dealt.mapInArrow(walk, "a long, b long")
 
 
-def _dealt(rows: DataFrame, block_bytes: int, salt: int) -> DataFrame:
-    """``rows`` with ``band`` and ``part``: blocks of about ``block_bytes`` of sets of like size."""
-    banded = rows.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / math.log(BAND)))
-    sizes = banded.groupBy("group", "band").agg(F.ceil(F.sum(8 * F.col("n") + 64) / block_bytes).alias("parts"))
-    return banded.join(sizes, ["group", "band"]).withColumn("part", F.pmod(F.xxhash64("node", F.lit(salt)), F.col("parts"))).drop("parts")
+def _dealt(places: DataFrame, block_bytes: int, salt: int) -> DataFrame:
+    """``group, node, n`` with ``band``, ``part`` and ``large``: blocks of about ``block_bytes``.
+
+    A group that fits is one block; a larger one is cut into bands of sets of
+    like size, and these into parts.
+    """
+    size = F.sum(8 * F.col("n") + 64)
+    banded = places.select("group", "node", "n", F.floor(F.log(F.col("n").cast("double")) / math.log(BAND)).alias("band"))
+    whole = banded.groupBy("group").agg((size > block_bytes).alias("large"))
+    parts = banded.groupBy("group", "band").agg(F.ceil(size / block_bytes).alias("parts"))
+    both = banded.join(whole, "group").join(parts, ["group", "band"])
+    part = F.pmod(F.xxhash64("node", F.lit(salt)), F.col("parts"))
+    return both.select(
+        "group", "node", "n", F.when(F.col("large"), F.col("band")).otherwise(0).alias("band"), F.when(F.col("large"), part).otherwise(0).alias("part"), "large"
+    )
+
+
+def _with_sets(members: DataFrame, places: DataFrame) -> DataFrame:
+    """``places`` with the set of each node; a set is shuffled only if there are more places than may be broadcast."""
+    few = F.broadcast(places) if places.count() <= BROADCAST_ROWS else places
+    return members.select("node", "own").join(few, "node")
 
 
 def _blocks(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -201,32 +220,33 @@ def _across(few: DataFrame, every: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(meet, "a long, b long")
 
 
-def _rooted(members: DataFrame, links: DataFrame) -> DataFrame:
+def _rooted(places: DataFrame, links: DataFrame) -> DataFrame:
+    """``places`` with the ``root`` that the links give each node."""
     roots = components(links).withColumnRenamed("root", "known")
-    return written(members.join(roots, "node", "left").withColumn("root", F.coalesce("known", "node")).drop("known"), "rooted-sets")
+    return written(places.join(roots, "node", "left").withColumn("root", F.coalesce("known", "node")).drop("known"), "rooted-nodes")
 
 
 def links(members: DataFrame, percent: int = PERCENT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``a, b`` over nodes, with the same components as all pairs of at least ``percent``."""
-    sizes = members.groupBy("group").agg(F.sum(8 * F.col("n") + 64).alias("bytes"))
-    large = sizes.where(F.col("bytes") > block_bytes).select("group")
-    found = written(_within(members.join(large, "group", "left_anti"), ["group"], percent), "small-links")
-    if large.isEmpty():
+    keys = ["group", "band", "part"]
+    places = written(_dealt(members.select("group", "node", "n").distinct(), block_bytes, 0), "shingle-blocks")
+    found = written(_within(_with_sets(members, places), keys, percent), "block-links")
+    crowd = places.where("large")
+    if crowd.isEmpty():
         return found
-    crowd = written(_dealt(members.join(large, "group", "left_semi"), block_bytes, 0), "large-groups")
-    own = written(_within(crowd, ["group", "band", "part"], percent), "block-links")
-    crowd = _rooted(crowd, own)
-    number, before = crowd.select("root").distinct().count(), None
+    rooted = _rooted(crowd, found)
+    number, before = rooted.select("root").distinct().count(), None
     while number != before:
-        heads = crowd.groupBy("group", "band", "part", "root").agg(F.min_by(F.struct("node", "n", "own"), "node").alias("h"))
-        heads = _dealt(heads.select("group", "h.*"), block_bytes, number)
-        more = written(_within(heads, ["group", "band", "part"], percent), "head-links")
-        own = own.union(more)
-        crowd = _rooted(crowd.drop("root"), own)
-        before, number = number, crowd.select("root").distinct().count()
-    main = crowd.groupBy("group", "root").count().groupBy("group").agg(F.max_by("root", "count").alias("main"))
-    few = crowd.join(main, "group").where("root != main").drop("main")
-    return found.union(own).union(written(_across(_dealt(few.drop("band", "part"), block_bytes, 1), crowd, percent), "across-links"))
+        heads = rooted.groupBy(*keys, "root").agg(F.min_by(F.struct("node", "n"), "node").alias("h")).select("group", "h.*")
+        heads = written(_dealt(heads, block_bytes, number), "head-blocks")
+        found = found.union(written(_within(_with_sets(members, heads), keys, percent), "head-links"))
+        rooted = _rooted(crowd, found)
+        before, number = number, rooted.select("root").distinct().count()
+    main = rooted.groupBy("group", "root").count().groupBy("group").agg(F.max_by("root", "count").alias("main"))
+    few = written(rooted.join(main, "group").where("root != main").drop("main"), "beside-the-largest")
+    if few.isEmpty():
+        return found
+    return found.union(written(_across(_with_sets(members, few), _with_sets(members, rooted), percent), "across-links"))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
