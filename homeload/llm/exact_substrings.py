@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +33,8 @@ from homeload.llm.shared_keys import (
 from homeload.llm.substrings import BASE, LETTER, SLICE, ids_of, mix, packed_rows, tells_of, texts_of
 
 LENGTH, ANCHOR = 50, 25
+#: Bytes of text whose keys make a shard; a task holds several times as much while it settles one.
+SHARD_TEXT = 8 << 20
 LONGEST_RUN = 48  # so that a run's first and last suffix cover all its bytes, and its length fits six bits
 OPEN = 64  # beside a run's length: its suffixes decide
 
@@ -193,9 +196,20 @@ def _parts(batch) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray, np.n
     return ids_of(batch.column("doc_id")), tells, [p for row in parts for p in row], flat, owner
 
 
-def _in_slices(batch, rows: int = 400):
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
+def _in_slices(batch, limit: int = 1 << 20):
+    """Parts of a batch with about ``limit`` bytes of text each, a row at least."""
+    parts = batch.column("parts")
+    upto = np.concatenate([[0], np.cumsum(pc.binary_length(parts.flatten()).to_numpy(zero_copy_only=False))])
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(parts), 0).to_numpy(zero_copy_only=False))
+    sizes = np.diff(upto[np.concatenate([[0], ends])]).tolist()
+    at = held = 0
+    for row, size in enumerate(sizes):
+        if row > at and held + size > limit:
+            yield batch.slice(at, row - at)
+            at, held = row, 0
+        held += size
+    if at < batch.num_rows:
+        yield batch.slice(at)
 
 
 def settled_runs(segments: DataFrame, shards: int) -> DataFrame:
@@ -302,7 +316,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     gives an empty one.
     """
     rows = keyed_text(docs).withColumn("tell", short_tell())
-    shards = shards_for(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    shards = shards_for(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0, SHARD_TEXT)
     segments = shared_segments(rows, shards)
     settled = written(settled_runs(segments, max(1, shards // 2)), "settled-runs")
     suffixes = found_suffixes(segments, settled, shards)

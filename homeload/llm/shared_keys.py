@@ -93,9 +93,9 @@ def split_flags(keys: np.ndarray, docs: np.ndarray, marks: np.ndarray) -> np.nda
     return np.where(smaller, SMALLER, np.where(larger | (marks > 0), LARGER, 0)).astype(np.uint8)
 
 
-def shards_for(total_bytes: int) -> int:
+def shards_for(total_bytes: int, shard_bytes: int = SHARD_BYTES) -> int:
     """A power of two that grows with the input, so that a shard's size does not."""
-    return 1 << max(0, math.ceil(math.log2(max(1, total_bytes / SHARD_BYTES))))
+    return 1 << max(0, math.ceil(math.log2(max(1, total_bytes / shard_bytes))))
 
 
 def planes(values: np.ndarray) -> bytes:
