@@ -104,28 +104,32 @@ def is_accepted() -> Column:
     return F.coalesce(F.col("readable"), F.lit(True)) & ((F.col("decision") == ACCEPT) | F.coalesce(edited, F.lit(False)))
 
 
-def replay(attempts: DataFrame, keys: Sequence[str], max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
+def replay(attempts: DataFrame, keys: Sequence[str], max_attempts: int = MAX_ATTEMPTS, counted: bool = False) -> DataFrame:
     """Outcome of each task from its recorded attempts.
 
     ``attempts`` has ``attempt, readable, decision, edit_decision,
     edit_readable, output, edited_output``. Attempts past the limit, unknown
     decisions and failed edits never accept. Every aggregate merges, so a task
-    with many records still combines map-side.
+    with many records still combines map-side. ``counted`` adds ``attempts``,
+    the highest attempt on record, those past the limit included, from the same
+    aggregate.
     """
-    valid = attempts.where(F.col("attempt") <= max_attempts)
-    ok = is_accepted()
+    in_time = F.col("attempt") <= max_attempts
+    valid = attempts if counted else attempts.where(in_time)
+    ok = is_accepted() & in_time
     final = F.when(F.col("decision") == ACCEPT, F.col("output")).otherwise(F.col("edited_output"))
     out = valid.groupBy(*keys).agg(
         F.min(F.when(ok, F.col("attempt"))).alias("accepted_at"),
-        F.max("attempt").alias("last_attempt"),
+        F.max(F.when(in_time, F.col("attempt"))).alias("last_attempt"),
         F.min_by(final, F.when(ok, F.col("attempt"))).alias("final_output"),
+        *([F.max("attempt").alias("attempts")] if counted else []),
     )
     done = F.col("accepted_at").isNotNull()
-    return out.select(
+    return out.where(F.col("last_attempt").isNotNull()).select(
         *keys,
         F.when(done, "accepted").when(F.col("last_attempt") >= max_attempts, "failed").otherwise("open").alias("status"),
         F.coalesce("accepted_at", "last_attempt").alias("attempts_used"),
-        "final_output",
+        "final_output", *(["attempts"] if counted else []),
     )
 
 
@@ -148,13 +152,13 @@ def next_actions(attempts: DataFrame, keys: Sequence[str], max_attempts: int = M
     )
 
 
-def rule_base(decisions: DataFrame) -> DataFrame:
-    """Distinct ``(stage, rule)`` of full rejections of readable outputs that carry guidance and a rule."""
+def rule_base(decisions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Distinct ``(stage, rule)``, for each ``by``, of full rejections of readable outputs that carry guidance and a rule."""
     rule = F.trim(F.coalesce("knowledge_base_rule", F.lit("")))
     return (
         decisions.where(readable(decisions) & (F.col("decision") == FULL))
         .where(F.coalesce("regeneration_guidance", F.lit("")) != "")
-        .select("stage", rule.alias("rule"))
+        .select(*by, "stage", rule.alias("rule"))
         .where(F.col("rule") != "")
         .distinct()
     )
@@ -178,10 +182,6 @@ def funnel(attempts: DataFrame, by: Sequence[str]) -> DataFrame:
     return out.withColumn("accept_rate", F.col("accepted") / F.col("decisions"))
 
 
-def attempt_counts(attempts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return attempts.groupBy(*keys).agg(F.max("attempt").alias("attempts"))
-
-
 def outcome_summary(outcomes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Totals of a run; the failed items themselves stay rows (``failures``)."""
     return outcomes.groupBy(*by).agg(

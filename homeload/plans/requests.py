@@ -35,14 +35,16 @@ def requests(
     )
 
 
-def lessons_of(rules: DataFrame) -> DataFrame:
-    """All rule lines as one text, sorted: a one-row table.
+def lessons_of(rules: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The rule lines of each ``by`` group, such as a run and its stage, as one sorted text.
 
-    The rule base is a few sentences per run; distinct lines are collected, so
-    its size does not follow the number of calls.
+    A text goes into every prompt of its group, so it holds the rules of that
+    group alone; a task picks it up by a join on ``by``. Lines are distinct
+    before they meet, so a text grows with the rules and not with the calls.
+    Without ``by`` all rules are one text, for the rule base of one run.
     """
-    lines = rules.select(F.concat(F.lit("- [RULE: "), "stage", F.lit("] "), "rule").alias("line")).distinct()
-    return lines.agg(F.array_join(F.array_sort(F.collect_set("line")), "\n").alias("lessons"))
+    lines = rules.select(*by, F.concat(F.lit("- [RULE: "), "stage", F.lit("] "), "rule").alias("line")).distinct()
+    return lines.groupBy(*by).agg(F.array_join(F.array_sort(F.collect_set("line")), "\n").alias("lessons"))
 
 
 def audit_requests(tasks: DataFrame, template: str, variables: Mapping[str, Column], context: Column, criteria: Column) -> DataFrame:

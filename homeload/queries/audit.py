@@ -9,6 +9,7 @@ from homeload.operators import verdict as v
 from homeload.operators import weather as w
 from homeload.operators.rules import consumption, core, families, weather
 from homeload.plans import audit as plan
+from homeload.plans import requests
 from homeload.queries.registry import query
 from homeload.queries.tables import HOURLY_SQL, choose, hourly_weather, season_sql, spread, sql_choose, table
 from homeload.queries.weather import D, slots_sql
@@ -494,14 +495,24 @@ def acceptance_by_stage_and_role(spark, sf_dir):
     return v.funnel(single_attempts(spark, sf_dir).withColumn("stage", stage).withColumn("role", role), ["stage", "role"])
 
 
+@query(f"""
+WITH {ATTEMPTS_SQL},
+l AS (SELECT DISTINCT task % 40 AS run, 'stage' || (attempt % 3) AS stage, '- [RULE: stage' || (attempt % 3) || '] ' || rule AS line
+      FROM att WHERE readable AND decision = 'REGENERATE_FULL' AND guidance <> '' AND rule <> '')
+SELECT run, stage, string_agg(line, chr(10) ORDER BY line) AS lessons FROM l GROUP BY 1, 2""")
+def lessons_by_run_and_stage(spark, sf_dir):
+    """What each stage of a run has learned, as the text its prompts carry."""
+    stage = F.concat(F.lit("stage"), (F.col("attempt") % 3).cast("string"))
+    runs = single_attempts(spark, sf_dir).withColumns({"run": F.col("task") % 40, "stage": stage})
+    return requests.lessons_of(v.rule_base(runs, ["run"]), ["run", "stage"])
+
+
 @query(f"""
 WITH {ATTEMPTS_SQL}, n AS (SELECT task, max(attempt) AS attempts FROM att GROUP BY task)
 SELECT attempts, count(*) AS total, count(*) FILTER (WHERE status = 'accepted') AS successful, count(*) FILTER (WHERE status <> 'accepted') AS failed
 FROM outc JOIN n USING (task) GROUP BY attempts""")
 def outcome_summary(spark, sf_dir):
-    a = single_attempts(spark, sf_dir)
-    joined = v.replay(a, ["task"]).join(v.attempt_counts(a, ["task"]), "task")
-    return v.outcome_summary(joined, ["attempts"])
+    return v.outcome_summary(v.replay(single_attempts(spark, sf_dir), ["task"], counted=True), ["attempts"])
 
 
 @query(f"WITH {ATTEMPTS_SQL} SELECT * FROM outc WHERE status <> 'accepted'")

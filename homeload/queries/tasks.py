@@ -147,6 +147,28 @@ def scenario_fanout(spark, sf_dir):
     return out.drop("seed")
 
 
+@query(f"""
+WITH {_FAMILIES}, {_PROFILES}, {_FANOUT}, o AS (SELECT c_custkey, c_acctbal > 0 AS rich FROM customer)
+SELECT t.run, t.family_file_id, t.season, t.profile, t.day_type, 'regime of ' || fam.household_id AS household_work_regime,
+       CASE WHEN rich THEN 'low' ELSE 'Unknown' END AS weekday_daytime_occupancy_level, fam.household_id, p.year AS weather_year
+FROM tasks t JOIN fam ON fam.run = t.run AND fam.family_file_id = t.family_file_id JOIN o USING (c_custkey)
+JOIN profiles p ON p.run = t.run AND p.season = t.season AND p.profile = t.profile""")
+def tasks_with_documents(spark, sf_dir):
+    """Every task beside the family and the weather it is about, and what a request says of the household's routine."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_acctbal") > 0).alias("rich"))
+    families = _families(spark, sf_dir).join(customers, "c_custkey").select(
+        "run", "family_file_id", "household_id", F.concat(F.lit("regime of "), "household_id").alias("household_work_regime"),
+        F.when(F.col("rich"), "low").alias("weekday_daytime_occupancy_level"), F.array().cast("array<string>").alias("members"),
+    )
+    profiles = _profiles(spark, sf_dir)
+    tasks = plan.consumption_tasks(_families(spark, sf_dir), profiles, ["run"], 1)
+    whole = plan.with_documents(tasks.drop("household_id"), families, profiles, ["run"])
+    return whole.select(
+        "run", "family_file_id", "season", "profile", "day_type", "work_regime.household_work_regime", "work_regime.weekday_daytime_occupancy_level",
+        "family.household_id", F.col("weather.year").alias("weather_year"),
+    )
+
+
 _FILE_OF_ORDER = f"""
   'f' || CASE WHEN o_orderkey % 70 < 10 THEN '0' ELSE '' END || (o_orderkey % 70) || '_work01_s3var' ||
   lpad(CAST(o_orderkey % 9 AS VARCHAR), 2, '0') || '_' || {season_sql("o_orderdate")} || '_' ||

@@ -34,26 +34,19 @@ def read_documents(
 
     An object counts as a list of one. A field of the wrong type is null, so
     the rules can report it; a file that is not exactly one JSON value drops
-    out as a whole. ``pattern`` filters file names, ``source_column`` adds the
+    out as a whole. Each file is read once. ``pattern`` filters file names, ``source_column`` adds the
     name of the file a row came from.
     """
     if not paths:
         return spark.createDataFrame([], schema)
-    paths = paths if isinstance(paths, str) else list(paths)
-    reader = spark.read.schema(f"{schema}, _corrupt_record STRING").options(multiLine=True, **schemas.ANY_LENGTH)
-    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-    whole = spark.read
-    if pattern:
-        reader, whole = reader.option("pathGlobFilter", pattern), whole.option("pathGlobFilter", pattern)
-    df = reader.json(paths).withColumn("_path", F.col("_metadata.file_path"))
-    # the reader stops at the end of the first value; what follows it is looked at here
-    broken = whole.text(paths, wholetext=True).where(~text.is_json(F.col("value")))
-    df = df.join(broken.select(F.col("_metadata.file_path").alias("_path")), "_path", "left_anti")
+    whole = spark.read.option("pathGlobFilter", pattern) if pattern else spark.read
+    files = whole.text(paths if isinstance(paths, str) else list(paths), wholetext=True)
+    good = files.where(text.is_json(F.col("value"))).select(F.col("_metadata.file_path").alias("_path"), "value")
+    listed = F.from_json("value", schemas.array_of(schema), schemas.ANY_LENGTH)  # an object alone is a list of one
+    df = good.select("_path", F.explode(F.filter(listed, lambda d: d.isNotNull())).alias("_doc"))
     if source_column:
-        df = df.withColumn(source_column, keys.file_name(F.col("_path")))
-    fields = [c for c in df.columns if c not in ("_corrupt_record", "_path", source_column)]
-    something = F.coalesce(*[F.when(F.col(c).isNotNull(), True) for c in fields], F.lit(False))
-    return df.where(F.col("_corrupt_record").isNull() | something).drop("_corrupt_record", "_path")
+        return df.select("_doc.*", keys.file_name(F.col("_path")).alias(source_column))
+    return df.select("_doc.*")
 
 
 def families(spark: SparkSession, paths: Paths, **kw) -> DataFrame:
