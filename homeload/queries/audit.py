@@ -11,7 +11,7 @@ from homeload.operators.rules import consumption, core, families, weather
 from homeload.plans import audit as plan
 from homeload.plans import requests
 from homeload.queries.registry import query
-from homeload.queries.tables import HOURLY_SQL, choose, hourly_weather, season_sql, spread, sql_choose, table
+from homeload.queries.tables import HOURLY_SQL, choose, hourly_weather, season_sql, sql_choose, table
 from homeload.queries.weather import D, slots_sql
 
 # --- families -----------------------------------------------------------------
@@ -103,7 +103,7 @@ findings AS (SELECT k AS c_custkey, split_part(hit, '|', 1) AS rule_id, split_pa
 
 @query(f"WITH {FAMILY_SQL} SELECT * FROM findings")
 def household_rules(spark, sf_dir):
-    docs = family_docs(spread(table(spark, sf_dir, "customer")))
+    docs = family_docs(table(spark, sf_dir, "customer"))
     return plan.family_findings(docs, ["c_custkey"]).drop("detail")
 
 
@@ -123,7 +123,7 @@ SELECT c.c_custkey, coalesce(auditors_high, 0) AS auditors_high, coalesce(audito
             WHEN auditors_medium = 1 THEN 'REGENERATE_PARTIAL' ELSE 'ACCEPT' END AS decision
 FROM customer c LEFT JOIN doc USING (c_custkey)""")
 def family_audit(spark, sf_dir):
-    docs = family_docs(spread(table(spark, sf_dir, "customer")))
+    docs = family_docs(table(spark, sf_dir, "customer"))
     found = plan.family_findings(docs, ["c_custkey"])
     return plan.audit(docs, found, ["c_custkey"], "stage1_family")[1]
 
@@ -307,7 +307,7 @@ hits AS (SELECT k, unnest([
   FROM doc JOIN days USING (k) JOIN s USING (k) JOIN hv USING (k) JOIN longest USING (k))
 SELECT k AS c_custkey, split_part(hit, '|', 1) AS rule_id, split_part(hit, '|', 2) AS severity FROM hits WHERE hit IS NOT NULL""")
 def consumption_rules(spark, sf_dir):
-    docs = consumption_day_docs(spread(table(spark, sf_dir, "customer")))
+    docs = consumption_day_docs(table(spark, sf_dir, "customer"))
     found = plan.consumption_findings(docs, ["c_custkey"], vocabulary=ACTIONS[:-1])
     return found.select("c_custkey", "rule_id", "severity")
 
@@ -345,7 +345,7 @@ r AS (SELECT k, bool_or(span = 3 AND low >= 30 AND n > 0 AND cool <= 0) AS c, bo
 hits AS (SELECT k, unnest([CASE WHEN c THEN 'VAL33.cooling' END, CASE WHEN hh THEN 'VAL33.heating' END, CASE WHEN e > 0 AND e >= o * 0.7 THEN 'VAL34' END]) AS rule_id FROM r)
 SELECT k AS c_custkey, rule_id, 'HIGH' AS severity FROM hits WHERE rule_id IS NOT NULL""")
 def hvac_style_rule(spark, sf_dir):
-    docs = consumption_day_docs(spread(table(spark, sf_dir, "customer")))
+    docs = consumption_day_docs(table(spark, sf_dir, "customer"))
     temp = F.transform(
         F.sequence(F.lit(0), F.lit(23)), lambda h: F.col("n_nationkey") * 2.5 - 12 - F.abs(13 - h) * 0.5
     )

@@ -141,10 +141,11 @@ day AS (SELECT l_orderkey AS task, max(l_shipdate) AS newest FROM lineitem WHERE
 seen AS (SELECT max(l_shipdate) AS last_day FROM lineitem)
 SELECT outc.*, status = 'open' AND epoch(last_day) - {_LATE} * 86400 > epoch(newest) + {int(_STALL * 86400)} AS stalled FROM outc JOIN day USING (task), seen""")
 def stream_attempt_replay(spark, sf_dir):
-    """Attempts arrive by year, out of order within and across years by up to two months; open tasks stall after four."""
-    attempts, turns = timed_attempts(spark, sf_dir), 8
+    """Attempts arrive two years at a time, out of order within and across turns by up to two months; open tasks stall after four."""
+    attempts, turns = timed_attempts(spark, sf_dir), 4
     source, out, checkpoint = (shared_folder(spark, f"attempts-{n}") for n in ("events", "outcomes", "state"))
-    arrival = F.year(F.date_add(F.col("at").cast("date"), (F.pmod(F.xxhash64("task", "attempt"), F.lit(_LATE - 1))).cast("int"))) - 1992
+    seen = F.date_add(F.col("at").cast("date"), F.pmod(F.xxhash64("task", "attempt"), F.lit(_LATE - 1)).cast("int"))
+    arrival = F.floor((F.year(seen) - 1992) / 2).cast("int")
     _in_turns(spark, attempts, F.greatest(F.lit(0), F.least(F.lit(turns - 1), arrival)), turns, ["task"], source)
     stream = spark.readStream.schema(attempts.schema).option("maxFilesPerTrigger", _FILES).parquet(source)
     found = live_attempts.outcomes(stream, ["task"], "at", f"{_LATE} days", int(_STALL * 86_400_000))

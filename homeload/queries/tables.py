@@ -12,15 +12,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give compute-heavy work on a small table one partition per core.
-
-    Tables with enough partitions stay as they are, so nothing is shuffled at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def choose(index: Column, values) -> Column:
     """``values[index % len]`` of a non-negative integer column."""
     return F.element_at(F.array(*[F.lit(v) for v in values]), (F.pmod(index, F.lit(len(values))) + 1).cast("int"))

@@ -88,7 +88,7 @@ def write_items(df: DataFrame, path: str, keys: Sequence[str], batch: int, bucke
         same = same & old[k].eqNullSafe(new[f"new_{i}"])
     whole = old.join(new, same, "left_anti").unionByName(fresh)
     # rows of a bucket lie together, a large bucket over several files
-    whole.repartition("bucket", F.pmod(F.xxhash64(*keys, F.lit(1)), F.lit(8))).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/data/batch={batch}")
+    whole.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/data/batch={batch}")
     done = spark.createDataFrame([(b, list(keys)) for b in touched], "bucket INT, keys ARRAY<STRING>")
     done.coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/batch={batch}")
 

@@ -27,8 +27,8 @@ def write_seasonal_files(profile: DataFrame, path: str) -> None:
 
 
 def write_sequence(sequence: DataFrame, path: str) -> None:
-    """Dated profiles as JSON, one folder per date."""
-    sequence.write.mode("overwrite").partitionBy("date").json(path)
+    """Dated profiles as JSON, one folder per date; rows of a date lie together."""
+    sequence.hint("rebalance", "date").write.mode("overwrite").partitionBy("date").json(path)
 
 
 def write_statistics(report: DataFrame, path: str) -> None:
