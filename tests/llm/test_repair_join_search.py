@@ -148,7 +148,7 @@ def near_rows():
     return rows
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 30, 20_000, 3_000])
+@pytest.mark.parametrize("block_bytes", [1 << 30, 3_000])
 def test_components_of_ngram_links(spark, near_rows, block_bytes):
     df = spark.createDataFrame([(*r, 1, "n") for r in near_rows], "doc_id long, text string, n int, node string").repartition(6)
     assert joined(df, block_bytes=block_bytes) == plain_components(near_rows)
