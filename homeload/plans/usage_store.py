@@ -33,12 +33,13 @@ def add_calls(calls: DataFrame, roles: Sequence[Sequence], folder: str, load: in
     own = known.groupBy("day", F.col("member_role").alias("role"), F.col("member_model").alias("model")).agg(*u.measures())
     own = own.select(*[F.col(f.name).cast(f.dataType) for f in item_store.schema_of(SUMS)]).persist()
     try:
-        before = item_store.matching_items(own, sums, KEYS, own.schema, before=load)
+        touched = item_store.touched_buckets(own, sums, KEYS)
+        before = item_store.matching_items(own, sums, KEYS, own.schema, before=load, touched=touched)
         names = {k: f"own_{k}" for k in KEYS}
         keys = own.select(*[F.col(k).alias(n) for k, n in names.items()])
         before = before.join(keys, [before[k].eqNullSafe(keys[n]) for k, n in names.items()], "left_semi")
         whole = own.unionByName(before).groupBy(*KEYS).agg(*[F.sum(m).alias(m) for m in u.MEASURES])
-        item_store.write_items(whole.select(*own.columns), sums, KEYS, load)
+        item_store.write_items(whole.select(*own.columns), sums, KEYS, load, touched=touched)
     finally:
         own.unpersist()
 

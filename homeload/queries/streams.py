@@ -125,7 +125,7 @@ def stream_log_pairing(spark, sf_dir):
         source, out, state, checkpoint = (shared_folder(spark, f"pairing-{n}") for n in ("events", "calls", "last", "state"))
         _in_turns(spark, events, F.expr(f"turn * {turns} div 8"), turns, ["conv_id"], source)
         stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", _FILES).parquet(source)
-        pairing.paired_calls(stream, out, state, checkpoint, ["conv_id"], ["turn"], ["block"], u.MODELS)
+        pairing.paired_calls(stream, out, state, checkpoint, ["conv_id"], ["turn"], ["block"], u.MODELS, buckets=_FILES)
         own = spark.read.parquet(out).select(F.lit(turns).alias("turns"), "conv_id", "turn", "model", "chars")
         found = own if found is None else found.unionByName(own)
     return found

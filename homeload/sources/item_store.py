@@ -65,19 +65,30 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, chosen: dict[int
     return spark.read.schema(own).option("basePath", path + "/data").parquet(*folders).select(*schema.names, "bucket")
 
 
-def write_items(df: DataFrame, path: str, keys: Sequence[str], batch: int, buckets: int | None = None) -> None:
+def touched_buckets(df: DataFrame, path: str, keys: Sequence[str], buckets: int | None = None) -> list[int]:
+    """Buckets that the keys of ``df`` fall in; ``buckets`` is their number in a store that is new."""
+    number = _bucket_number(df.sparkSession, path, buckets)
+    return [r.b for r in df.select(bucket_of(keys, number).alias("b")).distinct().collect()]
+
+
+def write_items(
+    df: DataFrame, path: str, keys: Sequence[str], batch: int, buckets: int | None = None, touched: Sequence[int] | None = None
+) -> None:
     """Put the items of ``df`` in the store in place of those with equal ``keys``; all other items stay.
 
     An item may be several rows of one key: they come and go together. ``batch``
     orders writes; the same number again replaces that write. An empty ``df``
     changes nothing. Columns named ``bucket`` or ``batch`` are the store's own.
+    ``touched``, where the caller has the buckets of all keys of ``df``, saves
+    a pass over ``df``.
     """
     if {"bucket", "batch"} & set(df.columns):
         raise ValueError("bucket and batch are columns of the store")
     spark = df.sparkSession
     number = _bucket_number(spark, path, buckets)
     fresh = df.withColumn("bucket", bucket_of(keys, number))
-    touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]
+    if touched is None:
+        touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]
     if not touched:
         return
     before = {b: n for b, n in versions(spark, path, batch).items() if b in set(touched)}
@@ -102,14 +113,15 @@ def read_items(spark: SparkSession, path: str, schema: T.StructType | str, only:
     return _read(spark, path, schema, chosen).drop("bucket")
 
 
-def matching_items(df: DataFrame, path: str, keys: Sequence[str], schema: T.StructType, before: int | None = None) -> DataFrame:
+def matching_items(
+    df: DataFrame, path: str, keys: Sequence[str], schema: T.StructType, before: int | None = None, touched: Sequence[int] | None = None
+) -> DataFrame:
     """The stored items in the buckets that the keys of ``df`` fall in: what a join with ``df`` can need.
 
-    ``before`` reads the state that batch number started from.
+    ``before`` reads the state that batch number started from; ``touched`` is as in ``write_items``.
     """
     spark = df.sparkSession
-    number = _bucket_number(spark, path, None)
-    touched = {r.b for r in df.select(bucket_of(keys, number).alias("b")).distinct().collect()}
+    touched = set(touched_buckets(df, path, keys) if touched is None else touched)
     return _read(spark, path, schema, {b: n for b, n in versions(spark, path, before).items() if b in touched}).drop("bucket")
 
 

@@ -13,7 +13,8 @@ from homeload.sources import item_store
 
 
 def pair_batch(
-    batch: DataFrame, number: int, state: str, group: Sequence[str], order: Sequence[str], levels: Sequence[str], known: Sequence[str]
+    batch: DataFrame, number: int, state: str, group: Sequence[str], order: Sequence[str], levels: Sequence[str], known: Sequence[str],
+    buckets: int | None = None,
 ) -> DataFrame:
     """Completions of one micro-batch, each with the model of the event before it, which an earlier batch may have brought.
 
@@ -22,20 +23,23 @@ def pair_batch(
     it, and puts the new last events in their place. The lines of a log must
     arrive in ``order`` over batches, as an appended log does; within a batch
     any order will do. A batch that is run again gives the same rows.
+    ``buckets`` is the number of buckets of a new store.
     """
     events = batch.select(*dict.fromkeys([*group, *order, *levels, "model", *[c for c in ("chars", "seconds") if c in batch.columns]]))
-    before = item_store.matching_items(events, state, group, events.schema, before=number)
+    touched = item_store.touched_buckets(events, state, group, buckets)
+    before = item_store.matching_items(events, state, group, events.schema, before=number, touched=touched)
     logs = events.select(*group).distinct()
     same = [before[g].eqNullSafe(logs[g]) for g in group]
     before = before.join(logs, same, "left_semi")
     rows = events.withColumn("fresh", F.lit(True)).unionByName(before.withColumn("fresh", F.lit(False)))
     paired = usage.pair_events(rows, group, order, levels, known).where("fresh").drop("fresh")
-    item_store.write_items(ordered.latest(rows.drop("fresh"), group, order), state, group, number)
+    item_store.write_items(ordered.latest(rows.drop("fresh"), group, order), state, group, number, touched=touched)
     return paired
 
 
 def paired_calls(
-    events: DataFrame, out: str, state: str, checkpoint: str, group: Sequence[str], order: Sequence[str], levels: Sequence[str], known: Sequence[str]
+    events: DataFrame, out: str, state: str, checkpoint: str, group: Sequence[str], order: Sequence[str], levels: Sequence[str], known: Sequence[str],
+    buckets: int | None = None,
 ):
     """Run a stream of ``usage.log_events`` over what is there; finished calls land in ``out``, a folder per batch.
 
@@ -45,7 +49,7 @@ def paired_calls(
     def write(batch: DataFrame, number: int) -> None:
         held = batch.persist()
         try:
-            pair_batch(held, number, state, group, order, levels, known).write.mode("overwrite").parquet(f"{out}/batch={number}")
+            pair_batch(held, number, state, group, order, levels, known, buckets).write.mode("overwrite").parquet(f"{out}/batch={number}")
         finally:
             held.unpersist()
 
