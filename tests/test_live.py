@@ -92,3 +92,31 @@ def test_an_earlier_acceptance_replaces_a_later_one(spark, tmp_path):
         stream = attempts.outcomes(spark.readStream.schema(schema).parquet(source), ["task"], "at", "30 days", 86_400_000)
         usage.run_available(stream, out, state, "update")
     assert [tuple(r)[1:4] for r in attempts.newest_outcomes(spark, out, stream.schema, ["task"]).collect()] == [("accepted", 2, "o2")]
+
+
+@pytest.mark.parametrize("groups", [1, 512])
+def test_machines_of_a_group_advance_together(spark, tmp_path, groups):
+    """Python is called for groups of tasks; the machines stay apart, whatever the group, null keys among them."""
+    schema = "run STRING, task LONG, attempt INT, readable BOOLEAN, decision STRING, edit_decision STRING, edit_readable BOOLEAN, output STRING, edited_output STRING, at TIMESTAMP"
+    day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+    row = lambda run, task, attempt, decision, n: (run, task, attempt, True, decision, None, None, f"{task}/{attempt}" if attempt < 3 else None, None, day(n))
+    big = 2**53 + 1
+    turns = [
+        [row("a", i, 1, "ACCEPT" if i % 2 else "REGENERATE_FULL", 0) for i in range(40)] + [row(None, big, 2, "ACCEPT", 30), row(None, big + 1, 1, "UNSURE", 30), row("a", None, 3, "ACCEPT", 30)],
+        [row(None, big, 1, "ACCEPT", 29), row("a", 2, 2, "ACCEPT", 30), row("a", 4, 3, "UNSURE", 30)],
+        [row("b", 1, 1, "ACCEPT", 60)],
+    ]
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    for rows in turns:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        found = attempts.outcomes(spark.readStream.schema(schema).parquet(source), ["run", "task"], "at", "20 days", 5 * 86_400_000, groups=groups)
+        usage.run_available(found, out, state, "update")
+    got = {(r.run, r.task): tuple(r)[2:] for r in attempts.newest_outcomes(spark, out, found.schema, ["run", "task"]).collect()}
+    want = {("a", i): ("accepted", 1, f"{i}/1", False) if i % 2 else ("open", 1, None, True) for i in range(40)}
+    assert got == want | {
+        (None, big): ("accepted", 1, f"{big}/1", False), (None, big + 1): ("open", 1, None, True), ("a", None): ("accepted", 3, None, False),
+        ("a", 2): ("accepted", 2, "2/2", False), ("a", 4): ("failed", 3, None, False), ("b", 1): ("accepted", 1, "1/1", False),
+    }
+    rows = spark.read.parquet(out)
+    assert rows.where("run = 'a' AND task = 6").count() == 2  # open, then stalled, each told once
+    assert rows.where("run = 'a' AND task = 1").count() == 1
