@@ -11,7 +11,7 @@ from homeload.operators.rules import consumption, core, families, weather
 from homeload.plans import audit as plan
 from homeload.plans import requests
 from homeload.queries.registry import query
-from homeload.queries.tables import HOURLY_SQL, choose, hourly_weather, season_sql, sql_choose, table
+from homeload.queries.tables import HOURLY_SQL, choose, hourly_weather, season_sql, spread, sql_choose, table
 from homeload.queries.weather import D, slots_sql
 
 # --- families -----------------------------------------------------------------
@@ -226,10 +226,13 @@ def season_coverage(spark, sf_dir):
 ACTIONS = ("Sleeping", "Cooking", "Watching-TV", "At-school", "Commuting", "Working", "Eating out")
 DAY_TYPES = ("weekday", "weekend", "holiday")
 SEASONS_GIVEN = (*SEASONS, "Monsoon", None)
+#: Days a task builds and checks, at about 1.5 ms each.
+DAYS_A_TASK = 2000
 
 
 def consumption_day_docs(c):
     """Customers as consumption days with one to three members of 24 hours."""
+    c = spread(c, DAYS_A_TASK)
     k = F.col("c_custkey")
     hours = F.when(k % 17 == 0, F.sequence(F.lit(0), F.lit(22))).otherwise(F.sequence(F.lit(0), F.lit(23)))
 

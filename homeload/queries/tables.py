@@ -12,6 +12,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` dealt evenly over tasks of about ``rows`` rows, for rows that take long to work on.
+
+    A small file is one task otherwise, however much work its rows are. The
+    number of tasks follows the number of rows, so compact rows should come in.
+    """
+    return df.repartition(max(1, -(-df.count() // rows)))
+
+
 def choose(index: Column, values) -> Column:
     """``values[index % len]`` of a non-negative integer column."""
     return F.element_at(F.array(*[F.lit(v) for v in values]), (F.pmod(index, F.lit(len(values))) + 1).cast("int"))

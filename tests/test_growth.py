@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from homeload import dims
 from homeload.operators import alignment, periods, pruning
 from homeload.plans import usage, usage_store
+from homeload.queries.audit import DAYS_A_TASK, consumption_day_docs
 from homeload.session import shared_folder
 
 # --- anti-join ------------------------------------------------------------------
@@ -79,6 +80,15 @@ def test_dates_meet_all_their_periods_once(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "__bin" in plan
 
 
+def test_days_are_dealt_by_their_number(spark):
+    """A small table of customers is one task; the days made of them are not."""
+    c = spark.range(4500).selectExpr("if(id % 9 = 0, 7, id) AS c_custkey", "id % 25 AS c_nationkey", "concat('c', id) AS c_name").coalesce(1)
+    docs = consumption_day_docs(c)
+    sizes = [r["count"] for r in docs.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 4500 and len(sizes) == 3 and max(sizes) <= DAYS_A_TASK
+    assert consumption_day_docs(c.where("false")).count() == 0
+
+
 # --- diffs ----------------------------------------------------------------------
 
 
