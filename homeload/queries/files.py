@@ -101,15 +101,10 @@ SELECT s AS split_bytes, CAST(event_id AS VARCHAR) AS id, {sql_choose('event_id'
 FROM ({_READABLE}), (SELECT unnest({list(SPLITS)}) AS s), (SELECT 'line' || chr(10) || 'break ]' AS response)""")
 def call_log_split(spark, sf_dir):
     """Logs read in splits of three sizes; every size gives the rows of the whole logs."""
-    folder, conf, out = shared_folder(spark, "call-logs"), "spark.sql.files.maxPartitionBytes", []
+    folder, out = shared_folder(spark, "call-logs"), []
     _call_logs(spark, sf_dir, folder)
-    before = spark.conf.get(conf)
     for size in SPLITS:
-        spark.conf.set(conf, size)
-        try:
-            calls = split_logs.read_split_logs(spark, folder)
-        finally:
-            spark.conf.set(conf, before)
+        calls = split_logs.read_split_logs(spark, folder, size)
         out.append(calls.select(F.lit(size).alias("split_bytes"), "id", "model", "response", F.col("tokens.input").alias("tokens_in")))
     return out[0].unionByName(out[1]).unionByName(out[2])
 

@@ -25,6 +25,9 @@ from homeload.sources.call_logs import Paths
 
 CLOSE = "}"
 SPLIT = ("log_file", "block")
+SIZE = "spark.sql.files.maxPartitionBytes"
+#: Bytes a task reads at least, in as many splits as they are.
+TASK_BYTES = 8 << 20
 _WS = r"[ \t\r\n]*"
 
 
@@ -38,18 +41,22 @@ def _depth_change(parts: Column, odd: int) -> Column:
     return _count(outside, "[{") - _count(outside, "]}")
 
 
-def fragments(spark: SparkSession, paths: Paths) -> DataFrame:
+def fragments(spark: SparkSession, paths: Paths, split_bytes: int | None = None) -> DataFrame:
     """``log_file, block, row, value`` with the map of each fragment.
 
     ``quotes`` is 1 where the fragment changes between inside and outside of a
     string; ``outside`` and ``inside`` are its change of depth, its closing
-    brace not counted, if it begins there.
+    brace not counted, if it begins there. Small splits, of ``split_bytes`` as
+    the session has it now, share a task, one after another.
     """
     raw = spark.read.option("lineSep", CLOSE).text(paths if isinstance(paths, str) else list(paths))
     rows = raw.select(
         F.col("_metadata.file_path").alias("log_file"), F.col("_metadata.file_block_start").alias("block"),
-        F.col("_metadata.file_size").alias("file_size"), F.monotonically_increasing_id().alias("row"), "value",
+        F.col("_metadata.file_size").alias("file_size"), "value",
     )
+    if split_bytes is not None and split_bytes < TASK_BYTES:
+        rows = rows.coalesce(max(1, -(-rows.rdd.getNumPartitions() * split_bytes // TASK_BYTES)))
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
     parts = F.split(F.regexp_replace("value", r"(?s)\\.", ""), '"', -1)
     rows = rows.withColumn("parts", parts)
     return rows.select(
@@ -86,12 +93,23 @@ def _split_starts(rows: DataFrame) -> DataFrame:
     )
 
 
-def entries(spark: SparkSession, paths: Paths) -> DataFrame:
+def _written_fragments(spark: SparkSession, paths: Paths, split_bytes: int | None) -> DataFrame:
+    """Fragments with the map of their split; only the logs are read in splits of ``split_bytes``, not what comes of them."""
+    before = spark.conf.get(SIZE)
+    try:
+        if split_bytes is not None:
+            spark.conf.set(SIZE, split_bytes)
+        return written(_in_split(fragments(spark, paths, split_bytes)), "log-fragments")
+    finally:
+        spark.conf.set(SIZE, before)
+
+
+def entries(spark: SparkSession, paths: Paths, split_bytes: int | None = None) -> DataFrame:
     """``log_file, closed, body``: every entry with what separates it from the one before, and the rest behind the last one.
 
     ``closed`` tells entries from the rest.
     """
-    rows = written(_in_split(fragments(spark, paths)), "log-fragments")
+    rows = _written_fragments(spark, paths, split_bytes)
     placed = rows.join(_split_starts(rows), list(SPLIT))
     ends_outside = (F.col("in_string") + F.col("flips")) % 2 == 0
     depth = F.col("depth") + F.when(F.col("in_string") == 0, F.col("depth_outside")).otherwise(F.col("depth_inside"))
@@ -114,16 +132,17 @@ def entries(spark: SparkSession, paths: Paths) -> DataFrame:
     return whole.select("log_file", F.col("entry").isNotNull().alias("closed"), "body")
 
 
-def read_split_logs(spark: SparkSession, paths: Paths) -> DataFrame:
+def read_split_logs(spark: SparkSession, paths: Paths, split_bytes: int | None = None) -> DataFrame:
     """One row per call of all logs, with ``log_file``: the rows of ``call_logs.read_call_logs``, whatever a log's size.
 
     A log is a JSON array of objects, whole or cut off between two of them, and
-    gives no rows if any part of it is something else. Splits are as large as
-    ``spark.sql.files.maxPartitionBytes``; a compressed log cannot be split. The
+    gives no rows if any part of it is something else. Splits are of
+    ``split_bytes``, else as large as ``spark.sql.files.maxPartitionBytes`` says;
+    a compressed log cannot be split. The
     text passes through ``spark.checkpoint.dir`` twice, as fragments and as
     entries.
     """
-    found = entries(spark, paths)
+    found = entries(spark, paths, split_bytes)
     lead = F.col("body").rlike(rf"^(\s*\[|{_WS},){_WS}\{{")
     value = F.substr("body", F.instr("body", "{"))
     rest = F.col("body").rlike(rf"^(\s*|{_WS},\s*|{_WS}\]\s*)\z")

@@ -70,3 +70,19 @@ def test_strings_of_any_length(spark, tmp_path):
     answer = spark.read.text(str(tmp_path), wholetext=True)
     parsed = requests.parse_answers(answer.selectExpr("substr(value, 2, length(value) - 14) AS a"), "a", "id STRING, response STRING")
     assert parsed.selectExpr("length(parsed.response)").first()[0] == len(long)
+
+
+@pytest.mark.parametrize("size", [5, 64])
+def test_small_splits_share_a_task(spark, folder, size):
+    """The rows stay those of whole logs, and only the logs are read in small splits."""
+    before, few = spark.conf.get(CONF), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    try:
+        assert rows(split_logs.read_split_logs(spark, str(folder), size)) == rows(call_logs.read_call_logs(spark, str(folder)))
+        assert spark.conf.get(CONF) == before
+        spark.conf.set(CONF, size)
+        found = split_logs.fragments(spark, str(folder), size)
+        assert found.select("log_file", "block").distinct().count() > len(LOGS) and found.rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set(CONF, before)
+        spark.conf.set("spark.sql.files.openCostInBytes", few)
