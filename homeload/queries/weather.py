@@ -350,8 +350,15 @@ def period_join(spark, sf_dir):
         F.when(F.col("o_orderkey") % 97 > 0, F.date_add(start, (F.col("o_orderkey") % 9 - 1).cast("int"))).alias("valid_to"),
     )
     facts = table(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 60).alias("code"), F.to_date("l_shipdate").alias("day"))
-    return intervals.period_join(facts, periods, "code", "day").groupBy("code", F.year("day").alias("year")).agg(
-        F.count("*").alias("rows"), F.count("o_orderkey").alias("hits"), F.coalesce(F.sum(F.col("o_orderkey") % 1000), F.lit(0)).alias("checked")
+    # equal facts meet the same periods and equal periods the same facts: each meets once, with its number
+    dates = facts.groupBy("code", "day").agg(F.count("*").alias("facts"))
+    spans = periods.groupBy("code", "valid_from", "valid_to").agg(
+        F.count("*").alias("periods"), F.count("o_orderkey").alias("orders"), F.sum(F.col("o_orderkey") % 1000).alias("checked")
+    )
+    times = lambda c: F.sum(F.col("facts") * c)
+    return intervals.period_join(dates, spans, "code", "day").groupBy("code", F.year("day").alias("year")).agg(
+        times(F.coalesce("periods", F.lit(1))).alias("rows"), times(F.coalesce("orders", F.lit(0))).alias("hits"),
+        F.coalesce(times(F.col("checked")), F.lit(0)).alias("checked"),
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from homeload import dims
 from homeload.operators import alignment, periods, pruning
 from homeload.plans import usage, usage_store
+from homeload.queries import QUERIES
 from homeload.queries.audit import DAYS_A_TASK, consumption_day_docs
 from homeload.session import shared_folder
 
@@ -80,6 +81,30 @@ def test_dates_meet_all_their_periods_once(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "__bin" in plan
 
 
+def test_equal_dates_and_equal_periods_meet_once(spark, tmp_path):
+    """The registered query joins distinct dates with distinct periods and counts as if each row met each."""
+    at = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+    orders = [(97, 1, at(0)), (97, 1, at(0)), (9, 1, at(3)), (14, 51, at(3)), (None, 1, at(5)), (16, None, at(2)), (17, 2, None), (194, 2, at(8))]
+    lines = [(s, at(d) if d is not None else None) for s in (1, 61, 2, None) for d in (0, 3, 3, 4, 9, None)]
+    spark.createDataFrame(orders, "o_orderkey LONG, o_custkey LONG, o_orderdate TIMESTAMP_NTZ").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame(lines, "l_suppkey LONG, l_shipdate TIMESTAMP_NTZ").write.parquet(str(tmp_path / "lineitem.parquet"))
+    want = {}
+    for s, day in lines:
+        met = []
+        for o, c, start in orders:
+            span = dt.timedelta(days=o % 9 - 1) if o is not None and o % 97 else None
+            if None not in (s, day, c) and c % 50 == s % 60 and (start is None or start <= day) and (span is None or start is None or day <= start + span):
+                met.append(o)
+        row = want.setdefault((None if s is None else s % 60, day and day.year), [0, 0, 0])
+        row[0] += max(1, len(met))
+        row[1] += sum(o is not None for o in met)
+        row[2] += sum((o or 0) % 1000 for o in met)
+    found = QUERIES["period_join"](spark, str(tmp_path))
+    assert {(r.code, r.year): [r["rows"], r.hits, r.checked] for r in found.collect()} == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan[plan.index("Join ") :].count("Aggregate [") == 2
+
+
 def test_days_are_dealt_by_their_number(spark):
     """A small table of customers is one task; the days made of them are not."""
     c = spark.range(4500).selectExpr("if(id % 9 = 0, 7, id) AS c_custkey", "id % 25 AS c_nationkey", "concat('c', id) AS c_name").coalesce(1)
