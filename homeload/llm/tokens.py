@@ -5,7 +5,8 @@ the ids of its white-space-separated words in order. Words repeat far more
 often than texts, so each distinct word is worked out once per worker. Words of
 plain Latin letters, digits and signs are cut into the tokenizer's own pieces
 here and only the merging of those is left to the library; every other word
-goes through the library's whole chain.
+goes through the library's whole chain. A word of plain ASCII letters is a
+piece, lower-cased, and is remembered as that alone.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ SLICE_BYTES = 2 << 20
 #: Fixed value: how the tokenizer file cuts lower-cased text, for the letters below.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+|\n"
 PLAIN = r"^[!-~À-ÖØ-öø-ÿ]*$"
+LETTERS = r"^[A-Za-z]+$"
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -52,6 +54,11 @@ class Table:
         self.flat = np.concatenate([self.flat, ids.astype(np.int32)])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
 
+    def find(self, keys: list[str]) -> np.ndarray:
+        """Places of ``keys``, -1 for unknown ones."""
+        get = self.place.get
+        return np.array([get(k, -1) for k in keys], np.int64)
+
     def gather(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         size = self.starts[index + 1] - self.starts[index]
         ends = np.cumsum(size)
@@ -78,10 +85,13 @@ class WordEncoder:
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.words, self.pieces = Table(), Table()
 
-    def learn_pieces(self, pieces: list[str]) -> None:
-        new = list(dict.fromkeys(p for p in pieces if p not in self.pieces.place))
-        if not new:
-            return
+    def learn_pieces(self, pieces: list[str]) -> np.ndarray:
+        """Places of ``pieces`` in ``self.pieces``."""
+        found = self.pieces.find(pieces)
+        lacking = np.flatnonzero(found < 0).tolist()
+        if not lacking:
+            return found
+        new = list(dict.fromkeys([pieces[i] for i in lacking]))
         lines = " ".join(new).translate(self.written).split(" ")
         texts = [" ".join(lines[i : i + 2000]) for i in range(0, len(lines), 2000)]
         ids = np.concatenate([np.array(e.ids, np.int64) for e in self.merges.encode_batch_fast(texts, add_special_tokens=False)])
@@ -89,44 +99,66 @@ class WordEncoder:
         if len(ends) != len(new):
             raise ValueError("the tokenizer file does not close each piece with one word end")
         self.pieces.add(new, ids, np.diff(ends, prepend=0))
+        found[lacking] = self.pieces.find([pieces[i] for i in lacking])
+        return found
 
-    def learn(self, words: pa.Array) -> np.ndarray:
+    def learn_words(self, words: pa.Array) -> np.ndarray:
         """Places of distinct words in ``self.words``."""
         if len(self.words.place) > KNOWN_WORDS:
             self.words = Table()
-        if len(self.pieces.place) > KNOWN_PIECES:
-            self.pieces = Table()
         every = words.to_numpy(zero_copy_only=False).tolist()
-        known = self.words.place
-        fresh = np.fromiter((w not in known for w in every), bool, len(every))
-        if fresh.any():
-            words = words.filter(pa.array(fresh))
-            plain = pc.match_substring_regex(words, PLAIN)
-            for s in self.special:
-                plain = pc.and_(plain, pc.invert(pc.match_substring(words, s)))
+        found = self.words.find(every)
+        lacking = found < 0
+        if lacking.any():
+            words = words.filter(pa.array(lacking))
+            plain = pc.and_(pc.match_substring_regex(words, PLAIN), self.unmarked(words))
             fast, slow = words.filter(plain).to_numpy(zero_copy_only=False).tolist(), words.filter(pc.invert(plain)).to_pylist()
             if fast:
-                found = re.findall(PIECES, "\n".join(fast).lower() + "\n")
-                ends = [i for i, p in enumerate(found) if p == "\n"]
-                self.learn_pieces([p for p in found if p != "\n"])
-                place = self.pieces.place
-                ids, size = self.pieces.gather(np.fromiter((place[p] for p in found if p != "\n"), np.int64, len(found) - len(ends)))
+                parts = re.findall(PIECES, "\n".join(fast).lower() + "\n")
+                ends = [i for i, p in enumerate(parts) if p == "\n"]
+                ids, size = self.pieces.gather(self.learn_pieces([p for p in parts if p != "\n"]))
                 upto = np.concatenate([[0], np.cumsum(size)])
                 self.words.add(fast, ids, np.diff(upto[np.array(ends) - np.arange(len(ends))], prepend=0))
             if slow:
                 lists = [e.ids for e in self.whole.encode_batch_fast(slow, add_special_tokens=False)]
                 lengths = np.fromiter(map(len, lists), np.int64, len(lists))
                 self.words.add(slow, np.fromiter((i for x in lists for i in x), np.int64, lengths.sum()), lengths)
-        return np.fromiter(map(self.words.place.__getitem__, every), np.int64, len(every))
+            found = self.words.find(every)
+        return found
+
+    def unmarked(self, words: pa.Array) -> pa.Array:
+        """Whether words hold none of the tokenizer's added tokens."""
+        out = pa.array(np.ones(len(words), bool))
+        for s in self.special:
+            out = pc.and_(out, pc.invert(pc.match_substring(words, s)))
+        return out
+
+    def learn(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct words one after another, each word's first place in them and its number of ids."""
+        if len(self.pieces.place) > KNOWN_PIECES:
+            self.pieces = Table()
+        letters = pc.and_(pc.match_substring_regex(words, LETTERS), self.unmarked(words))
+        lowered = pc.ascii_lower(words.filter(letters)).to_numpy(zero_copy_only=False).tolist()
+        place = self.learn_pieces(lowered)
+        one, one_size = self.pieces.gather(place)
+        place = self.learn_words(words.filter(pc.invert(letters)))  # may start a new table
+        more, more_size = self.words.gather(place)
+        is_piece = np.asarray(letters.to_numpy(zero_copy_only=False), bool)
+        begin, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        size[is_piece], size[~is_piece] = one_size, more_size
+        begin[is_piece], begin[~is_piece] = np.cumsum(one_size) - one_size, len(one) + np.cumsum(more_size) - more_size
+        return np.concatenate([one, more]), begin, size
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-        words = split.flatten().filter(pc.not_equal(split.flatten(), ""))
-        full = np.asarray(pc.not_equal(split.flatten(), "").to_numpy(zero_copy_only=False), bool)
+        filled = pc.not_equal(split.flatten(), "")
+        words, full = split.flatten().filter(filled), np.asarray(filled.to_numpy(zero_copy_only=False), bool)
         coded = words.dictionary_encode()
-        place = self.learn(coded.dictionary)
-        ids, size = self.words.gather(place[coded.indices.to_numpy(zero_copy_only=False)] if len(words) else np.zeros(0, np.int64))
+        flat, begin, size = self.learn(coded.dictionary)
+        at = coded.indices.to_numpy(zero_copy_only=False) if len(words) else np.zeros(0, np.int64)
+        size = size[at]
         upto = np.concatenate([[0], np.cumsum(size)])
+        ids = flat[np.arange(upto[-1]) + np.repeat(begin[at] - upto[:-1], size)]
         cuts = np.asarray(split.offsets.to_numpy(), np.int64) - split.offsets[0].as_py()
         return ids, np.diff(upto[np.concatenate([[0], np.cumsum(full)])[cuts]])
 

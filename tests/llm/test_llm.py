@@ -4,6 +4,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from oracle import compare, connect, data_dir
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from homeload.llm import chat, decontaminate, exact_substrings, packing, quality, simhash, stages, substrings, token_files, url_filter, warc
+from homeload.llm import chat, decontaminate, exact_substrings, packing, quality, simhash, stages, substrings, token_files, tokens, url_filter, warc
 from homeload.llm.components import components
 from homeload.llm.queries import ORACLES, QUERIES
 from homeload.llm.shared_keys import NO_ID
@@ -277,3 +278,21 @@ def test_stages_keep_columns_and_clean_documents(spark):
 def test_pipeline_runs_through(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and {"doc_id", "piece", "sequence_id", "offset"} <= set(rows[0].asDict())
+
+
+@pytest.mark.parametrize("known", [0, 5, 10**6])
+def test_ids_stay_those_of_the_library_when_the_memory_starts_over(monkeypatch, known):
+    """Words of letters alone are remembered once, as pieces, in whatever case; tables start over between batches."""
+    monkeypatch.setattr(tokens, "KNOWN_WORDS", known)
+    monkeypatch.setattr(tokens, "KNOWN_PIECES", known)
+    coder, whole = tokens.WordEncoder(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    batches = [
+        ["The the THE don't can't", None, "", "  \n", "Ünïcode straße 漢字 ab12cd !!?"], ["<|endoftext|> x<|startoftext|>y endoftext", "the don't é"],
+        [None, ""], [f"Word{i} wordy{i % 3}! {'qz' * i}" for i in range(30)], ["The don't 漢字 can't 's 's's"],
+    ]
+    for texts in batches * 2:
+        ids, lengths = coder.encode(pa.array(texts, pa.string()))
+        want = [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert lengths.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    if known == 10**6:
+        assert "don't" in coder.words.place and "the" in coder.pieces.place and not {"The", "the", "THE"} & set(coder.words.place)
