@@ -72,7 +72,7 @@ def outcomes(
     """
     ok = F.coalesce(verdict.is_accepted(), F.lit(False))
     final = F.when(F.col("decision") == verdict.ACCEPT, F.col("output")).otherwise(F.col("edited_output"))
-    stamp = F.coalesce(F.unix_millis(F.col(time).cast("timestamp")), F.lit(0))
+    stamp = F.unix_millis(F.col(time).cast("timestamp"))
     names, types = [f"key{i}" for i in range(len(keys))], attempts.select(*keys).schema
     group = F.pmod(F.xxhash64(*keys), F.lit(groups)).alias("group")
     rows = attempts.withWatermark(time, late).where(F.col("attempt") <= max_attempts).select(
@@ -89,8 +89,8 @@ def outcomes(
         seen, accepted = state.getCurrentWatermarkMs(), pc.is_valid(tasks["accepted_at"])
         is_open = pc.and_(pc.invert(accepted), pc.less(tasks["last_attempt"], max_attempts))
         due = pc.add(tasks["newest"], stall_ms)
-        stalled = pc.and_(is_open, pc.less(due, seen))
-        changed = pc.or_(tasks["fresh"], pc.and_(stalled, pc.invert(tasks["told"])))
+        stalled = pc.and_kleene(is_open, pc.less(due, seen))  # unknown without any time
+        told_now = pc.fill_null(pc.and_(stalled, pc.invert(tasks["told"])), False)
         status = pc.if_else(accepted, "accepted", pc.if_else(is_open, "open", "failed"))
         used = pc.coalesce(tasks["accepted_at"], tasks["last_attempt"])
         found = pa.table([*(tasks[n] for n in names), status, used, tasks["final_output"], stalled], told.names)
@@ -102,7 +102,7 @@ def outcomes(
         waiting = pc.min(due.filter(pc.and_(is_open, pc.invert(stalled)))).as_py()
         if waiting is not None:
             state.setTimeoutTimestamp(max(waiting, seen + 1))
-        yield found.filter(changed).to_pandas()
+        yield found.filter(pc.or_(tasks["fresh"], told_now)).to_pandas()
 
     found = rows.groupBy("group").applyInPandasWithState(step, told, STATE, "update", GroupStateTimeout.EventTimeTimeout)
     return found.select(*(F.col(n).cast(f.dataType).alias(f.name) for n, f in zip(names, types)), *told.names[len(names) :])

@@ -104,7 +104,7 @@ def test_machines_of_a_group_advance_together(spark, tmp_path, groups):
     turns = [
         [row("a", i, 1, "ACCEPT" if i % 2 else "REGENERATE_FULL", 0) for i in range(40)] + [row(None, big, 2, "ACCEPT", 30), row(None, big + 1, 1, "UNSURE", 30), row("a", None, 3, "ACCEPT", 30)],
         [row(None, big, 1, "ACCEPT", 29), row("a", 2, 2, "ACCEPT", 30), row("a", 4, 3, "UNSURE", 30)],
-        [row("b", 1, 1, "ACCEPT", 60)],
+        [row("b", 1, 1, "ACCEPT", 60), (*row("c", 1, 1, "UNSURE", 0)[:-1], None)],
     ]
     source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     for rows in turns:
@@ -116,6 +116,7 @@ def test_machines_of_a_group_advance_together(spark, tmp_path, groups):
     assert got == want | {
         (None, big): ("accepted", 1, f"{big}/1", False), (None, big + 1): ("open", 1, None, True), ("a", None): ("accepted", 3, None, False),
         ("a", 2): ("accepted", 2, "2/2", False), ("a", 4): ("failed", 3, None, False), ("b", 1): ("accepted", 1, "1/1", False),
+        ("c", 1): ("open", 1, None, None),  # no time is known
     }
     rows = spark.read.parquet(out)
     assert rows.where("run = 'a' AND task = 6").count() == 2  # open, then stalled, each told once
